@@ -75,11 +75,12 @@ def rule_metrics_to_events(metrics: DataFrame, keys: list[str], details: str = "
 def rule_metric_rows(parsed: DataFrame, column: str = "details_parsed") -> DataFrame:
     """One row per rule of each flow-progress event; other events give none."""
     quality = f"{column}.flow_progress.data_quality"
+    kept = [c for c in parsed.columns if c != column]
     return parsed.select(
-        *[c for c in parsed.columns if c != column],
+        *kept,
         F.col(f"{quality}.dropped_records").alias("dropped_records"),
         F.inline(f"{quality}.expectations"),
-    )
+    ).select(*kept, "dropped_records", "name", "dataset", "passed_records", "failed_records")
 
 
 def append_new_events(

@@ -36,12 +36,16 @@ def rules_hold(rules: Rules) -> Column:
 
 
 def failed_rules(rules: Rules) -> Column:
-    """Names of the rules a row breaks, in rule order."""
+    """Names of the rules a row breaks, in rule order.
+
+    `array_except` takes out the NULLs the met rules leave: unlike a lambda it
+    stays inside generated code (and rule names never repeat).
+    """
+    none_failed = F.array().cast("array<string>")
     if not rules:
-        return F.array().cast("array<string>")
-    return F.array_compact(
-        F.array(*[F.when(~passes(p), F.lit(name)) for name, p in rules.items()])
-    )
+        return none_failed
+    names = F.array(*[F.when(~passes(p), F.lit(name)) for name, p in rules.items()])
+    return F.array_except(names, F.array(F.lit(None).cast("string")))
 
 
 def expect_drop(
@@ -66,7 +70,7 @@ def expect_keep(df: DataFrame, rules: Rules, observation: Observation | str) ->
 def expect_fail(df: DataFrame, rules: Rules) -> DataFrame:
     """Pass all rows on; stop the job at the first row that breaks a rule."""
     broken = F.array_join(failed_rules(rules), ", ")
-    held = F.when(F.coalesce(rules_hold(rules), F.lit(False)), F.lit(True)).otherwise(
+    held = F.when(_all_hold(rules), F.lit(True)).otherwise(
         F.raise_error(F.concat(F.lit("row breaks: "), broken)).cast("boolean")
     )
     return df.filter(held)
@@ -78,8 +82,7 @@ def quarantine(df: DataFrame, rules: Rules, column: str = FAILED_COLUMN) -> Data
     Rows are filtered on one short-circuit predicate first, so the names are
     worked out only for the rows that stay.
     """
-    failing = ~F.coalesce(rules_hold(rules), F.lit(False))
-    return df.filter(failing).withColumn(column, failed_rules(rules))
+    return df.filter(~_all_hold(rules)).withColumn(column, failed_rules(rules))
 
 
 def label(
@@ -92,9 +95,13 @@ def label(
 
     One pass that serves both sides: `size(column) = 0` is the drop result, the
     rest is the quarantine. The counts of an ``observation`` are read off the
-    names, so each rule is still evaluated once.
+    names; no rule is evaluated again for them.
     """
-    labelled = df.withColumn(column, failed_rules(rules))
+    # Most rows are clean: they take the one short-circuit predicate and no list.
+    labelled = df.withColumn(
+        column,
+        F.when(_all_hold(rules), F.array().cast("array<string>")).otherwise(failed_rules(rules)),
+    )
     if observation is None:
         return labelled
     return labelled.observe(
@@ -134,7 +141,7 @@ def rule_metrics_by(
             for i, name in enumerate(rules)
         ]
     )
-    return counted.select(*keys, F.inline(per_rule))
+    return counted.select(*keys, F.inline(per_rule.cast(f"array<struct<{METRICS_SCHEMA}>>")))
 
 
 def alerts(metrics: DataFrame, tolerated: int = 0) -> DataFrame:
@@ -142,6 +149,10 @@ def alerts(metrics: DataFrame, tolerated: int = 0) -> DataFrame:
     return metrics.filter(F.col("failed_records") > F.lit(tolerated))
 
 
+def _all_hold(rules: Rules) -> Column:
+    return F.coalesce(rules_hold(rules), F.lit(False))
+
+
 def _observed(
     df: DataFrame, rules: Rules, observation: Observation | str, drop: bool
 ) -> DataFrame:

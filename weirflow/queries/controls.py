@@ -49,7 +49,7 @@ def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return expect_drop(rows, INVOICE_RULES), quarantine(rows, INVOICE_RULES)
 
 
-@query(UNION_SQL)
+@query(UNION_SQL, name="union_entities")
 def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(
         [
@@ -64,7 +64,7 @@ FILE_COUNTS_SQL = f"""WITH {BRONZE_SQL}
     FROM bronze GROUP BY file_name, entity, ingest_date, ingest_time"""
 
 
-@query(FILE_COUNTS_SQL)
+@query(FILE_COUNTS_SQL, name="file_counts")
 def counts_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = file_counts(bronze(spark, sf_dir), "file_name", ("entity", *INGESTION))
     return counted.select("fileName", "records", "entity", *text_of(*INGESTION))
@@ -93,7 +93,7 @@ def complete_control_table(spark: SparkSession, sf_dir: str) -> DataFrame:
           FROM silver GROUP BY file_name, ingest_date, ingest_time) AS a
     LEFT JOIN (SELECT count(customer_id) AS "rows_KO", file_name, ingest_date, ingest_time
           FROM quarantine GROUP BY file_name, ingest_date, ingest_time) AS b
-    ON a.file_name = b.file_name""")
+    ON a.file_name = b.file_name""", name="loaded_vs_rejected")
 def loaded_and_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver, kept_aside = sides(spark, sf_dir)
     counts = loaded_vs_rejected(silver, kept_aside, "customer_id", "file_name", INGESTION)
@@ -110,7 +110,7 @@ def loaded_and_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     FULL OUTER JOIN (SELECT count(*) AS "rows_KO", file_name, ingest_date, ingest_time
           FROM quarantine GROUP BY file_name, ingest_date, ingest_time) AS b
     ON a.file_name = b.file_name AND a.ingest_date = b.ingest_date
-      AND a.ingest_time = b.ingest_time""")
+      AND a.ingest_time = b.ingest_time""", name="file_reconciliation")
 def reconciled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver, kept_aside = sides(spark, sf_dir)
     counts = file_reconciliation(silver, kept_aside, "file_name", INGESTION)

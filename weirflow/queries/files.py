@@ -76,7 +76,7 @@ def json_unknown_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_landing(spark, sf_dir).select("id", "kind", "_rescue")
 
 
-@query("""SELECT event_id % 11 = 0 AS bad, count(*) AS records FROM events GROUP BY 1""")
+@query("""SELECT event_id % 11 = 0 AS bad, count(*) AS records FROM events GROUP BY 1""", name="bad_records_split")
 def bad_record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records that could not be read at all against the rest."""
     rows = event_landing(spark, sf_dir)

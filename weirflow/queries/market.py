@@ -60,7 +60,7 @@ MARKETS_SQL = f"markets AS (SELECT {', '.join(MARKETS)} FROM customer)"
     SELECT {', '.join(f'"{c}"' for c in ORGANIC_COLUMNS)} FROM markets
     WHERE "Website" IS NOT NULL AND "Location" IS NOT NULL AND "State" IS NOT NULL
       AND "Organic" = 'Y' AND {PARSED_SQL} > DATE '2010-01-01'
-      AND NOT ("Facebook" IS NULL AND "Twitter" IS NULL AND "Youtube" IS NULL)""")
+      AND NOT ("Facebook" IS NULL AND "Twitter" IS NULL AND "Youtube" IS NULL)""", name="market_projection")
 def organic_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "market")
     publish_rules(spark, MARKET_RULES, f"{path}/rules")

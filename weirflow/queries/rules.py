@@ -26,7 +26,7 @@ from .registry import query
 COLUMNS_SQL = ", ".join(INVOICE_COLUMNS)
 
 
-@query(f"WITH {BRONZE_SQL} SELECT {COLUMNS_SQL} FROM bronze WHERE {INVOICE_RULES_SQL}")
+@query(f"WITH {BRONZE_SQL} SELECT {COLUMNS_SQL} FROM bronze WHERE {INVOICE_RULES_SQL}", name="rules_from_csv")
 def rules_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "rules")
     entries = [(name, rule, "invoice_silver") for name, rule in INVOICE_RULES.items()]
@@ -35,7 +35,7 @@ def rules_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expect_drop(bronze(spark, sf_dir), rules).select(*INVOICE_COLUMNS)
 
 
-@query(f"WITH {BRONZE_SQL} SELECT {COLUMNS_SQL} FROM bronze WHERE {INVOICE_RULES_SQL}")
+@query(f"WITH {BRONZE_SQL} SELECT {COLUMNS_SQL} FROM bronze WHERE {INVOICE_RULES_SQL}", name="rules_from_control_table")
 def rules_by_control_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = f"weirflow_{uuid.uuid4().hex}"
     create_database(spark, database, scratch_dir(spark, "control"))
@@ -46,6 +46,7 @@ def rules_by_control_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"bronze_invoice": json.dumps(INVOICE_RULES), "other": '{"never": "false"}'},
     )
     rules = rules_from_control_table(spark, f"{database}.sources", "bronze_invoice")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
     return expect_drop(bronze(spark, sf_dir), rules).select(*INVOICE_COLUMNS)
 
 
@@ -88,7 +89,7 @@ CONTRACTS = (
     FROM orders UNION ALL
     SELECT 'lineitem', count(*) FILTER (l_quantity > 2 AND l_discount < 0.1),
       count(*) FILTER (NOT (l_quantity > 2 AND l_discount < 0.1))
-    FROM lineitem""")
+    FROM lineitem""", name="contract_flow")
 def contracts_of_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One template, three entities: each loads its contract and is checked in one pass."""
     directory = scratch_dir(spark, "contracts")

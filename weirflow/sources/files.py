@@ -20,14 +20,14 @@ def read_landing(
     streaming: bool = True,
     header: bool = True,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """A landing folder as rows of ``schema``, plus `_rescue` and `InputFileName`.
 
     ``streaming`` reads only files not seen before. ``max_files`` and
-    ``max_bytes`` (such as ``"10g"``) bound one micro-batch; with neither, one
-    batch takes all that is there, which makes the fewest and largest files.
+    ``max_bytes`` bound one micro-batch; with neither, one batch takes all that
+    is there. Bound it on a large backlog: a lost driver costs the open batch.
 
     `_rescue` holds what did not fit: the raw record where a value or the number
     of fields is wrong, and for JSON the keys the schema lacks. It is NULL for a

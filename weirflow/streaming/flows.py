@@ -36,7 +36,7 @@ class LandingSource:
     schema: T.StructType
     file_format: str = "csv"
     max_files: int | None = None
-    max_bytes: str | None = None
+    max_bytes: int | None = None
     rules: Rules = field(default_factory=dict)
 
     def open(self, spark: SparkSession, at: Column | None = None) -> DataFrame:
@@ -85,18 +85,18 @@ def entity_flow_from_config(
     """A flow from string settings, as a job configuration gives them.
 
     Needs ``landing_zone``; knows ``invalid_format_path``, ``file_format``
-    (``json`` if absent) and ``max_files``.
+    (``json`` if absent), ``max_files`` and ``max_bytes`` (no bound if absent).
     """
     if "landing_zone" not in config:
         raise ValueError("Please provide [landing_zone] as job configuration")
-    max_files = config.get("max_files")
+    limits = {key: int(config[key]) for key in ("max_files", "max_bytes") if key in config}
     source = LandingSource(
         table=f"{contract.entity}_bronze",
         landing=config["landing_zone"],
         entity=entity_tag,
         schema=contract.schema,
         file_format=config.get("file_format", "json"),
-        max_files=int(max_files) if max_files is not None else None,
+        **limits,
     )
     return EntityFlow(contract, source, config.get("invalid_format_path"), **settings)
 
