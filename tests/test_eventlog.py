@@ -14,6 +14,7 @@ from weirflow.operators import (
     rule_metrics_by,
     rule_metrics_to_events,
 )
+from weirflow.plans.event_log import run_event_log
 
 DOCUMENTS = [
     {"k": 1, "f": 1.5, "n": None, "s": "a", "o": {"x y": [1, 2], "z": [{"q": 1}]}, "e": []},
@@ -101,3 +102,25 @@ def test_events_are_appended_once(spark, rows):
 def test_inference_and_parsing_start_no_python_worker(spark, plan, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     assert "Python" not in plan(parse_details(events, "props"))
+
+
+def test_event_log_flow_gains_fields_and_runs_again(spark, tmp_path, rows):
+    path = str(tmp_path / "log")
+    events = spark.createDataFrame(EVENTS[:1], "event_id INT, details STRING")
+    events.createOrReplaceTempView("raw_log")
+    run_event_log(spark, "raw_log", path, "parsed_log")
+    assert spark.table("parsed_log").select("details_parsed.user_action.action").first()[0] == "CREATE"
+    events = spark.createDataFrame(EVENTS[:3], "event_id INT, details STRING")
+    events.createOrReplaceTempView("raw_log")
+    for _ in range(2):
+        log = run_event_log(spark, "raw_log", path, "parsed_log")
+    assert rows(log.select("event_id", "details_parsed.user_action.action",
+                           "details_parsed.flow_progress.metrics.num_output_rows")) == [
+        (1, "CREATE", None), (2, None, None), (3, None, 10)]
+
+
+def test_event_log_flow_without_a_key_appends_every_time(spark, tmp_path):
+    spark.createDataFrame(EVENTS, "event_id INT, details STRING").createOrReplaceTempView("raw_log")
+    for _ in range(2):
+        log = run_event_log(spark, "raw_log", str(tmp_path / "log"), key=None)
+    assert log.count() == 8

@@ -8,12 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirflow.operators import expect_keep, union_all
+from weirflow.operators import expect_keep, parse_details, rule_metric_rows, union_all
+from weirflow.operators.eventlog import DETAILS_SCHEMA
 from weirflow.plans import Contract
 from weirflow.streaming import (
+    CheckedStream,
     LandingSource,
     StreamTables,
     entity_flow_from_config,
+    log_events,
     run_entity_flow,
     run_union_flow,
     settle,
@@ -73,10 +76,11 @@ def test_entity_flow_in_two_runs(spark, tmp_path, tables, rows, at, single_pass)
         ("c3", ["value >= 0", "length(currency_code) = 3"]),
         (None, ["id IS NOT NULL"]),
     ]
-    assert rows(first.metrics) == [
-        ("id IS NOT NULL", "collateral_silver", 3, 1),
-        ("length(currency_code) = 3", "collateral_silver", 3, 1),
-        ("value >= 0", "collateral_silver", 3, 1),
+    counted = "collateral_checked" if single_pass else "collateral_silver"
+    assert rows(first.metrics(spark)) == [
+        ("id IS NOT NULL", counted, 3, 1),
+        ("length(currency_code) = 3", counted, 3, 1),
+        ("value >= 0", counted, 3, 1),
     ]
     name = F.element_at(F.split("InputFileName", "/"), -1)
     assert rows(first.tables["ctl"].select(name, "rows_OK", "rows_KO")) == [("one.json", 2, 1)]
@@ -89,7 +93,7 @@ def test_entity_flow_in_two_runs(spark, tmp_path, tables, rows, at, single_pass)
     assert {n: again.tables[n].count() for n in ("bronze", "silver", "quarantine")} == {
         "bronze": 5, "silver": 2, "quarantine": 2}
     assert sum(stream.input_rows for stream in again.streams.values()) == 0
-    assert rows(again.metrics.select("passed_records", "failed_records").distinct()) == [(0, 0)]
+    assert rows(again.metrics(spark).select("passed_records", "failed_records").distinct()) == [(0, 0)]
 
     drop(tmp_path / "landing", "two.json", good(7))
     drop(tmp_path / "landing", "three.json", json.dumps({"id": "c9", "value": 1}))
@@ -135,7 +139,7 @@ def invoice_sources(tmp_path, rules):
     ]
 
 
-def test_union_flow(tmp_path, tables, rows, at):
+def test_union_flow(spark, tmp_path, tables, rows, at):
     head = "InvoiceNo,Description,CustomerID"
     drop(tmp_path / "ES", "a.csv", head, "1,x,10", "C2,y,11", "3,Discount,12")
     drop(tmp_path / "PT", "b.csv", head, "4,z,", "5,,13")
@@ -151,7 +155,7 @@ def test_union_flow(tmp_path, tables, rows, at):
     done = run()
     assert rows(done.tables["silver_invoice"].select("InvoiceNo", "Entity")) == [
         (1, "ES"), (3, "ES"), (5, "PT")]
-    assert rows(done.metrics) == [
+    assert rows(done.metrics(spark)) == [
         ("Valid CustomerID", "silver_invoice", 4, 1),
         ("Valid InvoiceNo", "silver_invoice", 4, 1),
         ("one", "rechecked", 1, 2),
@@ -162,8 +166,20 @@ def test_union_flow(tmp_path, tables, rows, at):
     assert rows(done.tables["invoice_ctl"].select("records", "Entity")) == [(1, "PT"), (2, "ES")]
     assert done.tables["bronze_es_invoice"].filter("_rescue IS NOT NULL").count() == 1
 
+    log_events(tables, done)
+    assert rows(rule_metric_rows(parse_details(log_events(tables, done), schema=DETAILS_SCHEMA))
+                .select("dataset", "name", "dropped_records", "passed_records")) == [
+        ("bronze_es_invoice", "valid_invoice", 0, 2),
+        ("bronze_pt_invoice", "valid_invoice", 0, 1),
+        ("rechecked", "one", 0, 1),
+        ("rechecked", "valid_entity", 0, 3),
+        ("silver_invoice", "Valid CustomerID", 2, 4),
+        ("silver_invoice", "Valid InvoiceNo", 2, 4),
+    ]
+
     drop(tmp_path / "PT", "c.csv", head, "6,w,14")
     more = run()
+    assert log_events(tables, more).count() == 4 + 3
     assert more.tables["silver_invoice"].count() == 4
     assert more.tables["rechecked"].count() == 4
     assert more.streams["silver_invoice"].input_rows == 1
@@ -180,7 +196,9 @@ def test_metrics_add_up_over_many_batches(spark, tmp_path, tables):
         (done,) = settle(tables.append(expect_keep(source.open(spark), {"id": "id IS NOT NULL"}, "t"), "t"))
     finally:
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
-    assert done.metric_rows("t", {"id": "id IS NOT NULL"}, "t") == [("id", "t", 12, 12)]
+    counted = CheckedStream(done, {"id": "id IS NOT NULL"}, drops=False)
+    assert counted.metric_rows() == [("id", "t", 12, 12)]
+    assert len({event[0] for event in counted.events()}) == 12
 
 
 def test_max_bytes_bounds_a_batch(spark, tmp_path, tables):

@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import infer_json_schema
 from ..operators import (
-    append_new_events,
     json_dataset,
     parse_details,
     rule_metric_rows,
     rule_metrics_by,
     rule_metrics_to_events,
 )
+from ..plans.event_log import run_event_log
 from ..scratch import scratch_dir
-from ..sources import append_merge, read_merged
+from ..sources import append_merge, append_once, read_merged
 from .expectations import RULE_ROWS_SQL
 from .inputs import BRONZE_SQL, INVOICE_RULES, bronze, table
 from .registry import query
@@ -50,12 +49,22 @@ def event_log_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "event-log")
     metrics = rule_metrics_by(bronze(spark, sf_dir), INVOICE_RULES, "bronze", ["file_name"])
     events = rule_metrics_to_events(metrics, ["file_name"])
-    append_merge(events, path)
-    logged = read_merged(spark, path)
-    append_merge(append_new_events(logged, logged, "file_name"), path)
-    logged = read_merged(spark, path)
-    parsed = parse_details(logged, schema=infer_json_schema(logged, "details"))
-    return rule_metric_rows(parsed).drop("details")
+    append_once(events, path, "file_name")
+    append_once(events, path, "file_name")
+    return rule_metric_rows(parse_details(read_merged(spark, path))).drop("details")
+
+
+@query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
+def event_log_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole flow over a raw log, run twice; the second run adds nothing."""
+    path = scratch_dir(spark, "parsed-log")
+    raw = "raw_" + path.rsplit("-", 1)[1]
+    table(spark, sf_dir, "events").selectExpr(
+        "event_id", "event_type", "props AS details"
+    ).createOrReplaceTempView(raw)
+    for _ in range(2):
+        logged = run_event_log(spark, raw, path, view=f"log_{raw}")
+    return logged.select("event_id", "details_parsed.k")
 
 
 @query("""SELECT s_suppkey AS id, s_name AS name, s_acctbal AS balance, NULL AS segment

@@ -9,18 +9,24 @@ from ..operators import (
     expect_drop,
     expect_keep,
     label,
+    parse_details,
     quarantine,
+    rule_metric_rows,
     union_all,
     with_entity,
 )
+from ..operators.expectations import METRICS_SCHEMA
 from ..plans import Contract
 from ..scratch import scratch_dir
 from ..sources import write_landing
 from ..streaming import (
+    CheckedStream,
     EntityFlow,
+    FlowResult,
     LandingSource,
     StreamTables,
     entity_flow_from_config,
+    log_events,
     run_entity_flow,
     run_union_flow,
     settle,
@@ -92,7 +98,8 @@ def stream_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = fresh_tables(spark, "metrics")
     counted = expect_keep(bronze_stream(spark, sf_dir), INVOICE_RULES, "bronze")
     (done,) = settle(tables.append(counted, "bronze"))
-    return done.metrics(spark, "bronze", INVOICE_RULES, "bronze")
+    counted = CheckedStream(done, INVOICE_RULES, drops=False)
+    return spark.createDataFrame(counted.metric_rows(), METRICS_SCHEMA)
 
 
 @query(UNION_SQL)
@@ -182,25 +189,80 @@ def stream_entity_flow_single_pass(spark: SparkSession, sf_dir: str) -> DataFram
 ENTITY_OF_ORDER = {"ES": 0, "PT": 1, "BR": 2, "UK": 3}
 
 
-@query("""SELECT CASE o_orderkey % 4 WHEN 0 THEN 'ES' WHEN 1 THEN 'PT' WHEN 2 THEN 'BR' ELSE 'UK' END
-        AS "Entity", count(*) AS records
-    FROM orders WHERE o_orderkey % 23 != 0 AND o_orderpriority != '5-LOW' GROUP BY 1""")
-def stream_union_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four landing folders into one checked table and its control table."""
+FILE_RULES = {"existing_invoice": "InvoiceNo IS NOT NULL", "valid_invoice": "Description != '5-LOW'"}
+RECHECK_RULES = {"valid_entity": "length(Entity) = 2", "urgent": "Description = '1-URGENT'"}
+
+LANDED_SQL = """landed AS (
+  SELECT CASE o_orderkey % 4 WHEN 0 THEN 'ES' WHEN 1 THEN 'PT' WHEN 2 THEN 'BR' ELSE 'UK' END
+      AS entity,
+    o_orderkey % 23 != 0 AS existing_invoice, o_orderpriority != '5-LOW' AS valid_invoice,
+    o_orderpriority = '1-URGENT' AS urgent
+  FROM orders)"""
+
+
+def _union_flow(spark: SparkSession, sf_dir: str) -> tuple[StreamTables, FlowResult]:
     root = scratch_dir(spark, "union-flow")
     orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey % 4 AS place", *INVOICE_LINES)
     # One write fills all four folders.
     orders.write.partitionBy("place").option("header", True).csv(f"{root}/landing")
-    rules = {"existing_invoice": "InvoiceNo IS NOT NULL", "valid_invoice": "Description != '5-LOW'"}
     sources = [
         LandingSource(
-            f"bronze_{entity.lower()}_invoice", f"{root}/landing/place={place}", entity,
-            INVOICE_FILE, rules=rules,
+            f"bronze_{entity.lower()}_invoice",
+            f"{root}/landing/place={place}",
+            entity,
+            INVOICE_FILE,
+            rules=FILE_RULES,
         )
         for entity, place in ENTITY_OF_ORDER.items()
     ]
-    done = run_union_flow(
-        StreamTables(spark, root), sources, "silver_invoice", rules, "invoice_ctl",
-        rechecks={"rechecked_invoice": {"valid_entity": "length(Entity) = 2"}},
+    tables = StreamTables(spark, root)
+    return tables, run_union_flow(
+        tables,
+        sources,
+        "silver_invoice",
+        FILE_RULES,
+        "invoice_ctl",
+        rechecks={"rechecked_invoice": RECHECK_RULES},
     )
+
+
+@query(f"""WITH {LANDED_SQL} SELECT entity AS "Entity", count(*) AS records
+    FROM landed WHERE existing_invoice AND valid_invoice GROUP BY 1""")
+def stream_union_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four landing folders into one checked table and its control table."""
+    _, done = _union_flow(spark, sf_dir)
     return done.tables["invoice_ctl"].groupBy("Entity").agg(F.sum("records").alias("records"))
+
+
+@query(f"""WITH {LANDED_SQL}, counted AS (
+    SELECT 'bronze_' || lower(entity) || '_invoice' AS dataset, 0 AS dropped_records, rule AS name,
+      count(*) FILTER (ok) AS passed_records, count(*) FILTER (NOT ok) AS failed_records
+    FROM (SELECT entity, unnest(['existing_invoice', 'valid_invoice']) AS rule,
+            unnest([existing_invoice, valid_invoice]) AS ok FROM landed) GROUP BY ALL
+    UNION ALL
+    SELECT 'silver_invoice', (SELECT count(*) FROM landed WHERE NOT (existing_invoice AND valid_invoice)),
+      rule, count(*) FILTER (ok), count(*) FILTER (NOT ok)
+    FROM (SELECT unnest(['existing_invoice', 'valid_invoice']) AS rule,
+            unnest([existing_invoice, valid_invoice]) AS ok FROM landed) GROUP BY ALL
+    UNION ALL
+    SELECT 'rechecked_invoice', 0, rule, count(*) FILTER (ok), count(*) FILTER (NOT ok)
+    FROM (SELECT unnest(['valid_entity', 'urgent']) AS rule, unnest([true, urgent]) AS ok
+          FROM landed WHERE existing_invoice AND valid_invoice) GROUP BY ALL)
+    SELECT dataset, name, CAST(dropped_records AS BIGINT) AS dropped_records,
+      passed_records, failed_records FROM counted""")
+def stream_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the streams counted, logged as JSON events (twice: the second adds
+    nothing), parsed back and summed over batches."""
+    tables, done = _union_flow(spark, sf_dir)
+    log_events(tables, done)
+    parsed = parse_details(log_events(tables, done))
+    return (
+        rule_metric_rows(parsed)
+        .groupBy("dataset", "name")
+        .agg(
+            *[
+                F.sum(c).alias(c)
+                for c in ("dropped_records", "passed_records", "failed_records")
+            ]
+        )
+    )

@@ -7,11 +7,12 @@ from .catalog import (
     save_table,
 )
 from .files import read_csv_strings, read_json, read_landing, read_merged
-from .writers import append_json, append_merge, write_complete, write_landing
+from .writers import append_json, append_merge, append_once, write_complete, write_landing
 
 __all__ = [
     "append_json",
     "append_merge",
+    "append_once",
     "create_control_table",
     "create_database",
     "publish_stream_table",

@@ -45,7 +45,7 @@ def read_landing(
     if file_format == "csv":
         return _csv(reader.option("header", header), path, schema)
     if file_format == "json":
-        return _json(reader, path, schema)
+        return _json(reader, path, schema, options or {})
     found = reader.format(file_format).schema(schema).load(path)
     return found.select(
         "*", F.lit(None).cast("string").alias(RESCUE_COLUMN), _file_name()
@@ -72,9 +72,11 @@ def _csv(reader, path: str, schema: T.StructType) -> DataFrame:
     return raw.select(*columns, rescued.alias(RESCUE_COLUMN), _file_name())
 
 
-def _json(reader, path: str, schema: T.StructType) -> DataFrame:
+def _json(reader, path: str, schema: T.StructType, options: Mapping[str, str]) -> DataFrame:
     # Lines are read as text, since the JSON reader forgets keys it does not
     # know. Only lines with such keys are parsed a second time.
+    if str(options.get("multiLine", "false")).lower() == "true":
+        raise ValueError("JSON landing files hold one object per line")
     lines = reader.text(path).select("value", _file_name()).filter(F.trim("value") != "")
     known = F.array(*[F.lit(name) for name in schema.fieldNames()])
     has_more = F.size(F.array_except(F.json_object_keys("value"), known)) > 0
@@ -90,7 +92,7 @@ def _json(reader, path: str, schema: T.StructType) -> DataFrame:
         F.from_json(
             "value",
             extended(schema, **{RESCUE_COLUMN: "string"}),
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUE_COLUMN},
+            {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUE_COLUMN},
         ).alias("parsed"),
     )
     rescued = F.coalesce(F.col(f"parsed.{RESCUE_COLUMN}"), F.when(has_more, more))

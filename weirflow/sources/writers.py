@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..operators.eventlog import append_new_events
+from .files import read_merged
+
 
 def write_landing(
     df: DataFrame,
@@ -37,3 +40,9 @@ def write_complete(df: DataFrame, path: str) -> None:
 def append_merge(df: DataFrame, path: str) -> None:
     """Append rows that may bring new columns; `read_merged` shows them all."""
     df.write.mode("append").parquet(path)
+
+
+def append_once(df: DataFrame, path: str, key: str = "event_id") -> None:
+    """Append the rows whose key the table lacks; doing it again adds nothing."""
+    append_merge(df.limit(0), path)  # the first time, so that there is a table to look into
+    append_merge(append_new_events(df, read_merged(df.sparkSession, path), key), path)

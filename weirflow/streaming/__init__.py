@@ -3,18 +3,21 @@ from .flows import (
     FlowResult,
     LandingSource,
     entity_flow_from_config,
+    log_events,
     run_entity_flow,
     run_union_flow,
 )
-from .tables import StreamResult, StreamTables, settle
+from .tables import CheckedStream, StreamResult, StreamTables, settle
 
 __all__ = [
+    "CheckedStream",
     "EntityFlow",
     "FlowResult",
     "LandingSource",
     "StreamResult",
     "StreamTables",
     "entity_flow_from_config",
+    "log_events",
     "run_entity_flow",
     "run_union_flow",
     "settle",

@@ -21,7 +21,8 @@ from ..operators.transforms import RESCUE_COLUMN, extended, malformed, union_all
 from ..plans.contracts import Contract
 from ..plans.rules import Rules
 from ..sources.files import read_landing
-from .tables import StreamResult, StreamTables, settle
+from ..sources.writers import append_once
+from .tables import EVENT_SCHEMA, CheckedStream, StreamResult, StreamTables, settle
 
 PASSED_COLUMN = "_passed"
 
@@ -72,11 +73,28 @@ class EntityFlow:
 
 @dataclass
 class FlowResult:
-    """Frames of the tables a run filled, and the rule metrics of that run."""
+    """Frames of the tables a run filled, its streams, and what its rules counted."""
 
     tables: dict[str, DataFrame]
-    metrics: DataFrame
     streams: dict[str, StreamResult]
+    checks: list[CheckedStream]
+
+    def metrics(self, spark: SparkSession) -> DataFrame:
+        """Passed and failed rows of this run: one row per table and rule."""
+        rows = [row for check in self.checks for row in check.metric_rows()]
+        return spark.createDataFrame(rows, METRICS_SCHEMA)
+
+    def events(self, spark: SparkSession) -> DataFrame:
+        """The same per batch, as events for the event log."""
+        rows = [row for check in self.checks for row in check.events()]
+        return spark.createDataFrame(rows, EVENT_SCHEMA)
+
+
+def log_events(tables: StreamTables, result: FlowResult, name: str = "event_log") -> DataFrame:
+    """Append the events of a run to the event log, those already there left out."""
+    schema = T.StructType.fromDDL(EVENT_SCHEMA)
+    append_once(result.events(tables.spark), tables.path(name))
+    return tables.read(name, schema)
 
 
 def entity_flow_from_config(
@@ -105,9 +123,8 @@ def run_entity_flow(
     tables: StreamTables, flow: EntityFlow, at: Column | None = None
 ) -> FlowResult:
     """Take in what is new in the landing folder and bring all layers up to date."""
-    spark = tables.spark
     rules = flow.contract.rules
-    bronze = flow.source.open(spark, at)
+    bronze = flow.source.open(tables.spark, at)
     schema = bronze.schema
     done = settle(tables.append(bronze, flow.table("bronze")))
 
@@ -132,7 +149,7 @@ def run_entity_flow(
         )
     if flow.single_pass:
         checked = label(
-            bronze_rows(), rules, flow.failed_column, flow.table("silver")
+            bronze_rows(), rules, flow.failed_column, flow.table("checked")
         ).withColumn(PASSED_COLUMN, F.size(flow.failed_column) == 0)
         started.append(
             tables.append(checked, flow.table("checked"), partition_by=[PASSED_COLUMN])
@@ -154,11 +171,11 @@ def run_entity_flow(
         )
         silver = everything.filter(F.col(PASSED_COLUMN)).drop(flow.failed_column, PASSED_COLUMN)
         kept_aside = everything.filter(~F.col(PASSED_COLUMN)).drop(PASSED_COLUMN)
-        counter = streams[flow.table("checked")]
+        counted = CheckedStream(streams[flow.table("checked")], rules, drops=False)
     else:
         silver = tables.read(flow.table("silver"), schema)
         kept_aside = tables.read(flow.table("quarantine"), quarantine_schema)
-        counter = streams[flow.table("silver")]
+        counted = CheckedStream(streams[flow.table("silver")], rules, drops=True)
     tables.replace(loaded_vs_rejected(silver, kept_aside, flow.id_column), flow.table("ctl"))
     tables.replace(file_reconciliation(silver, kept_aside), flow.table("reconciliation"))
     return FlowResult(
@@ -169,8 +186,8 @@ def run_entity_flow(
             "ctl": tables.read(flow.table("ctl")),
             "reconciliation": tables.read(flow.table("reconciliation")),
         },
-        metrics=counter.metrics(spark, flow.table("silver"), rules, flow.table("silver")),
         streams=streams,
+        checks=[counted],
     )
 
 
@@ -210,12 +227,11 @@ def run_union_flow(
         ]
     )
     streams = {stream.name: stream for stream in done}
-    checked = {s.table: s.rules for s in sources} | {silver_table: silver_rules} | dict(rechecks)
-    metric_rows = [
-        row for name, rules in checked.items() for row in streams[name].metric_rows(name, rules, name)
-    ]
+    checks = [CheckedStream(streams[s.table], s.rules, drops=False) for s in sources]
+    checks.append(CheckedStream(streams[silver_table], silver_rules, drops=True))
+    checks += [CheckedStream(streams[name], rules, drops=False) for name, rules in rechecks.items()]
     filled = {name: tables.read(name, schema) for name in (*opened, silver_table, *rechecks)}
     if control_table:
         tables.replace(file_counts(filled[silver_table]), control_table)
         filled[control_table] = tables.read(control_table)
-    return FlowResult(filled, spark.createDataFrame(metric_rows, METRICS_SCHEMA), streams)
+    return FlowResult(filled, streams, checks)

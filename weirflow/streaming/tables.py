@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -9,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.expectations import METRICS_SCHEMA, metric_tuples
+from ..operators.expectations import KEPT, TOTAL, metric_tuples
 from ..plans.rules import Rules
 
 
+EVENT_SCHEMA = "event_id STRING, timestamp STRING, flow_name STRING, details STRING"
+
+
 class StreamTables:
     """Parquet tables under one storage root, each with the checkpoint of its stream.
 
@@ -51,9 +55,14 @@ class StreamTables:
             writer = writer.partitionBy(*partition_by)
         return writer.start(path or self.path(name))
 
-    def stream(self, name: str, schema: T.StructType) -> DataFrame:
+    def stream(
+        self, name: str, schema: T.StructType, max_bytes: int | None = None
+    ) -> DataFrame:
         """The table as an incremental source: rows not read by this reader before."""
-        return self.spark.readStream.schema(schema).parquet(self.path(name))
+        reader = self.spark.readStream.schema(schema)
+        if max_bytes is not None:
+            reader = reader.option("maxBytesPerTrigger", max_bytes)
+        return reader.parquet(self.path(name))
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         """All rows of the table now; a ``schema`` allows for one with no rows yet."""
@@ -77,25 +86,62 @@ class StreamResult:
     def input_rows(self) -> int:
         return sum(batch["numInputRows"] for batch in self.batches.values())
 
-    def metric_rows(
-        self, observation: str, rules: Rules, dataset: str
-    ) -> list[tuple[str, str, int, int]]:
+
+@dataclass(frozen=True)
+class CheckedStream:
+    """A stream whose rules were counted under the name of the table it fills."""
+
+    stream: StreamResult
+    rules: Rules
+    drops: bool
+
+    def _observed(self) -> list[tuple[int, dict]]:
+        name = self.stream.name
+        return [
+            (number, batch["observedMetrics"][name].asDict())
+            for number, batch in sorted(self.stream.batches.items())
+            if name in batch["observedMetrics"]
+        ]
+
+    def metric_rows(self) -> list[tuple[str, str, int, int]]:
         """Passed and failed counts per rule, summed over the batches of this run."""
-        sums = {name: [0, 0] for name in rules}
-        for batch in self.batches.values():
-            seen = batch["observedMetrics"].get(observation)
-            if seen is not None:
-                for name, _, passed, failed in metric_tuples(seen.asDict(), rules, dataset):
-                    sums[name][0] += passed
-                    sums[name][1] += failed
-        return [(name, dataset, passed, failed) for name, (passed, failed) in sums.items()]
-
-    def metrics(
-        self, spark: SparkSession, observation: str, rules: Rules, dataset: str
-    ) -> DataFrame:
-        return spark.createDataFrame(
-            self.metric_rows(observation, rules, dataset), METRICS_SCHEMA
-        )
+        sums = {name: [0, 0] for name in self.rules}
+        for _, seen in self._observed():
+            for name, _, passed, failed in metric_tuples(seen, self.rules, self.stream.name):
+                sums[name][0] += passed
+                sums[name][1] += failed
+        return [
+            (name, self.stream.name, passed, failed) for name, (passed, failed) in sums.items()
+        ]
+
+    def events(self) -> list[tuple[str, str, str, str]]:
+        """One flow-progress event per batch, as rows of `EVENT_SCHEMA`.
+
+        Query and batch number make the event id, so a batch has one id however
+        often it is reported.
+        """
+        rows = []
+        for number, seen in self._observed():
+            dropped = seen[TOTAL] - seen[KEPT] if self.drops else 0
+            expectations = [
+                {"name": name, "dataset": dataset, "passed_records": ok, "failed_records": ko}
+                for name, dataset, ok, ko in metric_tuples(seen, self.rules, self.stream.name)
+            ]
+            details = {
+                "flow_progress": {
+                    "metrics": {"num_output_rows": seen[TOTAL] - dropped},
+                    "data_quality": {"dropped_records": dropped, "expectations": expectations},
+                }
+            }
+            rows.append(
+                (
+                    f"{self.stream.query_id}:{number}",
+                    self.stream.batches[number]["timestamp"],
+                    self.stream.name,
+                    json.dumps(details),
+                )
+            )
+        return rows
 
 
 def settle(*queries: StreamingQuery) -> list[StreamResult]:
