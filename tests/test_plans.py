@@ -75,6 +75,8 @@ def test_split_table_is_pruned_by_side(spark, sf_dir, tmp_path, plan):
     tables = StreamTables(spark, str(tmp_path))
     checked = label(bronze_stream(spark, sf_dir), INVOICE_RULES).selectExpr(
         "*", "size(_failed_rules) = 0 AS passed")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
     settle(tables.append(checked, "checked", partition_by=["passed"]))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
     text = plan(tables.read("checked", checked.schema).filter("passed").select("price"))
     assert re.search(r"PartitionFilters: \[[^\]]*passed", text)

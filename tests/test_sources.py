@@ -113,6 +113,25 @@ def test_malformed_csv_is_where_nothing_was_read(spark, tmp_path):
     assert df.count() == 4
 
 
+@pytest.mark.parametrize("file_format, text", [("csv", "a.b,c`d\n1,x\nq,y\n"),
+                                               ("json", '{"a.b":1,"c`d":"x"}\n{"a.b":"q","c`d":"y"}\n')])
+def test_column_names_of_any_kind(spark, tmp_path, file_format, text):
+    schema = T.StructType().add("a.b", "integer").add("c`d", "string")
+    df = read_landing(spark, landing(tmp_path, text, f"a.{file_format}"), schema, file_format, streaming=False)
+    assert [(r["a.b"], r["c`d"], r["_rescue"] is None) for r in df.orderBy("`c``d`").collect()] == [
+        (1, "x", True), (None, "y", False)]
+    assert df.filter(malformed(schema, file_format)).count() == 0
+
+
+def test_json_options_reach_the_parser(spark, tmp_path):
+    schema = T.StructType().add("day", "date")
+    path = landing(tmp_path, '{"day":"06/05/2024"}\n', "a.json")
+    df = read_landing(spark, path, schema, "json", streaming=False, options={"dateFormat": "dd/MM/yyyy"})
+    assert df.first()["day"] == datetime.date(2024, 5, 6)
+    with pytest.raises(ValueError, match="one object per line"):
+        read_landing(spark, path, schema, "json", options={"multiLine": "true"})
+
+
 def test_provenance_is_added_not_read(spark, tmp_path):
     declared = T.StructType(
         [*INVOICE.fields, T.StructField("InputFileName", T.StringType(), False),

@@ -68,10 +68,9 @@ def has_precision_and_scale(
     NULL, text that is no number and whole parts of 14 digits or more give false.
     Set ``numeric`` for a column that already holds numbers: no text is parsed then.
     """
-    quoted = "`" + column.replace("`", "``") + "`"
-    if numeric:
-        return F.expr(_precision_sql(f"CAST({quoted} AS DOUBLE)", str(precision), str(scale)))
-    return F.expr(_text_precision_sql(f"CAST({quoted} AS STRING)", str(precision), str(scale)))
+    kind, check = ("DOUBLE", _precision_sql) if numeric else ("STRING", _text_precision_sql)
+    name = column.replace("`", "``")
+    return F.expr(check(f"CAST(`{name}` AS {kind})", str(precision), str(scale)))
 
 
 def register_sql_check(spark: SparkSession, name: str, parameters: str, body: str) -> None:

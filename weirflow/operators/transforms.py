@@ -24,6 +24,11 @@ def strip_provenance(schema: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema.fields if f.name.lower() not in added])
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL takes it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def extended(schema: T.StructType, **fields: str) -> T.StructType:
     """A copy of the schema with more fields; `StructType.add` would change the original."""
     longer = T.StructType(list(schema.fields))
@@ -54,7 +59,7 @@ def malformed(schema: T.StructType, file_format: str, rescue: str = RESCUE_COLUM
     """
     if file_format == "json":
         return F.col(rescue).isNotNull() & F.json_object_keys(rescue).isNull()
-    nothing_read = [F.col(f.name).isNull() for f in strip_provenance(schema).fields]
+    nothing_read = [F.col(quoted(f.name)).isNull() for f in strip_provenance(schema).fields]
     return reduce(Column.__and__, nothing_read, F.col(rescue).isNotNull())
 
 

@@ -34,10 +34,10 @@ BRONZE = [
     "CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE o_orderpriority END AS description",
     "o_totalprice AS price",
     "CASE o_orderkey % 4 WHEN 0 THEN 'ES' WHEN 1 THEN 'PT' WHEN 2 THEN 'BR' ELSE 'UK' END AS entity",
-    "concat('landing-', date_format(o_orderdate, 'yyyy-MM'), '.csv') AS file_name",
+    "concat('landing-', year(o_orderdate), '-', month(o_orderdate), '.csv') AS file_name",
     "trunc(o_orderdate, 'MM') AS ingest_date",
-    "CAST(trunc(o_orderdate, 'MM') AS TIMESTAMP_NTZ) + make_dt_interval(0, CASE"
-    " WHEN month(o_orderdate) = 1 AND o_orderkey % 2 = 1 THEN 18 ELSE 6 END) AS ingest_time",
+    "CASE WHEN month(o_orderdate) = 1 AND o_orderkey % 2 = 1 THEN '18:00' ELSE '06:00' END"
+    " AS ingest_time",
 ]
 
 BRONZE_SQL = """bronze AS (
@@ -46,11 +46,10 @@ BRONZE_SQL = """bronze AS (
     CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE o_orderpriority END AS description,
     o_totalprice AS price,
     CASE o_orderkey % 4 WHEN 0 THEN 'ES' WHEN 1 THEN 'PT' WHEN 2 THEN 'BR' ELSE 'UK' END AS entity,
-    'landing-' || strftime(o_orderdate, '%Y-%m') || '.csv' AS file_name,
+    concat('landing-', year(o_orderdate), '-', month(o_orderdate), '.csv') AS file_name,
     strftime(o_orderdate, '%Y-%m-01') AS ingest_date,
-    strftime(o_orderdate, '%Y-%m-01') || CASE
-      WHEN month(o_orderdate) = 1 AND o_orderkey % 2 = 1 THEN ' 18:00:00' ELSE ' 06:00:00'
-      END AS ingest_time
+    CASE WHEN month(o_orderdate) = 1 AND o_orderkey % 2 = 1 THEN '18:00' ELSE '06:00' END
+      AS ingest_time
   FROM orders)"""
 
 INVOICE_RULES = {

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.transforms import FILE_COLUMN, RESCUE_COLUMN, extended, strip_provenance
+from ..operators.transforms import FILE_COLUMN, RESCUE_COLUMN, extended, quoted, strip_provenance
 
 
 def read_landing(
@@ -67,7 +67,7 @@ def _csv(reader, path: str, schema: T.StructType) -> DataFrame:
     # the rescue column is tied to all of them; else a later select of a few
     # columns, or a filter on it, would change which records count as rescued.
     # A hash is never below the least int, but the optimizer does not know that.
-    columns = [F.col(name) for name in schema.fieldNames()]
+    columns = [F.col(quoted(name)) for name in schema.fieldNames()]
     rescued = F.when(F.hash(*columns) >= F.lit(-(2**31)), F.col(RESCUE_COLUMN))
     return raw.select(*columns, rescued.alias(RESCUE_COLUMN), _file_name())
 
@@ -96,7 +96,7 @@ def _json(reader, path: str, schema: T.StructType, options: Mapping[str, str]) -
         ).alias("parsed"),
     )
     rescued = F.coalesce(F.col(f"parsed.{RESCUE_COLUMN}"), F.when(has_more, more))
-    fields = [F.col(f"parsed.`{name}`").alias(name) for name in schema.fieldNames()]
+    fields = [F.col(f"parsed.{quoted(name)}").alias(name) for name in schema.fieldNames()]
     return parsed.select(*fields, rescued.alias(RESCUE_COLUMN), FILE_COLUMN)
 
 

@@ -14,6 +14,8 @@ from ..operators.expectations import KEPT, TOTAL, metric_tuples
 from ..plans.rules import Rules
 
 
+OPEN_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
 EVENT_SCHEMA = "event_id STRING, timestamp STRING, flow_name STRING, details STRING"
 
 
@@ -46,14 +48,23 @@ class StreamTables:
         """Start a triggered query: take in what is new, then stop."""
         writer = (
             df.writeStream.format(file_format)
-            .queryName(name)
+            .queryName(f"{self.root}/{name}")
             .outputMode("append")
             .option("checkpointLocation", self.checkpoint(name))
             .trigger(availableNow=True)
         )
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        return writer.start(path or self.path(name))
+        target = path or self.path(name)
+        if not partition_by:
+            return writer.start(target)
+        # A few partition values can each keep a file open; the default is to
+        # sort every row by them first. The query takes its settings when it
+        # starts, so the caller's are put back at once.
+        kept = self.spark.conf.get(OPEN_WRITERS)
+        self.spark.conf.set(OPEN_WRITERS, max(int(kept), 8))
+        try:
+            return writer.partitionBy(*partition_by).start(target)
+        finally:
+            self.spark.conf.set(OPEN_WRITERS, kept)
 
     def stream(
         self, name: str, schema: T.StructType, max_bytes: int | None = None
@@ -150,7 +161,7 @@ def settle(*queries: StreamingQuery) -> list[StreamResult]:
     Progress is gathered while they run, since a query keeps only its latest
     batches. If one fails the others are stopped and its error is raised.
     """
-    results = [StreamResult(q.name, str(q.id)) for q in queries]
+    results = [StreamResult(q.name.rsplit("/", 1)[-1], str(q.id)) for q in queries]
     pending = list(range(len(queries)))
     try:
         while pending:
