@@ -48,7 +48,7 @@ def test_row_level_work_is_one_piece_of_generated_code(spark, sf_dir, plan, name
 @pytest.mark.parametrize(
     "name, count",
     [("expect_keep_metrics", 1), ("quarantine_by_rule", 1), ("file_counts", 1),
-     ("file_reconciliation", 1), ("stream_single_pass", 1)],
+     ("file_reconciliation", 1), ("single_pass_reconciliation", 1), ("stream_single_pass", 1)],
 )
 def test_counts_are_summed_before_the_only_shuffle(spark, sf_dir, plan, name, count):
     text = plan(QUERIES[name](spark, sf_dir))

@@ -3,9 +3,14 @@ from __future__ import annotations
 import pytest
 
 from weirflow.operators import (
+    control_of_counts,
+    expect_drop,
     file_counts,
     file_reconciliation,
+    label,
     loaded_vs_rejected,
+    quarantine,
+    reconciliation_of_labelled,
     union_all,
     where_sql,
     with_entity,
@@ -77,6 +82,24 @@ def test_reconciliation_shows_every_file_once_per_ingestion(layers, rows):
     ]
 
 
+def test_control_table_of_stored_counts_is_the_same(spark, layers, tmp_path, rows):
+    file_reconciliation(*layers, id_column="id").write.parquet(str(tmp_path / "counts"))
+    counts = spark.read.parquet(str(tmp_path / "counts"))
+    assert rows(control_of_counts(counts)) == rows(loaded_vs_rejected(*layers))
+    assert rows(counts.drop("ids_OK", "ids_KO")) == rows(file_reconciliation(*layers))
+
+
+def test_counts_of_labelled_rows(spark, rows):
+    df = spark.createDataFrame(
+        [("f", "d", "t", 1), ("f", "d", "t", -1), ("f", "d", "t", None), ("g", "d", "t", None)],
+        KEYS + ", id INT",
+    )
+    rules = {"positive": "id > 0"}
+    expected = file_reconciliation(expect_drop(df, rules), quarantine(df, rules), id_column="id")
+    found = reconciliation_of_labelled(label(df, rules), id_column="id")
+    assert rows(found) == rows(expected) == [("f", "d", "t", 1, 2, 1, 1), ("g", "d", "t", 0, 1, 0, 0)]
+
+
 def test_one_file_with_most_rows_is_counted_before_it_is_shuffled(spark, plan):
     df = spark.range(1000).selectExpr(
         "'hot' AS InputFileName", "'ES' AS Entity", "'d' AS IngestionDate", "'t' AS IngestionTime"

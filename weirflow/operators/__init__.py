@@ -1,4 +1,10 @@
-from .controls import file_counts, file_reconciliation, loaded_vs_rejected
+from .controls import (
+    control_of_counts,
+    file_counts,
+    file_reconciliation,
+    loaded_vs_rejected,
+    reconciliation_of_labelled,
+)
 from .eventlog import (
     append_new_events,
     json_dataset,
@@ -32,6 +38,7 @@ from .transforms import (
 __all__ = [
     "alerts",
     "append_new_events",
+    "control_of_counts",
     "expect_drop",
     "expect_fail",
     "expect_keep",
@@ -45,6 +52,7 @@ __all__ = [
     "parse_details",
     "passes",
     "quarantine",
+    "reconciliation_of_labelled",
     "rule_metric_rows",
     "rule_metrics",
     "rule_metrics_by",

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .expectations import FAILED_COLUMN
 from .transforms import DATE_COLUMN, ENTITY_COLUMN, FILE_COLUMN, TIME_COLUMN
 
 
@@ -54,16 +55,58 @@ def file_reconciliation(
     quarantined: DataFrame,
     file_column: str = FILE_COLUMN,
     by: Sequence[str] = (DATE_COLUMN, TIME_COLUMN),
+    id_column: str | None = None,
 ) -> DataFrame:
     """Rows loaded and rejected per file and ingestion, zeros included.
 
     A full outer join of the two counts in effect, done as one aggregate over
-    both inputs: one shuffle of counts, no join.
+    both inputs: one shuffle of counts, no join. With an ``id_column`` the ids
+    are counted too, and `control_of_counts` makes the control table of that.
     """
-    keys = [file_column, *by]
-    sides = silver.select(*keys, F.lit(True).alias("_ok")).union(
-        quarantined.select(*keys, F.lit(False).alias("_ok"))
+    columns = [file_column, *by, *([id_column] if id_column else [])]
+    sides = silver.select(*columns, F.lit(True).alias("_ok")).union(
+        quarantined.select(*columns, F.lit(False).alias("_ok"))
     )
-    return sides.groupBy(*keys).agg(
-        F.count_if("_ok").alias("rows_OK"), F.count_if(~F.col("_ok")).alias("rows_KO")
+    return _sides_counted(sides, F.col("_ok"), [file_column, *by], id_column)
+
+
+def reconciliation_of_labelled(
+    labelled: DataFrame,
+    failed_column: str = FAILED_COLUMN,
+    file_column: str = FILE_COLUMN,
+    by: Sequence[str] = (DATE_COLUMN, TIME_COLUMN),
+    id_column: str | None = None,
+) -> DataFrame:
+    """`file_reconciliation` of rows that carry the names of the rules they break."""
+    ok = F.size(failed_column) == 0
+    return _sides_counted(labelled, ok, [file_column, *by], id_column)
+
+
+def control_of_counts(
+    counts: DataFrame,
+    file_column: str = FILE_COLUMN,
+    by: Sequence[str] = (DATE_COLUMN, TIME_COLUMN),
+) -> DataFrame:
+    """`loaded_vs_rejected` from stored counts that include ids.
+
+    ``counts`` is read twice, so it should be a table: then the rows themselves
+    have been read only once, for both control tables.
+    """
+    loaded = counts.filter("rows_OK > 0").select(file_column, *by, F.col("ids_OK").alias("rows_OK"))
+    rejected = counts.filter("rows_KO > 0").select(file_column, F.col("ids_KO").alias("rows_KO"))
+    return loaded.join(rejected, file_column, "left").select(
+        file_column, *by, "rows_OK", "rows_KO"
     )
+
+
+def _sides_counted(
+    rows: DataFrame, ok: Column, keys: Sequence[str], id_column: str | None
+) -> DataFrame:
+    counts = [F.count_if(ok).alias("rows_OK"), F.count_if(~ok).alias("rows_KO")]
+    if id_column:
+        has_id = F.col(id_column).isNotNull()
+        counts += [
+            F.count_if(ok & has_id).alias("ids_OK"),
+            F.count_if(~ok & has_id).alias("ids_KO"),
+        ]
+    return rows.groupBy(*keys).agg(*counts)

@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (
+    control_of_counts,
     expect_drop,
     file_counts,
     file_reconciliation,
+    label,
     loaded_vs_rejected,
     quarantine,
+    reconciliation_of_labelled,
     union_all,
     with_entity,
 )
 from ..scratch import scratch_dir
-from ..sources import create_database, save_table
+from ..sources import create_database, save_table, write_complete
 from .inputs import BRONZE_SQL, INVOICE_RULES, INVOICE_RULES_SQL, bronze, table
 from .registry import query
 
@@ -87,20 +90,15 @@ def complete_control_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {SIDES_SQL}
+LOADED_VS_REJECTED_SQL = f"""WITH {SIDES_SQL}
     SELECT a.file_name, a.ingest_date, a.ingest_time, a."rows_OK", b."rows_KO"
     FROM (SELECT count(customer_id) AS "rows_OK", file_name, ingest_date, ingest_time
           FROM silver GROUP BY file_name, ingest_date, ingest_time) AS a
     LEFT JOIN (SELECT count(customer_id) AS "rows_KO", file_name, ingest_date, ingest_time
           FROM quarantine GROUP BY file_name, ingest_date, ingest_time) AS b
-    ON a.file_name = b.file_name""", name="loaded_vs_rejected")
-def loaded_and_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver, kept_aside = sides(spark, sf_dir)
-    counts = loaded_vs_rejected(silver, kept_aside, "customer_id", "file_name", INGESTION)
-    return counts.select("file_name", *text_of(*INGESTION), "rows_OK", "rows_KO")
-
+    ON a.file_name = b.file_name"""
 
-@query(f"""WITH {SIDES_SQL}
+RECONCILIATION_SQL = f"""WITH {SIDES_SQL}
     SELECT coalesce(a.file_name, b.file_name) AS file_name,
       coalesce(a.ingest_date, b.ingest_date) AS ingest_date,
       coalesce(a.ingest_time, b.ingest_time) AS ingest_time,
@@ -110,8 +108,42 @@ def loaded_and_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     FULL OUTER JOIN (SELECT count(*) AS "rows_KO", file_name, ingest_date, ingest_time
           FROM quarantine GROUP BY file_name, ingest_date, ingest_time) AS b
     ON a.file_name = b.file_name AND a.ingest_date = b.ingest_date
-      AND a.ingest_time = b.ingest_time""", name="file_reconciliation")
+      AND a.ingest_time = b.ingest_time"""
+
+
+@query(LOADED_VS_REJECTED_SQL, name="loaded_vs_rejected")
+def loaded_and_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver, kept_aside = sides(spark, sf_dir)
+    counts = loaded_vs_rejected(silver, kept_aside, "customer_id", "file_name", INGESTION)
+    return counts.select("file_name", *text_of(*INGESTION), "rows_OK", "rows_KO")
+
+
+@query(RECONCILIATION_SQL, name="file_reconciliation")
 def reconciled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver, kept_aside = sides(spark, sf_dir)
     counts = file_reconciliation(silver, kept_aside, "file_name", INGESTION)
     return counts.select("file_name", *text_of(*INGESTION), "rows_OK", "rows_KO")
+
+
+def counted_in_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = label(bronze(spark, sf_dir), INVOICE_RULES)
+    return reconciliation_of_labelled(
+        labelled, file_column="file_name", by=INGESTION, id_column="customer_id"
+    )
+
+
+@query(RECONCILIATION_SQL)
+def single_pass_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from one reading of the rows."""
+    return counted_in_one_pass(spark, sf_dir).select(
+        "file_name", *text_of(*INGESTION), "rows_OK", "rows_KO"
+    )
+
+
+@query(LOADED_VS_REJECTED_SQL)
+def single_pass_control_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from one reading of the rows: the counts are stored, then joined."""
+    path = scratch_dir(spark, "counts")
+    write_complete(counted_in_one_pass(spark, sf_dir), path)
+    counts = control_of_counts(spark.read.parquet(path), "file_name", INGESTION)
+    return counts.select("file_name", *text_of(*INGESTION), "rows_OK", "rows_KO")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.controls import file_counts, file_reconciliation, loaded_vs_rejected
+from ..operators.controls import control_of_counts, file_counts, file_reconciliation
 from ..operators.expectations import FAILED_COLUMN, METRICS_SCHEMA, expect_drop, expect_keep, label
 from ..operators.expectations import quarantine as quarantined_rows
 from ..operators.transforms import RESCUE_COLUMN, extended, malformed, union_all, with_provenance
@@ -176,15 +176,18 @@ def run_entity_flow(
         silver = tables.read(flow.table("silver"), schema)
         kept_aside = tables.read(flow.table("quarantine"), quarantine_schema)
         counted = CheckedStream(streams[flow.table("silver")], rules, drops=True)
-    tables.replace(loaded_vs_rejected(silver, kept_aside, flow.id_column), flow.table("ctl"))
-    tables.replace(file_reconciliation(silver, kept_aside), flow.table("reconciliation"))
+    # The layers are counted once; the control table is made of those counts.
+    counts = file_reconciliation(silver, kept_aside, id_column=flow.id_column)
+    tables.replace(counts, flow.table("reconciliation"))
+    counts = tables.read(flow.table("reconciliation"))
+    tables.replace(control_of_counts(counts), flow.table("ctl"))
     return FlowResult(
         tables={
             "bronze": tables.read(flow.table("bronze"), schema),
             "silver": silver,
             "quarantine": kept_aside,
             "ctl": tables.read(flow.table("ctl")),
-            "reconciliation": tables.read(flow.table("reconciliation")),
+            "reconciliation": counts,
         },
         streams=streams,
         checks=[counted],
