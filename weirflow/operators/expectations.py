@@ -36,16 +36,8 @@ def rules_hold(rules: Rules) -> Column:
 
 
 def failed_rules(rules: Rules) -> Column:
-    """Names of the rules a row breaks, in rule order.
-
-    `array_except` takes out the NULLs the met rules leave: unlike a lambda it
-    stays inside generated code (and rule names never repeat).
-    """
-    none_failed = F.array().cast("array<string>")
-    if not rules:
-        return none_failed
-    names = F.array(*[F.when(~passes(p), F.lit(name)) for name, p in rules.items()])
-    return F.array_except(names, F.array(F.lit(None).cast("string")))
+    """Names of the rules a row breaks, in rule order."""
+    return _names({name: passes(predicate) for name, predicate in rules.items()})
 
 
 def expect_drop(
@@ -82,7 +74,7 @@ def quarantine(df: DataFrame, rules: Rules, column: str = FAILED_COLUMN) -> Data
     Rows are filtered on one short-circuit predicate first, so the names are
     worked out only for the rows that stay.
     """
-    return df.filter(~_all_hold(rules)).withColumn(column, failed_rules(rules))
+    return label(df.filter(~_all_hold(rules)), rules, column)
 
 
 def label(
@@ -94,25 +86,15 @@ def label(
     """All rows with the names of the rules they break (an empty array if none).
 
     One pass that serves both sides: `size(column) = 0` is the drop result, the
-    rest is the quarantine. The counts of an ``observation`` are read off the
-    names; no rule is evaluated again for them.
+    rest is the quarantine. With an ``observation`` the counts per rule are
+    taken from the same verdicts.
     """
-    # Most rows are clean: they take the one short-circuit predicate and no list.
-    labelled = df.withColumn(
-        column,
-        F.when(_all_hold(rules), F.array().cast("array<string>")).otherwise(failed_rules(rules)),
-    )
-    if observation is None:
-        return labelled
-    return labelled.observe(
-        observation,
-        F.count(F.lit(1)).alias(TOTAL),
-        F.count_if(F.size(column) == 0).alias(KEPT),
-        *[
-            F.count_if(~F.array_contains(column, name)).alias(_metric(i))
-            for i, name in enumerate(rules)
-        ],
-    )
+    judged, verdicts = _judged(df, rules)
+    if observation is not None:
+        judged = _counted(judged, verdicts, observation)
+    clean = reduce(Column.__and__, verdicts.values(), F.lit(True))
+    names = F.when(clean, _no_names()).otherwise(_names(verdicts))
+    return judged.withColumn(column, names).drop(*_columns(rules))
 
 
 def rule_metrics(df: DataFrame, rules: Rules, dataset: str) -> DataFrame:
@@ -149,28 +131,60 @@ def alerts(metrics: DataFrame, tolerated: int = 0) -> DataFrame:
     return metrics.filter(F.col("failed_records") > F.lit(tolerated))
 
 
+def _no_names() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _names(verdicts: dict[str, Column]) -> Column:
+    # `array_except` takes out the NULLs that rules which hold leave: unlike a
+    # lambda it stays inside generated code (and rule names never repeat).
+    if not verdicts:
+        return _no_names()
+    names = F.array(*[F.when(~verdict, F.lit(name)) for name, verdict in verdicts.items()])
+    return F.array_except(names, F.array(F.lit(None).cast("string")))
+
+
 def _all_hold(rules: Rules) -> Column:
     return F.coalesce(rules_hold(rules), F.lit(False))
 
 
-def _observed(
-    df: DataFrame, rules: Rules, observation: Observation | str, drop: bool
+def _columns(rules: Rules) -> list[str]:
+    return [f"_verdict{i}" for i in range(len(rules))]
+
+
+def _judged(df: DataFrame, rules: Rules) -> tuple[DataFrame, dict[str, Column]]:
+    """The rows with a boolean column per rule, and those columns by rule name.
+
+    Each rule is evaluated once for all that is made of its verdict. Rules that
+    call SQL functions may be counted that way; the counters themselves may not
+    call any.
+    """
+    columns = _columns(rules)
+    if columns:
+        df = df.withColumns({c: passes(p) for c, p in zip(columns, rules.values())})
+    return df, {name: F.col(column) for name, column in zip(rules, columns)}
+
+
+def _counted(
+    judged: DataFrame, verdicts: dict[str, Column], observation: Observation | str
 ) -> DataFrame:
-    # Verdicts become columns below the counters: each rule is evaluated once for
-    # the counts and the filter together, and rules may call SQL functions,
-    # which the counters themselves may not.
-    verdicts = {f"_verdict{i}": passes(p) for i, p in enumerate(rules.values())}
-    held = reduce(Column.__and__, [F.col(v) for v in verdicts], F.lit(True))
-    observed = df.withColumns(verdicts) if verdicts else df
-    observed = observed.observe(
+    held = reduce(Column.__and__, verdicts.values(), F.lit(True))
+    return judged.observe(
         observation,
         F.count(F.lit(1)).alias(TOTAL),
         F.count_if(held).alias(KEPT),
-        *[F.count_if(F.col(v)).alias(_metric(i)) for i, v in enumerate(verdicts)],
+        *[F.count_if(v).alias(_metric(i)) for i, v in enumerate(verdicts.values())],
     )
+
+
+def _observed(
+    df: DataFrame, rules: Rules, observation: Observation | str, drop: bool
+) -> DataFrame:
+    judged, verdicts = _judged(df, rules)
+    counted = _counted(judged, verdicts, observation)
     if drop:
-        observed = observed.filter(held)
-    return observed.drop(*verdicts)
+        counted = counted.filter(reduce(Column.__and__, verdicts.values(), F.lit(True)))
+    return counted.drop(*_columns(rules))
 
 
 def _metric(position: int) -> str:
