@@ -6,9 +6,8 @@ import oracle
 import pytest
 
 import __spark_entry__ as driver
-
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+from weirflow.queries import ORACLES as SQL
+from weirflow.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -26,3 +25,8 @@ def test_query(spark, sf_dir, duck, name):
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_all_are_registered():
+    assert QUERIES.items() <= driver.queries().items()
+    assert SQL.items() <= driver.oracle_sql().items()
