@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from weirflow.scratch import scratch_dir
 
@@ -84,3 +89,57 @@ def has_bit(words: Column, hashed: Column, bits: int) -> Column:
     at = F.pmod(hashed, F.lit(bits))
     word = F.get(words, F.shiftright(at, 6).cast("int"))
     return F.call_function("shiftright", word, (at % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+#: Texts are handed to Python functions in lists of about so many bytes.
+CHUNK_BYTES = 8_000_000
+
+#: Given texts as UTF-8 (None for null), makes a list of rows per text.
+TextFunction = Callable[[list[bytes | None]], list[Sequence[tuple]]]
+
+
+def flat_map_texts(
+    df: DataFrame, keep: Sequence[str], text: Column, fields: str, start: Callable[[], TextFunction]
+) -> DataFrame:
+    """Rows made from each text by Python, behind the columns ``keep`` of its row.
+
+    ``start`` is called once per task and gives the function that is applied to
+    lists of texts. Kept columns pass through as they are, whatever their type.
+    """
+    made = StructType.fromDDL(fields)
+    schema = StructType([df.schema[c] for c in keep] + made.fields)
+    kinds, names = to_arrow_schema(made).types, schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = start()
+        for batch in batches:
+            sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(len(keep))), 0).to_pylist()
+            first = total = 0
+            for at, size in enumerate(sizes):
+                total += size
+                if total >= CHUNK_BYTES or at == len(sizes) - 1:
+                    yield part(function, batch.slice(first, at + 1 - first))
+                    first, total = at + 1, 0
+
+    def part(function: TextFunction, batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = function(batch.column(len(keep)).to_pylist())
+        origin = pa.array([i for i, rows in enumerate(found) for _ in rows], pa.int32())
+        kept = [batch.column(i).take(origin) for i in range(len(keep))]
+        columns = list(zip(*(row for rows in found for row in rows), strict=True)) or [()] * len(kinds)
+        return pa.RecordBatch.from_arrays(
+            kept + [pa.array(values, kind) for values, kind in zip(columns, kinds, strict=True)], names
+        )
+
+    return df.select(*keep, text.cast("binary").alias("_text_of_flat_map")).mapInArrow(run, schema)
+
+
+def map_texts(
+    df: DataFrame, keep: Sequence[str], text: Column, fields: str, start: Callable[[], Callable[[bytes | None], tuple]]
+) -> DataFrame:
+    """One row per text: as :func:`flat_map_texts` for a function of one text."""
+
+    def one_by_one() -> TextFunction:
+        function = start()
+        return lambda texts: [(function(x),) for x in texts]
+
+    return flat_map_texts(df, keep, text, fields, one_by_one)

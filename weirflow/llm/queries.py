@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from .common import table
 from .decontaminate import contamination
 from .exact_dedup import exact_groups
+from .license_scan import scan_licenses
 from .reply_trees import format_reply_trees, linear_messages, masked_text, read_back
+from .url_reputation import Rule, judge_urls, page_outcome
 
 LLM_QUERIES = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -143,3 +145,22 @@ def op7_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("said").cast("binary"), 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query()
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+URL_RULES = (
+    Rule("net", "/", "block"),
+    Rule("example.net", "/en/", "allow"),
+    Rule("example.com", "/de/", "block"),
+    Rule("org", "/fr/", "allow"),
+)
+
+
+@query()
+def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return judge_urls(pages, page_outcome(F.col("html")), URL_RULES)
