@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +10,8 @@ from .common import table
 from .decontaminate import contamination
 from .exact_dedup import exact_groups
 from .license_scan import scan_licenses
+from .near_dedup import near_duplicates
+from .packing import pack
 from .reply_trees import format_reply_trees, linear_messages, masked_text, read_back
 from .url_reputation import Rule, judge_urls, page_outcome
 
@@ -164,3 +167,13 @@ URL_RULES = (
 def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return judge_urls(pages, page_outcome(F.col("html")), URL_RULES)
+
+
+@query()
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
