@@ -12,7 +12,9 @@ from .exact_dedup import exact_groups
 from .license_scan import scan_licenses
 from .near_dedup import near_duplicates
 from .packing import pack
+from .pu_quality import score_quality, train_quality
 from .reply_trees import format_reply_trees, linear_messages, masked_text, read_back
+from .sampling import held_out
 from .url_reputation import Rule, judge_urls, page_outcome
 
 LLM_QUERIES = {}
@@ -177,3 +179,16 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def quality_learns(key):
+    """Documents whose labels the quality classifier may see."""
+    return ~held_out(key, 5, 0)
+
+
+@query()
+def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_quality(docs, table(spark, sf_dir, "labels"), quality_learns)
+    scored = score_quality(docs, model, ["doc_id"])
+    return scored.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
