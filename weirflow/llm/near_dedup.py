@@ -49,17 +49,22 @@ def _key():
     return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
 
 
-def _stars(nodes: DataFrame) -> DataFrame:
-    """(a, b): each member of a bucket of several texts with the bucket's first text."""
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """(bucket, node, first) for every member of a bucket that holds several texts."""
     members = nodes.select("node", F.explode("bands").alias("bucket"))
     first = stored(
         members.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1").select("bucket", "first"),
-        "buckets",
+        "first",
     )
-    return members.join(first, "bucket").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    return stored(members.join(first, "bucket"), "buckets")
+
 
+def _stars(buckets: DataFrame) -> DataFrame:
+    """(a, b): each member of a bucket of several texts with the bucket's first text."""
+    return buckets.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
 
-def _rest(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+
+def _rest(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """(a, b): pairs that share a bucket, lie in different components, and look alike.
 
     In most buckets all members are linked by then. In each other one, all
@@ -67,11 +72,12 @@ def _rest(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     by block, by their digests; only pairs that agree enough leave the task. So
     a component of any size costs one row per member and block of strangers.
     """
-    placed = nodes.join(labels, "node", "left").select(
-        "node", F.coalesce("label", "node").alias("label"), "size", "bands", "digest"
+    members = stored(
+        buckets.select("node", "bucket").join(labels, "node", "left").select(
+            "node", "bucket", F.coalesce("label", "node").alias("label")
+        ),
+        "members",
     )
-    placed = stored(placed, "placed")
-    members = placed.select("node", "label", F.explode("bands").alias("bucket"))
     parts = members.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     mixed = stored(
         parts.groupBy("bucket")
@@ -85,7 +91,9 @@ def _rest(nodes: DataFrame, labels: DataFrame) -> DataFrame:
         ),
         "mixed",
     )
-    spread = placed.select("node", "label", "size", "digest", F.explode("bands").alias("bucket")).join(mixed, "bucket")
+    # Ids only until it is known who takes part; then each gets its digest.
+    taking_part = stored(members.join(mixed, "bucket"), "taking-part")
+    spread = taking_part.join(nodes.select("node", "size", "digest"), "node")
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
     other = F.pmod(F.xxhash64("node"), F.col("others"))
     member = F.struct("node", "label", "size", "digest")
@@ -233,9 +241,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
-    stars = stored(_alike(_stars(nodes), nodes), "stars")
+    buckets = _buckets(nodes)
+    stars = stored(_alike(_stars(buckets), nodes), "stars")
     links = stored(_verified(stars, docs, text_column), "links")
-    rest = _rest(nodes, components(links)).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    rest = _rest(buckets, nodes, components(links)).join(stars.select("a", "b"), ["a", "b"], "left_anti")
     rest = stored(_alike(rest, nodes), "rest")
     more = stored(_verified(rest, docs, text_column), "links")
     labels = components(links.unionByName(more))
