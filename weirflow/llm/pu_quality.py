@@ -17,8 +17,10 @@ from .sampling import labelled_texts, unlabelled_texts
 #: Texts a model is fitted on: at most so many trusted positives, and so many unlabelled ones.
 MOST_POSITIVE, MOST_UNLABELLED = 10_000, 20_000
 THRESHOLD = 0.3
-#: Knots per feature, steps of the descent, its rate, and the weight of the penalty.
-KNOTS, STEPS, RATE, PENALTY = (0.05, 0.25, 0.5, 0.75, 0.9, 0.97), 400, 0.05, 1e-3
+#: Each share is seen at these scales, at which it levels off.
+SCALES = (0.05, 0.3)
+#: Steps of the descent, its rate, the weight of the penalty, and the least spread of a feature.
+STEPS, RATE, PENALTY, LEAST_SPREAD = 400, 0.05, 1e-3, 0.05
 
 _SIGNS = re.compile(rb"[!#$%&*+=@^_~|<>\\]{2,}")
 _NO_UPPER = bytes(range(256)), UPPER.encode()
@@ -32,46 +34,38 @@ def _without(data: bytes, table: tuple[bytes, bytes]) -> int:
 
 
 def features(data: bytes | None) -> list[float]:
-    """What the look of a text tells, as numbers that hardly depend on its length or language."""
+    """What the look of a text tells: shares that hardly depend on its length or language."""
     data = data or b""
     words = data.split()
     n, size = max(1, len(words)), max(1, len(data))
     lines = [x for x in data.split(b"\n") if x.strip()]
     letters = len(data) - _without(data, _NO_LETTER)
     upper = len(data) - _without(data, _NO_UPPER)
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    distinct = len(set(words))
-    return [
-        math.log1p(len(words)),
-        float(lengths.mean()) if words else 0.0,
-        float((lengths >= 20).mean()) if words else 0.0,
-        float((lengths == 1).mean()) if words else 0.0,
+    shares = [
         sum(map(operator.eq, words, words[1:])) / n,
-        math.log(n / max(1, distinct)),
+        1 - math.log(1 + len(set(words))) / math.log(1 + n) if words else 0.0,
         len(_SIGNS.findall(data)) / n,
         upper / max(1, letters),
         (len(data) - _without(data, _NO_DIGIT)) / size,
         (len(data) - _without(data, _NO_PUNCTUATION)) / size,
-        math.log((1 + len(lines)) / (1 + len(set(lines)))),
-        math.log1p(n / max(1, len(lines))),
-        sum(x.endswith((b".", b"!", b"?", b"\xe3\x80\x82")) for x in lines) / max(1, len(lines)),
-        words.count(b"|") / n,
+        1 - len(set(lines)) / max(1, len(lines)),
+        sum(len(x) == 1 and not x.isalnum() for x in words) / n,
+        sum(len(x) > 40 for x in words) / n,
     ]
+    return [math.tanh(x / scale) for x in shares for scale in SCALES] + [float(not words)]
 
 
 @dataclass(frozen=True)
 class PuModel:
-    """A linear model over hinges of the features; its score is the chance of a positive."""
+    """A linear model over the features; its score is the chance of a positive."""
 
-    knots: np.ndarray  # features x knots
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
     prior: float
 
     def basis(self, x: np.ndarray) -> np.ndarray:
-        hinges = np.maximum(0.0, x[:, :, None] - self.knots[None])
-        return (np.concatenate([x, hinges.reshape(len(x), -1)], axis=1) - self.mean) / self.scale
+        return (x - self.mean) / self.scale
 
     def margin(self, x: np.ndarray) -> np.ndarray:
         return self.basis(x) @ self.weights[:-1] + self.weights[-1]
@@ -132,17 +126,11 @@ def _descend(p: np.ndarray, u: np.ndarray, prior: float | None) -> np.ndarray:
 def fit(positive: np.ndarray, unlabelled: np.ndarray) -> PuModel:
     """A model from the features of trusted positives and of unlabelled texts."""
     both = np.concatenate([positive, unlabelled])
-    # Half the knots' places come from each side, so that what is rare among positives has some.
-    knots = np.concatenate([np.quantile(positive, KNOTS, axis=0), np.quantile(unlabelled, KNOTS, axis=0)]).T
-    width = both.shape[1] * (1 + knots.shape[1])
-    plain = PuModel(knots, np.zeros(width), np.ones(width), np.zeros(width + 1), 0.5)
-    basis = plain.basis(both)
-    scale = np.maximum(basis.std(axis=0), 1e-6)
-    model = PuModel(knots, basis.mean(axis=0), scale, np.zeros(width + 1), 0.5)
-    p, u = model.basis(positive), model.basis(unlabelled)
+    mean, scale = both.mean(axis=0), np.maximum(both.std(axis=0), LEAST_SPREAD)
+    p, u = (positive - mean) / scale, (unlabelled - mean) / scale
     parting = _descend(p, u, None)
     prior = estimate_prior(p @ parting[:-1], u @ parting[:-1])
-    return PuModel(knots, model.mean, scale, _descend(p, u, prior), prior)
+    return PuModel(mean, scale, _descend(p, u, prior), prior)
 
 
 def _matrix(texts: DataFrame) -> np.ndarray:
