@@ -15,6 +15,7 @@ from .packing import pack
 from .pu_quality import score_quality, train_quality
 from .reply_trees import format_reply_trees, linear_messages, masked_text, read_back
 from .sampling import held_out
+from .toxicity import score_toxicity, train_toxicity
 from .url_reputation import Rule, judge_urls, page_outcome
 
 LLM_QUERIES = {}
@@ -192,3 +193,13 @@ def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train_quality(docs, table(spark, sf_dir, "labels"), quality_learns)
     scored = score_quality(docs, model, ["doc_id"])
     return scored.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_toxicity(docs, table(spark, sf_dir, "labels"), lambda key: ~held_out(key, 4, 2))
+    scored = score_toxicity(docs, model, ["doc_id"])
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted", "toxic_units"
+    )
