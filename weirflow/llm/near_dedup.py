@@ -18,8 +18,11 @@ SIMILARITY = 0.8
 #: A pair is verified if so many registers agree. Far below what pairs of the
 #: wanted similarity have: with 163 registers, 0.8 has a standard deviation of 0.03.
 LEAST_AGREEMENT = 0.6
-#: Rows of a bucket that are compared in one piece of work.
-BLOCK = 256
+#: Texts of a bucket on either side of one piece of work.
+BLOCK = 1024
+#: Shingles of a text that are kept as its sketch; two sketches tell the similarity
+#: exactly unless one is cut off, and then to about 0.02.
+SKETCH, SKETCH_ERROR = 512, 0.08
 #: The set of texts to fetch for verification: bits per text, and at most so many (16 MB).
 BITS_PER_TEXT, MOST_BITS = 32, 1 << 27
 
@@ -33,35 +36,50 @@ def _signed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
             matrix = signatures(sets)
             keys, digests = band_keys(matrix), digest(matrix)
             return [
-                [(len(s), keys[i].tolist() if len(s) else [], digests[i].tobytes())] for i, (s, _) in enumerate(sets)
+                [(len(s), keys[i].tolist() if len(s) else [], digests[i].tobytes(), sketch(s))]
+                for i, (s, _) in enumerate(sets)
             ]
 
         return sign
 
     keyed = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     return flat_map_texts(
-        keyed.withColumn("key", _key()), ["id", "key"], F.col("text"), "size int, bands array<long>, digest binary", start
+        keyed.withColumn("key", _key()), ["id", "key"], F.col("text"), "size int, bands array<long>, digest binary, sketch binary", start
     )
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """The smallest SKETCH hashes of a set, by their upper halves, in order."""
+    return np.sort((hashes >> np.uint64(32)).astype("<u4"))[:SKETCH].tobytes()
+
+
 def _key():
     """Names a text by its content, wherever and however often it is read."""
     return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, node, first) for every member of a bucket that holds several texts."""
+    """(bucket, node, center) for every member of a bucket that holds several texts.
+
+    The center is the member that meets most others, counted over all its
+    buckets: of a group of edited copies that is the one edited least, to which
+    the others are most similar, and it is the same one in most of their buckets.
+    """
     members = nodes.select("node", F.explode("bands").alias("bucket"))
-    first = stored(
-        members.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1").select("bucket", "first"),
-        "first",
+    sizes = stored(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    shared = stored(members.join(sizes, "bucket"), "shared")
+    met = stored(shared.groupBy("node").agg(F.sum("n").alias("met")), "met")
+    shared = stored(shared.drop("n").join(met, "node"), "shared")
+    centers = stored(
+        shared.groupBy("bucket").agg(F.max(F.struct("met", "node")).alias("top")).select("bucket", F.col("top.node").alias("center")),
+        "centers",
     )
-    return stored(members.join(first, "bucket"), "buckets")
+    return stored(shared.select("bucket", "node").join(centers, "bucket"), "buckets")
 
 
 def _stars(buckets: DataFrame) -> DataFrame:
-    """(a, b): each member of a bucket of several texts with the bucket's first text."""
-    return buckets.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    """(a, b): each member of a bucket of several texts with the bucket's center."""
+    return buckets.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
 
 
 def _rest(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -69,8 +87,9 @@ def _rest(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
 
     In most buckets all members are linked by then. In each other one, all
     members outside its largest component are compared with all members, block
-    by block, by their digests; only pairs that agree enough leave the task. So
-    a component of any size costs one row per member and block of strangers.
+    by block, first by their digests and then by their sketches; only pairs that
+    are similar leave the task, and of those that join the same two components
+    one. A component of any size costs one row per member and block of strangers.
     """
     members = stored(
         buckets.select("node", "bucket").join(labels, "node", "left").select(
@@ -93,10 +112,11 @@ def _rest(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     )
     # Ids only until it is known who takes part; then each gets its digest.
     taking_part = stored(members.join(mixed, "bucket"), "taking-part")
-    spread = taking_part.join(nodes.select("node", "size", "digest"), "node")
+    told = nodes.select("node", "size", "digest", "sketch", "bands")
+    spread = taking_part.join(told, "node")
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
     other = F.pmod(F.xxhash64("node"), F.col("others"))
-    member = F.struct("node", "label", "size", "digest")
+    member = F.struct("node", "label", "size", "digest", "sketch", "bands")
 
     def copies(whole, count, of_all):
         return F.transform(
@@ -120,35 +140,74 @@ def _rest(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
             F.collect_list(F.when(~F.col("seat.of_all"), F.col("member"))).alias("some"),
         )
         .where("size(some) > 0")
-        .select("all", "some")
+        .select("bucket", "all", "some")
     )
     return work.mapInArrow(_compared, "a long, b long").distinct()
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        pairs: list[tuple[int, int]] = []
-        for i in range(batch.num_rows):
-            everyone, strangers = _columns(batch.column("all"), i), _columns(batch.column("some"), i)
-            node, label, size, known = everyone
-            for n, where, s, own in zip(*strangers, strict=True):
-                near = (label != where) & (np.minimum(size, s) >= SIMILARITY * np.maximum(size, s))
-                if near.any():
-                    alike = (known[near] == own).mean(axis=1) >= LEAST_AGREEMENT
-                    pairs += [(min(n, o), max(n, o)) for o in node[near][alike].tolist()]
-        ids = np.array(pairs, np.int64).reshape(-1, 2)
+        pairs = [
+            pair
+            for i in range(batch.num_rows)
+            for pair in _linked(
+                batch.column("bucket")[i].as_py(), Members(batch.column("all")[i].values), Members(batch.column("some")[i].values)
+            )
+        ]
+        ids = np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(ids[:, 0]), pa.array(ids[:, 1])], ["a", "b"])
 
 
-def _columns(lists: pa.ListArray, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    members = lists[i].values
-    digests = b"".join(members.field("digest").to_pylist())
-    return (
-        members.field("node").to_numpy(zero_copy_only=False).astype(np.int64),
-        members.field("label").to_numpy(zero_copy_only=False).astype(np.int64),
-        members.field("size").to_numpy(zero_copy_only=False),
-        np.frombuffer(digests, "<u2").reshape(len(members), REGISTERS),
-    )
+class Members:
+    """Members of a bucket as arrays."""
+
+    def __init__(self, rows: pa.StructArray):
+        self.node, self.label, self.size = (
+            rows.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("node", "label", "size")
+        )
+        self.digest = np.frombuffer(b"".join(rows.field("digest").to_pylist()), "<u2").reshape(len(rows), REGISTERS)
+        self.bands = rows.field("bands").flatten().to_numpy().reshape(len(rows), BANDS)
+        kept = [np.frombuffer(x, "<u4") for x in rows.field("sketch").to_pylist()]
+        self.length = np.fromiter(map(len, kept), np.int64, len(kept))
+        self.sketch = np.full((len(rows), SKETCH), 0xFFFFFFFF, np.uint32)
+        self.sketch[np.arange(SKETCH) < self.length[:, None]] = np.concatenate(kept)
+        # What a sketch says holds up to its last hash if it was cut off.
+        self.whole = self.length >= self.size
+        self.reach = np.where(self.whole, 0xFFFFFFFF, self.sketch[:, -1]).astype(np.uint32)
+
+
+def _linked(bucket: int, everyone: Members, some: Members) -> Iterator[tuple[int, int]]:
+    """Pairs of different components that are similar, each looked at in one bucket only."""
+    own_label = everyone.label.copy()
+    band = int(np.flatnonzero(some.bands[0] == bucket)[0])
+    for i in range(len(some.node)):
+        label = own_label[everyone.node == some.node[i]]
+        label = label[0] if len(label) else some.label[i]
+        size = some.size[i]
+        near = np.flatnonzero(
+            (own_label != label)
+            & (np.minimum(everyone.size, size) >= SIMILARITY * np.maximum(everyone.size, size))
+            & ~(everyone.bands[:, :band] == some.bands[i, :band]).any(axis=1)
+        )
+        near = near[(everyone.digest[near] == some.digest[i]).mean(axis=1) >= LEAST_AGREEMENT]
+        if not len(near):
+            continue
+        reach = np.minimum(everyone.reach[near], some.reach[i])
+        mine = some.sketch[i, : some.length[i]]
+        width = int(everyone.length[near].max())
+        theirs = everyone.sketch[near, :width]
+        valid = (np.arange(width) < everyone.length[near, None]) & (theirs <= reach[:, None])
+        place = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+        both = ((mine[place] == theirs) & valid).sum(axis=1)
+        total = valid.sum(axis=1) + np.searchsorted(mine, reach, "right") - both
+        similarity = both / np.maximum(total, 1)
+        exact = everyone.whole[near] & some.whole[i]
+        for n in near[similarity >= np.where(exact, SIMILARITY, SIMILARITY - SKETCH_ERROR)]:
+            if own_label[n] == label and n in near[exact]:
+                continue
+            yield int(everyone.node[n]), int(some.node[i])
+            if everyone.whole[n] and some.whole[i]:
+                own_label[own_label == own_label[n]] = label
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -237,7 +296,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     nodes = stored(
         signed.groupBy("key")
-        .agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("digest").alias("digest"))
+        .agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("digest").alias("digest"), F.first("sketch").alias("sketch"))
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
