@@ -19,7 +19,10 @@ MOST_TEXTS, MOST_HARMLESS, MOST_TOXIC_TEXTS, MOST_UNITS = 20_000, 10_000, 800, 1
 THRESHOLD = 0.3
 #: Landmarks at most from toxic texts and from harmless ones; units are alike from ALIKE on;
 #: candidates for landmarks so many that they meet at most PAIRS times with units.
-LANDMARKS, CALM_LANDMARKS, ALIKE, PAIRS = 96, 64, 0.5, 40_000_000
+LANDMARKS, CALM_LANDMARKS, ALIKE, PAIRS = 96, 64, 0.45, 20_000_000
+#: A unit is toxic evidence when the texts that hold it or something alike are so many
+#: standard deviations more than harmless texts would have it.
+LEAST_EXCESS = 3.0
 #: The kernel counts subsequences of three characters within SPAN, each at DECAY per
 #: character spanned; a unit longer than WIDTH is seen through windows of it.
 SPAN, DECAY, WIDTH, STRIDE = 7, 0.6, 24, 12
@@ -55,19 +58,23 @@ def units(data: bytes | None) -> set[bytes]:
 
 
 def encode(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of all windows of the units as a matrix (-1 beyond the end), and whose they are."""
+    """Symbols of all windows of the units as a matrix, and whose they are.
+
+    Signs are -1: they take up room in a span but are in no subsequence. So is
+    what lies beyond the end.
+    """
     texts, owner = [], []
     for i, x in enumerate(strings):
         text = x.decode("utf-8", "replace")
         for at in range(0, max(1, len(text) - WIDTH + STRIDE), STRIDE):
             texts.append(text[at : at + WIDTH])
             owner.append(i)
-    codes = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), "<u4")
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), "<u4").astype(np.int64)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     symbol = np.where(
         (codes >= 97) & (codes <= 122),
         codes - 97,
-        np.where((codes >= 48) & (codes <= 57), codes - 48 + 26, np.where(codes < 128, 36, 37 + codes % 27)),
+        np.where((codes >= 48) & (codes <= 57), codes - 48 + 26, np.where(codes < 128, -1, 36 + codes % 28)),
     )
     matrix = np.full((len(texts), WIDTH), -1, np.int64)
     matrix[np.arange(WIDTH) < lengths[:, None]] = symbol
@@ -77,7 +84,7 @@ def encode(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _triples(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of each row, the subsequences as numbers, with their weights (0 where beyond the end)."""
     a, b, c = (matrix[:, _PLACES[:, i]] for i in range(3))
-    there = c >= 0
+    there = (a >= 0) & (b >= 0) & (c >= 0)
     return np.where(there, (a * SYMBOLS + b) * SYMBOLS + c, 0), np.where(there, _DECAYS, 0.0)
 
 
@@ -218,12 +225,17 @@ def _best_of(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def choose_landmarks(toxic: list[set[bytes]], harmless: dict[bytes, float]) -> list[bytes]:
+def find_evidence(toxic: list[set[bytes]], harmless: dict[bytes, float]) -> tuple[list[bytes], list[bytes]]:
     """Units that toxic texts share, in their own form or a similar one, and harmless ones do not.
 
-    Taken one by one: each time the unit that is alike to something in most
-    toxic texts that have nothing yet, less what it would find in as many
-    harmless texts.
+    For each candidate the toxic texts that hold something alike are counted,
+    each by how alike it is, and compared with what as many harmless texts would
+    hold. The clearest excess comes first; what is almost the same as a unit
+    already taken is passed over. These are the landmarks, given first.
+
+    Learnt as toxic are, given second, of each toxic text the candidates with the
+    clearest excess in it: a text is toxic by one unit, so what merely looks a
+    little like a landmark is no example where the text has better evidence.
     """
     spread: dict[bytes, int] = {}
     for mine in toxic:
@@ -237,18 +249,32 @@ def choose_landmarks(toxic: list[set[bytes]], harmless: dict[bytes, float]) -> l
     held = np.stack([alike[[rank[u] for u in mine]].max(axis=0) for mine in toxic if mine])
     calm = _best_of(*kernel.values(list(harmless)), len(harmless))
     calm[calm < ALIKE] = 0
-    # Mean number of units per harmless text that are alike, against texts with any.
-    doubt = np.array(list(harmless.values())) @ calm**2
+    # Per harmless text, what is alike in sum: no less than its largest.
+    doubt = np.array(list(harmless.values())) @ calm**2 * len(held)
+    excess = ((held**2).sum(axis=0) - doubt) / np.sqrt(doubt + 1)
+    among = alike[: len(probes)]
     chosen: list[int] = []
-    covered = np.zeros(len(held), np.float32)
-    while len(chosen) < LANDMARKS:
-        gain = np.maximum(held - covered[:, None], 0).sum(axis=0) - 3 * len(held) * doubt
-        best = int(gain.argmax())
-        if gain[best] < (1.2 if chosen else -np.inf):
+    for p in np.argsort(-excess, kind="stable"):
+        if len(chosen) == LANDMARKS or excess[p] < LEAST_EXCESS and chosen:
             break
-        chosen.append(best)
-        covered = np.maximum(covered, held[:, best])
-    return [probes[i] for i in chosen]
+        if not chosen or among[chosen, p].max() < 0.75:
+            chosen.append(int(p))
+    clear = dict(zip(probes, excess.tolist(), strict=True))
+    learnt = set()
+    for mine in toxic:
+        most = max((clear[u] for u in mine if u in clear), default=0.0)
+        learnt |= {u for u in mine if clear.get(u, 0.0) >= max(LEAST_EXCESS, most / 2)}
+    landmarks = [probes[i] for i in chosen]
+    return landmarks, sorted(learnt) or landmarks
+
+
+def disguised(unit: bytes) -> list[bytes]:
+    """The unit with a character put in, at each of three places: to be learnt as well."""
+    text = unit.decode("utf-8", "replace")
+    if len(text) < 4:
+        return []
+    places = sorted({1, len(text) // 2, len(text) - 1})
+    return [(text[:at] + "xqz"[i] + text[at:]).encode() for i, at in enumerate(places)]
 
 
 class UnitMachine:
@@ -268,6 +294,7 @@ class UnitMachine:
         return values[np.searchsorted(owner, np.arange(len(strings)))].astype(float) @ self.whiten
 
     def train(self, toxic: list[bytes], harmless: list[bytes]) -> None:
+        toxic = toxic + [v for u in toxic for v in disguised(u)]
         x = np.concatenate([self.map(toxic), self.map(harmless)])
         side = np.concatenate([np.ones(len(toxic)), -np.ones(len(harmless))])
         weight = np.concatenate([np.full(len(toxic), 1 / len(toxic)), np.full(len(harmless), 2 / len(harmless))])
@@ -334,8 +361,7 @@ def train_toxicity(
     toxic = [{bytes(u["unit"]) for u in r["held"]} for r in bags.collect()]
     if not harmless or not any(toxic):
         return None
-    landmarks = choose_landmarks(toxic, harmless)
-    known = toxic_units(toxic, landmarks)
+    landmarks, known = find_evidence(toxic, harmless)
     calm_landmarks = [u for u in frequent if len(u) > 2][:CALM_LANDMARKS]
     machine, negatives = UnitMachine(landmarks + calm_landmarks), list(harmless)
     for _ in range(ROUNDS):
