@@ -105,7 +105,7 @@ def _rest(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
         .select(
             "bucket",
             F.col("most.label").alias("major"),
-            F.ceil(F.col("n") / BLOCK).alias("blocks"),
+            F.ceil(F.col("most.n") / BLOCK).alias("majors"),
             F.ceil((F.col("n") - F.col("most.n")) / BLOCK).alias("others"),
         ),
         "mixed",
@@ -113,47 +113,56 @@ def _rest(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     # Ids only until it is known who takes part; then each gets its digest.
     taking_part = stored(members.join(mixed, "bucket"), "taking-part")
     told = nodes.select("node", "size", "digest", "sketch", "bands")
-    spread = taking_part.join(told, "node")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    other = F.pmod(F.xxhash64("node"), F.col("others"))
-    member = F.struct("node", "label", "size", "digest", "sketch", "bands")
-
-    def copies(whole, count, of_all):
-        return F.transform(
-            F.sequence(F.lit(0).cast("long"), count - 1),
-            lambda i: F.struct(
-                (whole if of_all else i).alias("block"), (i if of_all else whole).alias("other"), F.lit(of_all).alias("of_all")
-            ),
-        )
-
-    seats = F.concat(
-        copies(block, F.col("others"), True),
-        F.when(F.col("label") != F.col("major"), copies(other, F.col("blocks"), False)).otherwise(
-            F.array().cast("array<struct<block:bigint,other:bigint,of_all:boolean>>")
-        ),
+    spread = taking_part.join(told, "node").select(
+        "bucket",
+        F.explode(_seats()).alias("seat"),
+        F.struct("node", "label", "size", "digest", "sketch", "bands").alias("member"),
     )
     work = (
-        spread.select("bucket", F.explode(seats).alias("seat"), member.alias("member"))
-        .groupBy("bucket", "seat.block", "seat.other")
+        spread.groupBy("bucket", "seat.block", "seat.of", "seat.against")
         .agg(
-            F.collect_list(F.when(F.col("seat.of_all"), F.col("member"))).alias("all"),
-            F.collect_list(F.when(~F.col("seat.of_all"), F.col("member"))).alias("some"),
+            F.collect_list(F.when(F.col("seat.probe"), F.col("member"))).alias("some"),
+            F.collect_list(F.when(~F.col("seat.probe"), F.col("member"))).alias("others"),
         )
         .where("size(some) > 0")
-        .select("bucket", "all", "some")
+        .select("bucket", (F.col("of") & (F.col("against") == 0)).alias("own"), "some", "others")
     )
     return work.mapInArrow(_compared, "a long, b long").distinct()
 
 
+def _seats():
+    """The pieces of work that a member of a mixed bucket takes part in.
+
+    Strangers and members of the largest component are split into blocks. Each
+    block of strangers (``block``) meets each block of the largest component
+    (``of`` true, ``against`` its number; with number 0 also itself) and each
+    later block of strangers (``of`` false). In a bucket of one block each that
+    is one piece of work, which holds every member once.
+    """
+    stranger = F.col("label") != F.col("major")
+    mine = F.pmod(F.xxhash64("node"), F.when(stranger, F.col("others")).otherwise(F.col("majors")))
+
+    def seat(block, of: bool, against, probe: bool):
+        return F.struct(block.alias("block"), F.lit(of).alias("of"), against.alias("against"), F.lit(probe).alias("probe"))
+
+    def up_to(last):
+        return F.filter(F.sequence(F.lit(0).cast("long"), F.greatest(last, F.lit(0).cast("long"))), lambda i: i <= last)
+
+    with_majors = F.transform(up_to(F.col("majors") - 1), lambda i: seat(mine, True, i, True))
+    before = F.transform(up_to(mine - 1), lambda i: seat(i, False, mine, False))
+    after = F.transform(F.filter(up_to(F.col("others") - 1), lambda i: i > mine), lambda i: seat(mine, False, i, True))
+    majors = F.transform(up_to(F.col("others") - 1), lambda i: seat(i, True, mine, False))
+    return F.when(stranger, F.concat(with_majors, before, after)).otherwise(majors)
+
+
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        pairs = [
-            pair
-            for i in range(batch.num_rows)
-            for pair in _linked(
-                batch.column("bucket")[i].as_py(), Members(batch.column("all")[i].values), Members(batch.column("some")[i].values)
-            )
-        ]
+        pairs: list[tuple[int, int]] = []
+        for i in range(batch.num_rows):
+            bucket, own, some, others = (batch.column(c)[i] for c in ("bucket", "own", "some", "others"))
+            met = [others.values, some.values] if own.as_py() else [others.values]
+            if any(len(x) for x in met):
+                pairs += _linked(bucket.as_py(), Members(*met), Members(some.values))
         ids = np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(ids[:, 0]), pa.array(ids[:, 1])], ["a", "b"])
 
@@ -161,7 +170,8 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Members:
     """Members of a bucket as arrays."""
 
-    def __init__(self, rows: pa.StructArray):
+    def __init__(self, *parts: pa.StructArray):
+        rows = pa.concat_arrays(parts)
         self.node, self.label, self.size = (
             rows.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("node", "label", "size")
         )
