@@ -25,51 +25,53 @@ class WordCache:
     ``most`` words are remembered at a time.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 800_000):
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
         self.ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
         self.ends[ends] = True
-        self.chunks: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def ids(self, texts: list[bytes | None]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit numbers; none for null."""
         split = [
             (text if b"<|" in text else text.translate(_ASCII_LOWER)).split() if text else [] for text in texts
         ]
-        if len(self.chunks) > self.most:
-            self.chunks.clear()
-        if len(self.parts) > self.most:
-            self.parts.clear()
-        self._learn(set().union(*split) - self.chunks.keys())
-        known = self.chunks.__getitem__
-        return [b"".join(map(known, chunks)) for chunks in split]
+        if len(self.known) > self.most:
+            self.known.clear()
+        self._learn(set().union(*split) - self.known.keys())
+        look = self.known.__getitem__
+        return [b"".join(map(look, chunks)) for chunks in split]
 
     def _learn(self, chunks: set[bytes]) -> None:
-        halves = {}
+        known, signed, parts = self.known, [], set()
         for chunk in chunks:
             word = chunk.rstrip(_SIGNS)
-            cut = len(word) if word and word[-1] in _LETTERS else len(chunk)
-            halves[chunk] = chunk[:cut], chunk[cut:]
-        missing = {part for both in halves.values() for part in both if part} - self.parts.keys()
+            if len(word) < len(chunk) and word and word[-1] in _LETTERS:
+                signed.append((chunk, word, chunk[len(word) :]))
+                parts.add(word)
+            else:
+                parts.add(chunk)
+        parts.update({signs for _, _, signs in signed})
+        self._encode(parts - known.keys())
+        known.update([(chunk, known[word] + known[signs]) for chunk, word, signs in signed])
+
+    def _encode(self, parts: set[bytes]) -> None:
+        """Ids of parts; runs of letters, which are one word each, many at a time."""
         words, others = [], []
-        for part in missing:
-            (words if part.decode().isalpha() else others).append(part)
+        for part in parts:
+            (words if part.isalpha() or part.decode().isalpha() else others).append(part)
         for at in range(0, len(words), 512):
             some = words[at : at + 512]
             ids = np.array(self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids, "<u4")
-            stops = np.flatnonzero(self.ends[ids]) + 1
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             if len(stops) != len(some):  # not one run of letters each for the tokenizer
                 others += some
                 continue
-            for word, start, stop in zip(some, [0, *stops[:-1].tolist()], stops.tolist(), strict=True):
-                self.parts[word] = ids[start:stop].tobytes()
+            data, starts = ids.tobytes(), [0, *stops]
+            self.known.update([(word, data[a:b]) for word, a, b in zip(some, starts, stops, strict=False)])
         encoded = self.tokenizer.encode_batch([o.decode() for o in others], add_special_tokens=False)
-        for other, found in zip(others, encoded, strict=True):
-            self.parts[other] = np.array(found.ids, "<u4").tobytes()
-        for chunk, (word, signs) in halves.items():
-            self.chunks[chunk] = self.parts[word] + (self.parts[signs] if signs else b"")
+        self.known.update((o, np.array(e.ids, "<u4").tobytes()) for o, e in zip(others, encoded, strict=True))
 
 
 @lru_cache(maxsize=2)
