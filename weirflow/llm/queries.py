@@ -12,6 +12,7 @@ from .exact_dedup import exact_groups
 from .license_scan import scan_licenses
 from .near_dedup import near_duplicates
 from .packing import pack
+from .pii_surrogates import replace_pii
 from .pu_quality import score_quality, train_quality
 from .reply_trees import format_reply_trees, linear_messages, masked_text, read_back
 from .sampling import held_out
@@ -203,3 +204,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted", "toxic_units"
     )
+
+
+#: The key of the registered query. Whoever runs the operator on real data gives a secret one.
+PII_KEY = b"key of the registered query"
+
+
+@query()
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = replace_pii(table(spark, sf_dir, "documents"), PII_KEY)
+    return replaced.select("doc_id", "text", "n_replaced", "kinds")
