@@ -91,6 +91,49 @@ def has_bit(words: Column, hashed: Column, bits: int) -> Column:
     return F.call_function("shiftright", word, (at % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
+def identity(id_column: str, text_column: str) -> Column:
+    """Names a row by its id and text, wherever and however often it is read: 16 bytes."""
+    named = F.coalesce(F.concat(F.lit("1"), F.col(id_column).cast("string")), F.lit("0"))
+    text = F.coalesce(F.concat(F.lit("1"), F.col(text_column)), F.lit("0"))
+    return F.unhex(F.md5(F.concat(F.char_length(named).cast("string"), F.lit(":"), named, text).cast("binary")))
+
+
+#: The set of rows to look at: bits per row, and at most so many (16 MB).
+BITS_PER_ROW, MOST_ROW_BITS = 32, 1 << 27
+
+
+def remaining(docs: DataFrame, decided: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns as they were.
+
+    ``decided`` has ``row`` (an :func:`identity`) and ``kept`` for every row. Of
+    rows with one identity as many as are kept stay if that is all or none, and
+    one otherwise. Rows that nothing is dropped for pass straight through one
+    scan; only the others are joined, so no text moves that may stay.
+    """
+    name = "_identity_of_row"
+    gone = stored(
+        decided.groupBy("row").agg(F.bool_or("kept").alias("stays"), F.bool_and("kept").alias("all"))
+        .where("NOT all").select(F.col("row").alias(name), "stays"),
+        "gone",
+    )
+    bits, n = 1 << 16, gone.count()
+    while bits < min(BITS_PER_ROW * n, MOST_ROW_BITS):
+        bits *= 2
+    some = bit_set(gone.select(F.xxhash64(name).alias("h")), bits)
+    marked = (
+        docs.withColumn(name, identity(id_column, text_column))
+        .withColumn("_some", some)
+        .withColumn("_hit", has_bit(F.col("_some"), F.xxhash64(name), bits))
+        .drop("_some")
+    )
+    through = marked.where("NOT _hit").select(*docs.columns)
+    met = marked.where("_hit").drop("_hit").join(gone, name, "left")
+    free = met.where("stays IS NULL").select(*docs.columns)
+    whole = F.struct(*(F.col(c) for c in docs.columns))
+    one = met.where("stays").groupBy(name).agg(F.first(whole).alias("whole")).select("whole.*")
+    return through.unionByName(free).unionByName(one)
+
+
 #: Texts are handed to Python functions in lists of about so many bytes.
 CHUNK_BYTES = 8_000_000
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_set, has_bit, stored, words_of
+from .common import bit_set, has_bit, identity, remaining, stored, words_of
 
 WINDOW_WORDS = 10
 #: The n-grams are broadcast up to this number (some 100 bytes each); beyond it
@@ -138,7 +138,12 @@ def contamination(
 
 
 def decontaminate(
-    docs: DataFrame, items: DataFrame, remove: str = "documents", text_column: str = "text", **options
+    docs: DataFrame,
+    items: DataFrame,
+    remove: str = "documents",
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    **options,
 ) -> DataFrame:
     """``docs`` without contaminated documents, or without the spans hit (``remove="spans"``).
 
@@ -147,15 +152,15 @@ def decontaminate(
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be 'documents' or 'spans', not {remove!r}")
-    number = "_row_of_decontaminate"
-    numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "docs")
-    found = contamination(
-        numbered.select(F.col(number).alias("doc"), F.col(text_column).alias("text")), items, id_column="doc", **options
-    ).where("n_hit > 0")
+    name = "_identity_of_row"
+    told = docs.select(identity(id_column, text_column).alias("doc"), F.col(text_column).alias("text"))
+    found = contamination(told, items, id_column="doc", **options)
     if remove == "documents":
-        return numbered.join(found.select(F.col("doc").alias(number)), number, "left_anti").drop(number)
+        decided = found.select(F.col("doc").alias("row"), (F.col("n_hit") == 0).alias("kept"))
+        return remaining(docs, decided, id_column, text_column)
     hit = "_spans_of_decontaminate"
-    joined = numbered.join(found.select(F.col("doc").alias(number), F.col("spans").alias(hit)), number, "left")
+    spans = stored(found.where("n_hit > 0").groupBy(F.col("doc").alias(name)).agg(F.first("spans").alias(hit)), "spans")
+    joined = docs.withColumn(name, identity(id_column, text_column)).join(spans, name, "left")
     text = F.col(text_column)
     # Separators stand at 0..n, words at 0..n-1 between them, in the text's own case.
     between = F.split(text, r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", -1)
@@ -167,4 +172,4 @@ def decontaminate(
         ).otherwise(F.concat(w, F.get(between, i + 1))),
     )
     cut = F.concat(F.get(between, F.lit(0)), F.array_join(left, ""))
-    return joined.withColumn(text_column, F.when(F.col(hit).isNull(), text).otherwise(cut)).drop(number, hit)
+    return joined.withColumn(text_column, F.when(F.col(hit).isNull(), text).otherwise(cut)).drop(name, hit)

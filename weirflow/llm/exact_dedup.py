@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_set, has_bit, stored
+from .common import bit_set, has_bit, identity, remaining, stored
 
 #: Bits of the set that stands for the values several rows share. The set is the
 #: only thing broadcast: half a megabyte at any size of input. When it fills up,
@@ -91,16 +91,12 @@ def exact_groups(
 def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    ``docs`` is stored with a row number first, so that the decision, made on
-    narrow rows, takes effect on the same rows even if an executor is lost.
-    Ties, nulls and empty tables are as in :func:`exact_groups`.
+    The decision is made on narrow rows, named by id and text, and takes effect
+    in one more scan. Ties, nulls and empty tables are as in :func:`exact_groups`.
     """
-    number = "_row_of_exact_dedup"
-    numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "exact-docs")
-    # The row number is the id's tie-break: a struct of both is the id here.
-    ids = numbered.select(
-        F.struct(F.col(id_column).alias("id"), F.col(number).alias("row")).alias("doc"),
+    told = docs.select(
+        F.struct(F.col(id_column).alias("id"), identity(id_column, text_column).alias("row")).alias("doc"),
         F.col(text_column).alias("text"),
     )
-    gone = exact_groups(ids, "doc", "text", **options).where("NOT kept").select(F.col("doc.row").alias(number))
-    return numbered.join(gone, number, "left_anti").drop(number)
+    decided = exact_groups(told, "doc", "text", **options).select(F.col("doc.row").alias("row"), "kept")
+    return remaining(docs, decided, id_column, text_column)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_set, flat_map_texts, has_bit, stored
+from .common import bit_set, flat_map_texts, has_bit, identity, remaining, stored
 from .components import components
 from .prob_minhash import BANDS, REGISTERS, band_keys, digest, jaccard, shingles, signatures
 
@@ -36,15 +36,14 @@ def _signed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
             matrix = signatures(sets)
             keys, digests = band_keys(matrix), digest(matrix)
             return [
-                [(len(s), keys[i].tolist() if len(s) else [], digests[i].tobytes(), sketch(s))]
-                for i, (s, _) in enumerate(sets)
+                [(len(s), keys[i].tolist() if len(s) else [], digests[i].tobytes())] for i, (s, _) in enumerate(sets)
             ]
 
         return sign
 
     keyed = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     return flat_map_texts(
-        keyed.withColumn("key", _key()), ["id", "key"], F.col("text"), "size int, bands array<long>, digest binary, sketch binary", start
+        keyed.withColumn("key", _key()), ["id", "key"], F.col("text"), "size int, bands array<long>, digest binary", start
     )
 
 
@@ -82,7 +81,7 @@ def _stars(buckets: DataFrame) -> DataFrame:
     return buckets.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def _rest(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+def _rest(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, text_column: str) -> DataFrame:
     """(a, b): pairs that share a bucket, lie in different components, and look alike.
 
     In most buckets all members are linked by then. In each other one, all
@@ -110,9 +109,19 @@ def _rest(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
         ),
         "mixed",
     )
-    # Ids only until it is known who takes part; then each gets its digest.
+    # Ids only until it is known who takes part; then each gets its digest and sketch.
     taking_part = stored(members.join(mixed, "bucket"), "taking-part")
-    told = nodes.select("node", "size", "digest", "sketch", "bands")
+    told = stored(
+        nodes.join(taking_part.select("node").distinct(), "node", "left_semi").select("node", "key", "size", "digest", "bands"),
+        "told",
+    )
+
+    def start():
+        return lambda texts: [[(sketch(shingles(x)[0]),)] for x in texts]
+
+    texts = _texts_of(told.select("key"), docs, text_column)
+    sketches = stored(flat_map_texts(texts, ["key"], F.col("text"), "sketch binary", start), "sketches")
+    told = stored(told.join(sketches, "key").drop("key"), "told")
     spread = taking_part.join(told, "node").select(
         "bucket",
         F.explode(_seats()).alias("seat"),
@@ -241,19 +250,14 @@ def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return narrow.mapInArrow(agree, "a long, b long, key_a binary, key_b binary")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, text_column: str) -> DataFrame:
-    """The pairs (a, b) whose whole texts share enough shingles, with their ``similarity``.
-
-    The texts are fetched by one scan that passes only those a pair names; each
-    of them then moves once, however many copies and pairs it has.
-    """
-    keys = pairs.select(F.col("key_a").alias("key")).unionByName(pairs.select(F.col("key_b").alias("key"))).distinct()
+def _texts_of(keys: DataFrame, docs: DataFrame, text_column: str) -> DataFrame:
+    """(key, text) of the texts that ``keys`` names, by one scan that lets hardly any other pass."""
     keys = stored(keys, "keys")
     bits, n = 1 << 16, keys.count()
     while bits < min(BITS_PER_TEXT * n, MOST_BITS):
         bits *= 2
     wanted = bit_set(keys.select(F.xxhash64("key").alias("h")), bits)
-    texts = (
+    found = (
         docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text"))
         .withColumn("key", _key())
         .withColumn("wanted", wanted)
@@ -261,7 +265,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, text_column: str) -> DataFrame:
         .groupBy("key")
         .agg(F.first("text").alias("text"))
     )
-    texts = stored(texts.join(keys, "key", "left_semi"), "texts")
+    return found.join(keys, "key", "left_semi")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, text_column: str) -> DataFrame:
+    """The pairs (a, b) whose whole texts share enough shingles, with their ``similarity``.
+
+    The texts are fetched by one scan that passes only those a pair names; each
+    of them then moves once, however many copies and pairs it has.
+    """
+    keys = pairs.select(F.col("key_a").alias("key")).unionByName(pairs.select(F.col("key_b").alias("key"))).distinct()
+    texts = stored(_texts_of(keys, docs, text_column), "texts")
     both = pairs.join(texts.withColumnsRenamed({"key": "key_a", "text": "text_a"}), "key_a").join(
         texts.withColumnsRenamed({"key": "key_b", "text": "text_b"}), "key_b"
     )
@@ -306,14 +320,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     nodes = stored(
         signed.groupBy("key")
-        .agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("digest").alias("digest"), F.first("sketch").alias("sketch"))
+        .agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("digest").alias("digest"))
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
     buckets = _buckets(nodes)
     stars = stored(_alike(_stars(buckets), nodes), "stars")
     links = stored(_verified(stars, docs, text_column), "links")
-    rest = _rest(buckets, nodes, components(links)).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    rest = _rest(buckets, nodes, components(links), docs, text_column).join(stars.select("a", "b"), ["a", "b"], "left_anti")
     rest = stored(_alike(rest, nodes), "rest")
     more = stored(_verified(rest, docs, text_column), "links")
     labels = components(links.unionByName(more))
@@ -339,10 +353,6 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with one row of each class of near duplicates, all columns as they were."""
-    number = "_row_of_near_dedup"
-    numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "docs")
-    ids = numbered.select(
-        F.struct(F.col(id_column).alias("id"), F.col(number).alias("row")).alias("doc"), F.col(text_column).alias("text")
-    )
-    gone = near_duplicates(ids, "doc", "text").where("NOT kept").select(F.col("doc.row").alias(number))
-    return numbered.join(gone, number, "left_anti").drop(number)
+    told = docs.select(F.struct(F.col(id_column).alias("id"), identity(id_column, text_column).alias("row")).alias("doc"), F.col(text_column).alias("text"))
+    decided = near_duplicates(told, "doc", "text").select(F.col("doc.row").alias("row"), "kept")
+    return remaining(docs, decided, id_column, text_column)
