@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -214,3 +215,8 @@ PII_KEY = b"key of the registered query"
 def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     replaced = replace_pii(table(spark, sf_dir, "documents"), PII_KEY)
     return replaced.select("doc_id", "text", "n_replaced", "kinds")
+
+
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
