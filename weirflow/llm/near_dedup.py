@@ -353,6 +353,13 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with one row of each class of near duplicates, all columns as they were."""
-    told = docs.select(F.struct(F.col(id_column).alias("id"), identity(id_column, text_column).alias("row")).alias("doc"), F.col(text_column).alias("text"))
+    told = docs.select(
+        F.struct(
+            F.col(id_column).isNull().alias("none"),
+            F.col(id_column).alias("id"),
+            identity(id_column, text_column).alias("row"),
+        ).alias("doc"),
+        F.col(text_column).alias("text"),
+    )
     decided = near_duplicates(told, "doc", "text").select(F.col("doc.row").alias("row"), "kept")
     return remaining(docs, decided, id_column, text_column)

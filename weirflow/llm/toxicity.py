@@ -33,7 +33,7 @@ ROUNDS, HARD, STEPS, RATE, PENALTY = 3, 4_000, 300, 0.05, 1e-4
 
 _LOWER = bytes(c + 32 if chr(c) in UPPER else c for c in range(256))
 _ENDS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_SPACED = re.compile(rb"(?<!\S)(?:\S\s){2,}\S(?!\S)")
+_SPACED = re.compile(rb"(?<!\S)(?:\S\s){2,}\S[.,;:!?]*(?!\S)")
 
 #: All (i, j, k) with i < j < k < WIDTH and k - i < SPAN, by i, with the weight of their span.
 _PLACES = np.array(
@@ -52,7 +52,7 @@ def units(data: bytes | None) -> set[bytes]:
     low = data.translate(_LOWER)
     found = {x.strip(_ENDS) for x in set(low.split())}
     if any(len(x) == 1 for x in found):
-        found |= {b"".join(m.split()) for m in _SPACED.findall(low)}
+        found |= {b"".join(m.split()).strip(_ENDS) for m in _SPACED.findall(low)}
     found.discard(b"")
     return found
 

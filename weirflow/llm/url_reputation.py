@@ -105,14 +105,21 @@ def _strength(groups: DataFrame, by: str | None) -> DataFrame:
 
 
 def _shrunk(groups: DataFrame, above: DataFrame | None, by: str | None) -> DataFrame:
-    """Posterior ``a``, ``b`` of each group: its counts and a prior at the mean of the level above."""
+    """Posterior ``a``, ``b`` of each group: its counts and a prior at the mean of the level above.
+
+    That mean leaves the group's own pages out, so they are not counted twice.
+    """
     if above is None:
         return groups.select("*", (F.col("good") + 1.0).alias("a"), (F.col("pages") - F.col("good") + 1.0).alias("b"))
-    prior = above.select(F.col(above.columns[0]).alias("by"), (F.col("a") / (F.col("a") + F.col("b"))).alias("mean"))
+    prior = above.select(F.col(above.columns[0]).alias("by"), F.col("a").alias("above_a"), F.col("b").alias("above_b"))
     joined = (
         groups.withColumn("by", F.col(by) if by else F.lit(""))
         .join(prior, "by")
         .join(_strength(groups, by), "by", "left")
+        .withColumn(
+            "mean",
+            (F.col("above_a") - F.col("good")) / (F.col("above_a") + F.col("above_b") - F.col("pages")),
+        )
     )
     strength = F.coalesce("strength", F.lit(FEW_PAGES))
     return joined.select(
