@@ -135,7 +135,7 @@ def remaining(docs: DataFrame, decided: DataFrame, id_column: str, text_column:
 
 
 #: Texts are handed to Python functions in lists of about so many bytes.
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000
 
 #: Given texts as UTF-8 (None for null), makes a list of rows per text.
 TextFunction = Callable[[list[bytes | None]], list[Sequence[tuple]]]

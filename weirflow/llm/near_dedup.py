@@ -122,19 +122,13 @@ def _rest(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFra
     texts = _texts_of(told.select("key"), docs, text_column)
     sketches = stored(flat_map_texts(texts, ["key"], F.col("text"), "sketch binary", start), "sketches")
     told = stored(told.join(sketches, "key").drop("key"), "told")
-    spread = taking_part.join(told, "node").select(
-        "bucket",
-        F.explode(_seats()).alias("seat"),
-        F.struct("node", "label", "size", "digest", "sketch", "bands").alias("member"),
-    )
+    keys = ["bucket", "block", "of", "against"]
     work = (
-        spread.groupBy("bucket", "seat.block", "seat.of", "seat.against")
-        .agg(
-            F.collect_list(F.when(F.col("seat.probe"), F.col("member"))).alias("some"),
-            F.collect_list(F.when(~F.col("seat.probe"), F.col("member"))).alias("others"),
-        )
-        .where("size(some) > 0")
-        .select("bucket", (F.col("of") & (F.col("against") == 0)).alias("own"), "some", "others")
+        taking_part.join(told, "node")
+        .select("bucket", F.explode(_seats()).alias("seat"), "node", "label", "size", "digest", "sketch", "bands")
+        .select("bucket", "seat.*", "node", "label", "size", "digest", "sketch", "bands")
+        .repartition(*keys)
+        .sortWithinPartitions(*keys)
     )
     return work.mapInArrow(_compared, "a long, b long").distinct()
 
@@ -165,28 +159,55 @@ def _seats():
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Similar pairs of each piece of work; its rows follow each other, over one or more batches."""
+    held: list[pa.RecordBatch] = []
+    current = None
     for batch in batches:
+        keys = np.array([batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "block", "of", "against")], np.int64)
+        starts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
         pairs: list[tuple[int, int]] = []
-        for i in range(batch.num_rows):
-            bucket, own, some, others = (batch.column(c)[i] for c in ("bucket", "own", "some", "others"))
-            met = [others.values, some.values] if own.as_py() else [others.values]
-            if any(len(x) for x in met):
-                pairs += _linked(bucket.as_py(), Members(*met), Members(some.values))
-        ids = np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(ids[:, 0]), pa.array(ids[:, 1])], ["a", "b"])
+        for start, stop in zip(starts[:-1], starts[1:], strict=True):
+            if start == stop:
+                continue
+            key = tuple(keys[:, start].tolist())
+            if held and key != current:
+                pairs += _work(current, held)
+                held = []
+            held.append(batch.slice(start, stop - start))
+            current = key
+        yield _pairs(pairs)
+    if held:
+        yield _pairs(_work(current, held))
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    ids = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(ids[:, 0]), pa.array(ids[:, 1])], ["a", "b"])
+
+
+def _work(key: tuple[int, int, int, int], parts: list[pa.RecordBatch]) -> list[tuple[int, int]]:
+    """One piece of work: strangers against others, with block 0 also among themselves."""
+    bucket, _, of, against = key
+    rows = pa.Table.from_batches(parts).combine_chunks()
+    probe = rows.column("probe").to_numpy()
+    if not probe.any():
+        return []
+    some = rows.filter(pa.array(probe))
+    everyone = rows if of and against == 0 else rows.filter(pa.array(~probe))
+    return list(_linked(bucket, Members(everyone), Members(some))) if len(everyone) else []
 
 
 class Members:
     """Members of a bucket as arrays."""
 
-    def __init__(self, *parts: pa.StructArray):
-        rows = pa.concat_arrays(parts)
+    def __init__(self, rows: pa.Table):
+        column = {c: rows.column(c).combine_chunks() for c in rows.column_names}
         self.node, self.label, self.size = (
-            rows.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("node", "label", "size")
+            column[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("node", "label", "size")
         )
-        self.digest = np.frombuffer(b"".join(rows.field("digest").to_pylist()), "<u2").reshape(len(rows), REGISTERS)
-        self.bands = rows.field("bands").flatten().to_numpy().reshape(len(rows), BANDS)
-        kept = [np.frombuffer(x, "<u4") for x in rows.field("sketch").to_pylist()]
+        self.digest = np.frombuffer(b"".join(column["digest"].to_pylist()), "<u2").reshape(len(rows), REGISTERS)
+        self.bands = column["bands"].flatten().to_numpy().reshape(len(rows), BANDS)
+        kept = [np.frombuffer(x, "<u4") for x in column["sketch"].to_pylist()]
         self.length = np.fromiter(map(len, kept), np.int64, len(kept))
         self.sketch = np.full((len(rows), SKETCH), 0xFFFFFFFF, np.uint32)
         self.sketch[np.arange(SKETCH) < self.length[:, None]] = np.concatenate(kept)

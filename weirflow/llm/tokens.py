@@ -25,7 +25,7 @@ class WordCache:
     ``most`` words are remembered at a time.
     """
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 250_000):
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
         self.ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)

@@ -173,7 +173,7 @@ NO_MARGIN = -3.0
 class Scorer:
     """Best margin and number of toxic units of texts; margins of units are remembered."""
 
-    def __init__(self, model: ToxicModel, most: int = 300_000):
+    def __init__(self, model: ToxicModel, most: int = 200_000):
         self.model, self.most = model, most
         self.known: dict[bytes, float] = {}
 
