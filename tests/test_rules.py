@@ -16,15 +16,14 @@ from weirflow.plans import (
     save_contract,
     validate_rules,
 )
-from weirflow.plans import rules as rules_module
 from weirflow.sources import create_control_table, create_database, replace_control_rows
 
 RULE_TEXT = """
 name,constraint,tag
-existing_invoice,"InvoiceNo is not null",invoice_bronze
-valid_invoice,"Description != 'Discount'",invoice_bronze
-fresh_data,"to_date(updateTime,'M/d/yyyy h:m:s a') > '2010-01-01'",maintained
-existing_invoice,"InvoiceNo > 0",invoice_bronze
+has_key,"key IS NOT NULL",raw
+short_note,"note != 'a, b'",raw
+in_time,"date_format(seen,'yyyy-MM') > '2001-02'",clean
+has_key,"key > 0",raw
 """
 
 
@@ -37,28 +36,30 @@ def rule_file(tmp_path):
 
 def test_rules_by_tag_keep_file_order_and_the_later_name_wins(spark, rule_file, caplog):
     with caplog.at_level(logging.WARNING):
-        rules = rules_from_csv(spark, rule_file, "invoice_bronze")
+        rules = rules_from_csv(spark, rule_file, "raw")
     assert list(rules.items()) == [
-        ("existing_invoice", "InvoiceNo > 0"),
-        ("valid_invoice", "Description != 'Discount'"),
+        ("has_key", "key > 0"),
+        ("short_note", "note != 'a, b'"),
     ]
     assert "given twice" in caplog.text
 
 
 def test_commas_in_a_quoted_rule(spark, rule_file):
-    assert rules_from_csv(spark, rule_file, "maintained") == {
-        "fresh_data": "to_date(updateTime,'M/d/yyyy h:m:s a') > '2010-01-01'"
+    assert rules_from_csv(spark, rule_file, "clean") == {
+        "in_time": "date_format(seen,'yyyy-MM') > '2001-02'"
     }
 
 
-def test_unknown_tag_gives_no_rules(spark, rule_file):
-    assert rules_from_csv(spark, rule_file, "none") == {}
+def test_unknown_tag_is_an_error(spark, rule_file):
+    with pytest.raises(KeyError, match="none"):
+        rules_from_csv(spark, rule_file, "none")
 
 
-def test_a_data_table_is_not_taken_for_rules(spark, rule_file, monkeypatch):
-    monkeypatch.setattr(rules_module, "MAX_RULES", 2)
-    with pytest.raises(ValueError, match="more than 2 rules"):
-        rules_from_csv(spark, rule_file, "invoice_bronze")
+def test_rules_of_several_files_stand_by_file_and_line(spark, tmp_path):
+    for name, rules in (("b.csv", ["z,1 > 0,t", "x,2 > 0,t"]), ("a.csv", ["x,0 > 0,t", "y,3 > 0,t"])):
+        (tmp_path / name).write_text("\n".join(["name,constraint,tag", *rules]) + "\n")
+    assert list(rules_from_csv(spark, str(tmp_path), "t").items()) == [
+        ("x", "2 > 0"), ("y", "3 > 0"), ("z", "1 > 0")]
 
 
 def test_published_rules_read_back(spark, tmp_path):
@@ -91,10 +92,19 @@ def test_rules_of_a_control_table(spark, control_table):
         rules_from_control_table(spark, control_table, "bad")
 
 
+def test_two_control_rows_for_one_name_are_refused(spark, control_table):
+    replace_control_rows(spark, control_table, {"a": "{}"})
+    spark.sql(f"INSERT INTO {control_table} VALUES ('a', '{{\"r\": \"true\"}}')")
+    with pytest.raises(ValueError, match="several rows"):
+        rules_from_control_table(spark, control_table, "a")
+
+
 def test_control_rows_are_replaced(spark, control_table):
     replace_control_rows(spark, control_table, {"a": "{}", "b": "{}"})
     replace_control_rows(spark, control_table, {"c": "{}"})
     assert [r["TableName"] for r in spark.table(control_table).collect()] == ["c"]
+    replace_control_rows(spark, control_table, {})
+    assert spark.table(control_table).count() == 0
 
 
 def test_rules_named_by_their_text():

@@ -4,6 +4,7 @@ from .checks import (
     register_checks,
     register_python_check,
     register_sql_check,
+    register_vector_check,
 )
 from .json_schema import infer_json_schema
 
@@ -14,4 +15,5 @@ __all__ = [
     "register_checks",
     "register_python_check",
     "register_sql_check",
+    "register_vector_check",
 ]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,8 +86,15 @@ def register_python_check(spark: SparkSession, name: str, check: Callable[..., b
     spark.udf.register(name, F.udf(check, "boolean", useArrow=True))
 
 
+def register_vector_check(
+    spark: SparkSession, name: str, check: Callable[..., pd.Series]
+) -> None:
+    """Register a Python check on whole columns: pandas series in, a series of booleans out."""
+    spark.udf.register(name, F.pandas_udf(check, "boolean"))
+
+
 def register_checks(spark: SparkSession) -> None:
-    """Make the shipped checks callable from rule text under their usual names."""
+    """Make the shipped checks callable from rule text. The names are fixed values."""
     register_sql_check(
         spark, "is_valid_col", "s STRING, n INT", _LENGTH_SQL.format(s="s", n="n")
     )

@@ -6,6 +6,7 @@ the rows `expect_drop` keeps and the rows `quarantine` keeps add up to the input
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -60,12 +61,17 @@ def expect_keep(df: DataFrame, rules: Rules, observation: Observation | str) ->
 
 
 def expect_fail(df: DataFrame, rules: Rules) -> DataFrame:
-    """Pass all rows on; stop the job at the first row that breaks a rule."""
+    """Pass all rows on; stop the job at the first row that breaks a rule.
+
+    The check sees every row that is read: a filter applied later is not moved
+    below it. A LIMIT still reads, and so checks, only as many rows as it needs.
+    """
     broken = F.array_join(failed_rules(rules), ", ")
     held = F.when(_all_hold(rules), F.lit(True)).otherwise(
         F.raise_error(F.concat(F.lit("row breaks: "), broken)).cast("boolean")
     )
-    return df.filter(held)
+    # Rows are counted behind the check, which keeps later filters above it.
+    return df.filter(held).observe(f"checked_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("n"))
 
 
 def quarantine(df: DataFrame, rules: Rules, column: str = FAILED_COLUMN) -> DataFrame:

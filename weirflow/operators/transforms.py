@@ -24,6 +24,13 @@ def strip_provenance(schema: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema.fields if f.name.lower() not in added])
 
 
+def without_trailing_provenance(schema: T.StructType) -> T.StructType:
+    """The schema without such fields at its end: those before others have a place in the file."""
+    kept = {f.name for f in strip_provenance(schema).fields}
+    last = max((i for i, f in enumerate(schema.fields) if f.name in kept), default=-1)
+    return T.StructType(schema.fields[: last + 1])
+
+
 def quoted(name: str) -> str:
     """A column name as SQL takes it, whatever characters it has."""
     return "`" + name.replace("`", "``") + "`"

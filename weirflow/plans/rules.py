@@ -15,11 +15,6 @@ Rules = Mapping[str, str]
 
 RULE_FILE_SCHEMA = "name STRING, constraint STRING, tag STRING"
 
-# Rules come to the driver because they become parts of a plan. A set larger
-# than this is a mistake (a data table in place of the rule table), not a rule set.
-MAX_RULES = 10_000
-
-
 def publish_rules(spark: SparkSession, entries: Iterable[tuple[str, str, str]], path: str) -> None:
     """Write ``(name, constraint, tag)`` entries as one CSV file with a header."""
     entries = list(entries)
@@ -33,24 +28,33 @@ def publish_rules(spark: SparkSession, entries: Iterable[tuple[str, str, str]],
 
 
 def rules_from_csv(spark: SparkSession, path: str, tag: str) -> dict[str, str]:
-    """The rules of one tag, in file order; a later rule of the same name wins."""
+    """The rules of one tag, in order of file name and line; a later one of the same name wins.
+
+    Rules come to the driver because they become parts of a plan. A tag without
+    any rule is an error: nothing would be checked.
+    """
     rows = (
         spark.read.option("header", True)
         .csv(path)
         .filter(F.col("tag") == tag)
-        .select("name", "constraint")
-        .take(MAX_RULES + 1)
+        .select(
+            "name",
+            "constraint",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+        .collect()
     )
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"{path}: more than {MAX_RULES} rules under tag {tag!r}")
     rules: dict[str, str] = {}
-    for row in rows:
+    # Within one part of one file the row numbers follow the lines.
+    for row in sorted(rows, key=lambda r: (r["file"], r["block"], r["row"])):
         if row["name"] in rules:
             log.warning("%s: rule %r of tag %r is given twice; the later one holds",
                         path, row["name"], tag)
         rules[row["name"]] = row["constraint"]
     if not rules:
-        log.warning("%s: no rule under tag %r", path, tag)
+        raise KeyError(f"{path}: no rule under tag {tag!r}")
     return rules
 
 
@@ -61,15 +65,21 @@ def rules_from_control_table(
     name_column: str = "TableName",
     rules_column: str = "Expectations",
 ) -> dict[str, str]:
-    """The rules a control table holds for ``name`` as a JSON object name -> SQL."""
-    row = (
+    """The rules a control table holds for ``name`` as a JSON object name -> SQL.
+
+    Two rows for one name are an error: either could be meant.
+    """
+    found = (
         spark.table(table)
         .filter(F.col(name_column) == name)
         .select(F.from_json(rules_column, "map<string,string>").alias("rules"))
-        .first()
+        .take(2)
     )
-    if row is None:
+    if not found:
         raise KeyError(f"{table} has no row for {name!r}")
+    if len(found) > 1:
+        raise ValueError(f"{table} has several rows for {name!r}")
+    row = found[0]
     if row["rules"] is None:
         raise ValueError(f"{table}: the rules of {name!r} are no JSON object")
     return dict(row["rules"])

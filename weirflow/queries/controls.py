@@ -62,9 +62,10 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-FILE_COUNTS_SQL = f"""WITH {BRONZE_SQL}
-    SELECT file_name AS "fileName", count(*) AS records, entity, ingest_date, ingest_time
-    FROM bronze GROUP BY file_name, entity, ingest_date, ingest_time"""
+# Names of the control table's columns are fixed values.
+FILE_COUNTS = """SELECT file_name AS fileName, count(*) AS records, entity, ingest_date, ingest_time
+    FROM {source} GROUP BY ALL"""
+FILE_COUNTS_SQL = f"WITH {BRONZE_SQL} {FILE_COUNTS.format(source='bronze')}"
 
 
 @query(FILE_COUNTS_SQL, name="file_counts")
@@ -80,9 +81,7 @@ def complete_control_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     create_database(spark, database, scratch_dir(spark, "complete"))
     view = f"silver_{uuid.uuid4().hex}"
     bronze(spark, sf_dir).createOrReplaceTempView(view)
-    counted = spark.sql(f"""
-        SELECT file_name AS fileName, count(*) AS records, entity, ingest_date, ingest_time
-        FROM {view} GROUP BY file_name, entity, ingest_date, ingest_time""")
+    counted = spark.sql(FILE_COUNTS.format(source=view))
     save_table(counted, f"{database}.invoice_ctl", "Control table.", {"quality": "ctl"})
     spark.catalog.dropTempView(view)
     return spark.table(f"{database}.invoice_ctl").select(
@@ -90,13 +89,17 @@ def complete_control_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-LOADED_VS_REJECTED_SQL = f"""WITH {SIDES_SQL}
-    SELECT a.file_name, a.ingest_date, a.ingest_time, a."rows_OK", b."rows_KO"
-    FROM (SELECT count(customer_id) AS "rows_OK", file_name, ingest_date, ingest_time
-          FROM silver GROUP BY file_name, ingest_date, ingest_time) AS a
-    LEFT JOIN (SELECT count(customer_id) AS "rows_KO", file_name, ingest_date, ingest_time
-          FROM quarantine GROUP BY file_name, ingest_date, ingest_time) AS b
-    ON a.file_name = b.file_name"""
+# Every ingestion with loaded rows, once for each ingestion of its file with rejected
+# ones, or once without a count where the file has none.
+LOADED_VS_REJECTED_SQL = f"""WITH {BRONZE_SQL},
+  judged AS (SELECT *, coalesce({INVOICE_RULES_SQL}, false) AS ok FROM bronze),
+  sides AS (
+    SELECT ok, file_name, ingest_date, ingest_time, count(customer_id) AS n FROM judged GROUP BY ALL),
+  rejections AS (SELECT file_name, list(n) AS all_n FROM sides WHERE NOT ok GROUP BY file_name)
+  SELECT file_name, ingest_date, ingest_time, n AS "rows_OK",
+    unnest(coalesce((SELECT all_n FROM rejections r WHERE r.file_name = sides.file_name), [NULL]))
+      AS "rows_KO"
+  FROM sides WHERE ok"""
 
 RECONCILIATION_SQL = f"""WITH {SIDES_SQL}
     SELECT coalesce(a.file_name, b.file_name) AS file_name,

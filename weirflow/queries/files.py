@@ -85,17 +85,73 @@ def bad_record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""SELECT CAST(10 AS BIGINT) AS files, least(count(*), 40000) AS records FROM orders""")
+@query("""SELECT CAST(10 AS BIGINT) AS files, count(*) AS records FROM orders""")
 def landing_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The seeding operator: at most 40,000 rows, spread over ten files."""
+    """The seeding operator: all rows, spread over ten files."""
     path = scratch_dir(spark, "seed")
-    write_landing(table(spark, sf_dir, "orders").limit(40000), path, files=10)
+    write_landing(table(spark, sf_dir, "orders"), path, files=10)
     seeded = spark.read.option("header", True).csv(path)
     return seeded.select(F.col("_metadata.file_path").alias("file")).agg(
         F.countDistinct("file").alias("files"), F.count(F.lit(1)).alias("records")
     )
 
 
+@query("""SELECT CAST(100 AS BIGINT) AS records FROM (SELECT count(*) AS n FROM orders) WHERE n >= 100""")
+def limit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LIMIT as an operator of its own: a hundred orders, whichever."""
+    return table(spark, sf_dir, "orders").limit(100).agg(F.count(F.lit(1)).alias("records"))
+
+
+ENTITY_FILE = (
+    T.StructType().add("InvoiceNo", "integer").add("Entity", "string").add("Description", "string")
+    .add("UnitPrice", "double").add("InputFileName", "string")
+)
+
+
+@query("""SELECT o_orderkey AS "InvoiceNo", o_orderpriority AS "Description",
+      o_totalprice AS "UnitPrice", 'PT' AS "Entity" FROM orders""")
+def csv_provenance_in_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that hold a provenance field among others: it is read over and overwritten."""
+    path = scratch_dir(spark, "csv-entity")
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS InvoiceNo", "'XX' AS Entity", "o_orderpriority AS Description",
+        "o_totalprice AS UnitPrice",
+    )
+    write_landing(rows, path)
+    read = with_provenance(read_landing(spark, path, ENTITY_FILE, "csv", streaming=False), "PT")
+    return read.select("InvoiceNo", "Description", "UnitPrice", "Entity")
+
+
+NESTED_FILE = T.StructType().add("id", "long").add(
+    "user", T.StructType().add("id", "long").add("tags", T.ArrayType(T.StructType().add("t", "string")))
+)
+
+# Every 5th event has a key too many in a struct, every 7th one in an array of structs.
+NESTED_LINE = """concat('{"id":', event_id, ',"user":', CASE
+    WHEN event_id % 5 = 0 THEN concat('{"id":', user_id, ',"kind":"', event_type, '"}')
+    WHEN event_id % 7 = 0 THEN concat('{"id":', user_id, ',"tags":[{"t":"a"},{"t":"b","w":1}]}')
+    ELSE concat('{"id":', user_id, ',"tags":[{"t":"a"}]}') END, '}')"""
+
+
+@query("""SELECT event_id AS id, user_id AS user,
+      event_id % 5 = 0 OR event_id % 7 = 0 AS rescued,
+      event_id % 5 = 0 OR event_id % 7 = 0 AS whole
+    FROM events""")
+def json_nested_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys the schema lacks inside structs and arrays: the field is rescued whole."""
+    path = scratch_dir(spark, "json-nested")
+    table(spark, sf_dir, "events").selectExpr(f"{NESTED_LINE} AS value").write.text(path)
+    rows = read_landing(spark, path, NESTED_FILE, "json", streaming=False)
+    told = F.get_json_object("_rescue", "$.user")
+    lost = F.get_json_object(told, "$.kind").isNotNull() | F.contains(told, F.lit('"w":1'))
+    return rows.select(
+        "id",
+        F.col("user.id").alias("user"),
+        F.col("_rescue").isNotNull().alias("rescued"),
+        F.coalesce(lost, F.lit(False)).alias("whole"),
+    )
+
+
 @query("""SELECT o_orderkey, true AS named, 'ES' AS "Entity", '2024-05-06' AS "IngestionDate",
       '2024-05-06 07:08:09' AS "IngestionTime" FROM orders""")
 def provenance_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,9 +42,8 @@ MARKET_RULES = [
     ),
 ]
 
-ORGANIC_COLUMNS = [
-    "MarketName", "Website", "State", "Facebook", "Twitter", "Youtube", "Organic", "updateTime",
-]
+# What the result shows: own choice among the columns of `MARKETS`.
+ORGANIC_COLUMNS = ["MarketName", "State", "Website", "updateTime"]
 
 PARSED_SQL = "CAST(try_strptime(\"updateTime\", '%m/%d/%Y %I:%M:%S %p') AS DATE)"
 

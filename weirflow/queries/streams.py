@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +21,7 @@ from ..operators import (
 from ..operators.expectations import METRICS_SCHEMA
 from ..plans import Contract
 from ..scratch import scratch_dir
-from ..sources import write_landing
+from ..sources import publish_stream_table
 from ..streaming import (
     CheckedStream,
     EntityFlow,
@@ -138,9 +141,12 @@ EVENT_CONTRACT = Contract(
 )
 
 
-def _event_flow(spark: SparkSession, sf_dir: str, **settings) -> tuple[StreamTables, EntityFlow]:
+def _event_flow(
+    spark: SparkSession, sf_dir: str, files: int | None = None, **settings
+) -> tuple[StreamTables, EntityFlow]:
     root = scratch_dir(spark, "event-flow")
-    table(spark, sf_dir, "events").selectExpr(f"{EVENT_LINE} AS value").write.text(f"{root}/landing")
+    lines = table(spark, sf_dir, "events").selectExpr(f"{EVENT_LINE} AS value")
+    (lines.repartition(files) if files else lines).write.text(f"{root}/landing")
     config = {
         "landing_zone": f"{root}/landing",
         "invalid_format_path": f"{root}/invalid",
@@ -177,8 +183,8 @@ EVENT_RECORDS_SQL = f"SELECT layer, records FROM ({EVENT_LAYERS_SQL})"
 
 @query(EVENT_RECORDS_SQL)
 def stream_entity_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The contract-driven template, JSON landing to all its layers."""
-    return _layers(spark, *_event_flow(spark, sf_dir))
+    """The contract-driven template, JSON landing to all its layers, by two streams."""
+    return _layers(spark, *_event_flow(spark, sf_dir, single_pass=False))
 
 
 @query(EVENT_RECORDS_SQL)
@@ -186,6 +192,61 @@ def stream_entity_flow_single_pass(spark: SparkSession, sf_dir: str) -> DataFram
     return _layers(spark, *_event_flow(spark, sf_dir, single_pass=True))
 
 
+@query(EVENT_RECORDS_SQL)
+def stream_limited_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a bound on every hop: a backlog is taken in several batches each time."""
+    tables, flow = _event_flow(spark, sf_dir, files=6)
+    bounded = replace(flow, source=replace(flow.source, max_files=2))
+    return _layers(spark, tables, bounded)
+
+
+@query(f"""SELECT 'ctl' AS layer, count(*) FILTER (ok AND event_id IS NOT NULL) AS loaded,
+      count(*) FILTER (NOT ok) AS rejected
+    FROM (SELECT event_id, event_type != 'error' AND length(event_type) > 4 AS ok
+      FROM events WHERE event_id % 11 != 0)
+    UNION ALL
+    SELECT 'reconciliation', count(*) FILTER (ok), count(*) FILTER (NOT ok)
+    FROM (SELECT event_type != 'error' AND length(event_type) > 4 AS ok
+      FROM events WHERE event_id % 11 != 0)""")
+def stream_control_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the control tables of a flow say, summed over its files."""
+    done = run_entity_flow(*_event_flow(spark, sf_dir))
+    return union_all(
+        [
+            done.tables[name].agg(F.sum("rows_OK").alias("loaded"), F.sum("rows_KO").alias("rejected"))
+            .select(F.lit(name).alias("layer"), "loaded", "rejected")
+            for name in ("ctl", "reconciliation")
+        ]
+    )
+
+
+@query("""SELECT 'bronze' AS quality, 'All orders as they came.' AS note, count(*) AS records
+    FROM orders UNION ALL
+    SELECT 'silver', 'Orders that meet every rule.', count(*) FROM (
+      SELECT * FROM orders WHERE o_totalprice > 1500)""")
+def stream_table_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comment and properties of published stream tables next to their rows."""
+    tables = fresh_tables(spark, "published")
+    rows = table_stream(spark, sf_dir, "orders")
+    settle(tables.append(rows, "bronze"))
+    settle(tables.append(tables.stream("bronze", rows.schema).filter("o_totalprice > 1500"), "silver"))
+    told = []
+    notes = {"bronze": "All orders as they came.", "silver": "Orders that meet every rule."}
+    for name, note in notes.items():
+        view = f"weirflow_{name}_{uuid.uuid4().hex}"
+        publish_stream_table(spark, view, tables.path(name), note, {"quality": name})
+        seen = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
+        told.append(
+            tables.read(name).agg(F.count(F.lit(1)).alias("records")).select(
+                F.lit(seen["quality"]).alias("quality"),
+                F.lit(spark.catalog.getTable(view).description).alias("note"),
+                "records",
+            )
+        )
+        spark.sql(f"DROP VIEW {view}")
+    return union_all(told)
+
+
 ENTITY_OF_ORDER = {"ES": 0, "PT": 1, "BR": 2, "UK": 3}
 
 

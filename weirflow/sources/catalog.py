@@ -27,14 +27,21 @@ def register_external(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING {file_format} LOCATION {_text(location)}")
 
 
-def publish_stream_table(spark: SparkSession, name: str, path: str, comment: str = "") -> None:
+def publish_stream_table(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    comment: str = "",
+    properties: Mapping[str, str] | None = None,
+) -> None:
     """Make a table filled by a stream readable by name.
 
     It is a view on the path, not a table over it: reading the path honours the
     log of the stream's commits, so files of a failed attempt are not counted.
     """
     note = f" COMMENT {_text(comment)}" if comment else ""
-    spark.sql(f"CREATE OR REPLACE VIEW {name}{note} AS SELECT * FROM parquet.`{path}`")
+    more = f" TBLPROPERTIES ({_properties(properties)})" if properties else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {name}{note}{more} AS SELECT * FROM parquet.`{path}`")
 
 
 def save_table(
@@ -60,8 +67,7 @@ def create_control_table(spark: SparkSession, table: str) -> None:
 
 
 def replace_control_rows(spark: SparkSession, table: str, rules: Mapping[str, str]) -> None:
-    """Empty the control table and insert one row per target, in one statement."""
-    spark.sql(f"TRUNCATE TABLE {table}")
-    if rules:
-        rows = ", ".join(f"({_text(name)}, {_text(text)})" for name, text in rules.items())
-        spark.sql(f"INSERT INTO {table} VALUES {rows}")
+    """Replace all rows of the control table by one per target, in one statement."""
+    rows = ", ".join(f"({_text(name)}, {_text(text)})" for name, text in rules.items())
+    given = f"VALUES {rows}" if rows else "SELECT '', '' WHERE false"
+    spark.sql(f"INSERT OVERWRITE TABLE {table} {given}")

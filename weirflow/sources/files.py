@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.transforms import FILE_COLUMN, RESCUE_COLUMN, extended, quoted, strip_provenance
+from ..operators.transforms import (
+    FILE_COLUMN,
+    RESCUE_COLUMN,
+    extended,
+    quoted,
+    strip_provenance,
+    without_trailing_provenance,
+)
 
 
 def read_landing(
@@ -30,10 +38,16 @@ def read_landing(
     is there. Bound it on a large backlog: a lost driver costs the open batch.
 
     `_rescue` holds what did not fit: the raw record where a value or the number
-    of fields is wrong, and for JSON the keys the schema lacks. It is NULL for a
-    clean record. Formats that carry their own schema have nothing to rescue.
+    of fields is wrong, and for JSON the keys the schema lacks, at any depth (a
+    key whose value lacks some is kept whole). It is NULL for a clean record.
+    Formats that carry their own schema have nothing to rescue.
+
+    A CSV header must name the schema's columns in order, else the job stops;
+    the option ``enforceSchema=true`` reads by position whatever the header
+    says. Fields that the flow itself adds are left out of the result; where
+    such a field stands before others in the schema it is read over in the file.
     """
-    schema = strip_provenance(schema)
+    declared, schema = without_trailing_provenance(schema), strip_provenance(schema)
     reader = spark.readStream if streaming else spark.read
     if streaming and max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -43,7 +57,9 @@ def read_landing(
         reader = reader.option(key, value)
 
     if file_format == "csv":
-        return _csv(reader.option("header", header), path, schema)
+        if header and "enforceschema" not in {key.lower() for key in options or {}}:
+            reader = reader.option("enforceSchema", False)
+        return _csv(reader.option("header", header), path, declared, schema)
     if file_format == "json":
         return _json(reader, path, schema, options or {})
     found = reader.format(file_format).schema(schema).load(path)
@@ -56,9 +72,9 @@ def _file_name() -> Column:
     return F.col("_metadata.file_path").alias(FILE_COLUMN)
 
 
-def _csv(reader, path: str, schema: T.StructType) -> DataFrame:
+def _csv(reader, path: str, declared: T.StructType, schema: T.StructType) -> DataFrame:
     raw = (
-        reader.schema(extended(schema, **{RESCUE_COLUMN: "string"}))
+        reader.schema(extended(declared, **{RESCUE_COLUMN: "string"}))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", RESCUE_COLUMN)
         .csv(path)
@@ -68,7 +84,8 @@ def _csv(reader, path: str, schema: T.StructType) -> DataFrame:
     # columns, or a filter on it, would change which records count as rescued.
     # A hash is never below the least int, but the optimizer does not know that.
     columns = [F.col(quoted(name)) for name in schema.fieldNames()]
-    rescued = F.when(F.hash(*columns) >= F.lit(-(2**31)), F.col(RESCUE_COLUMN))
+    everything = [F.col(quoted(name)) for name in declared.fieldNames()]
+    rescued = F.when(F.hash(*everything) >= F.lit(-(2**31)), F.col(RESCUE_COLUMN))
     return raw.select(*columns, rescued.alias(RESCUE_COLUMN), _file_name())
 
 
@@ -79,13 +96,14 @@ def _json(reader, path: str, schema: T.StructType, options: Mapping[str, str]) -
         raise ValueError("JSON landing files hold one object per line")
     lines = reader.text(path).select("value", _file_name()).filter(F.trim("value") != "")
     known = F.array(*[F.lit(name) for name in schema.fieldNames()])
-    has_more = F.size(F.array_except(F.json_object_keys("value"), known)) > 0
-    more = F.to_json(
-        F.map_filter(
-            F.from_json("value", "map<string,string>"),
-            lambda key, _: ~F.array_contains(known, key),
-        )
-    )
+    has_more = F.coalesce(_loses(F.col("value"), schema), F.lit(False))
+    nested = [f for f in schema.fields if _has_struct(f.dataType)]
+
+    def lost(key: Column, text: Column) -> Column:
+        deeper = [(key == f.name) & F.coalesce(_loses(text, f.dataType), F.lit(False)) for f in nested]
+        return reduce(Column.__or__, deeper, ~F.array_contains(known, key))
+
+    more = F.to_json(F.map_filter(F.from_json("value", "map<string,string>"), lost))
     parsed = lines.select(
         "value",
         FILE_COLUMN,
@@ -100,6 +118,31 @@ def _json(reader, path: str, schema: T.StructType, options: Mapping[str, str]) -
     return parsed.select(*fields, rescued.alias(RESCUE_COLUMN), FILE_COLUMN)
 
 
+def _has_struct(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_struct(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _has_struct(kind.valueType)
+    return isinstance(kind, T.StructType)
+
+
+def _loses(text: Column, kind: T.DataType) -> Column:
+    """Whether JSON text of this type holds a key that the type lacks, at any depth."""
+    if isinstance(kind, T.StructType):
+        known = F.array(*[F.lit(name) for name in kind.fieldNames()]).cast("array<string>")
+        own = F.size(F.array_except(F.json_object_keys(text), known)) > 0
+        deeper = [
+            F.coalesce(_loses(F.get_json_object(text, f"$['{f.name}']"), f.dataType), F.lit(False))
+            for f in kind.fields
+            if _has_struct(f.dataType)
+        ]
+        return reduce(Column.__or__, deeper, F.coalesce(own, F.lit(False)))
+    if isinstance(kind, T.ArrayType):
+        return F.exists(F.from_json(text, "array<string>"), lambda x: _loses(x, kind.elementType))
+    values = F.map_values(F.from_json(text, "map<string,string>"))
+    return F.exists(values, lambda x: _loses(x, kind.valueType))
+
+
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with a header, every column a string."""
     return spark.read.option("header", True).csv(path)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.eventlog import append_new_events
+from ..operators.transforms import quoted
 from .files import read_merged
 
 
@@ -38,11 +42,71 @@ def write_complete(df: DataFrame, path: str) -> None:
 
 
 def append_merge(df: DataFrame, path: str) -> None:
-    """Append rows that may bring new columns; `read_merged` shows them all."""
+    """Append rows that may bring new columns; `read_merged` shows them all.
+
+    A column the table has keeps the table's type: narrower numbers and, where
+    the table holds text, any value are cast; other types are refused before
+    anything is written, since the table could not be read with both.
+    """
+    there = _schema_of(df, path)
+    if there is not None:
+        df = df.select(
+            *[
+                _aligned(F.col(quoted(f.name)), f.dataType, there[f.name].dataType, f.name).alias(f.name)
+                if f.name in there.fieldNames()
+                else F.col(quoted(f.name))
+                for f in df.schema.fields
+            ]
+        )
     df.write.mode("append").parquet(path)
 
 
 def append_once(df: DataFrame, path: str, key: str = "event_id") -> None:
-    """Append the rows whose key the table lacks; doing it again adds nothing."""
-    append_merge(df.limit(0), path)  # the first time, so that there is a table to look into
-    append_merge(append_new_events(df, read_merged(df.sparkSession, path), key), path)
+    """Append the rows whose key the table lacks; doing it again adds nothing.
+
+    A NULL key stops the job, and of rows with one key one is taken. Two writers
+    at the same time are not kept apart: let one job fill a table.
+    """
+    name = F.col(quoted(key))
+    checked = F.when(name.isNull(), F.raise_error(F.lit(f"{key} is NULL")).cast(df.schema[key].dataType))
+    df = df.withColumn(key, checked.otherwise(name)).dropDuplicates([key])
+    if _schema_of(df, path) is not None:
+        df = append_new_events(df, read_merged(df.sparkSession, path), key)
+    append_merge(df, path)
+
+
+def _schema_of(df: DataFrame, path: str) -> T.StructType | None:
+    """The schema of the table at ``path``; None where there is none yet."""
+    try:
+        return read_merged(df.sparkSession, path).schema
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+#: Numbers by width: each fits into those that follow.
+_WIDENING = ("byte", "short", "integer", "long")
+
+
+def _aligned(value: Column, have: T.DataType, want: T.DataType, name: str) -> Column:
+    """``value`` of type ``have`` as a value of the type ``want``, if nothing can be lost."""
+    if have == want:
+        return value
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        known = {f.name: f.dataType for f in want.fields}
+        fields = [
+            _aligned(value[f.name], f.dataType, known.get(f.name, f.dataType), f"{name}.{f.name}").alias(f.name)
+            for f in have.fields
+        ]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(value, lambda x: _aligned(x, have.elementType, want.elementType, name))
+    names = have.typeName(), want.typeName()
+    wider = all(n in _WIDENING for n in names) and _WIDENING.index(names[0]) < _WIDENING.index(names[1])
+    if isinstance(have, T.NullType) or wider or names == ("float", "double"):
+        return value.cast(want)
+    if isinstance(want, T.StringType):
+        complex_type = isinstance(have, (T.StructType, T.ArrayType, T.MapType))
+        return F.to_json(value) if complex_type else value.cast(want)
+    raise ValueError(f"column {name} is {have.simpleString()}, the table holds {want.simpleString()}")

@@ -6,6 +6,8 @@ from .flows import (
     log_events,
     run_entity_flow,
     run_union_flow,
+    source_settings,
+    union_sources_from_config,
 )
 from .tables import CheckedStream, StreamResult, StreamTables, settle
 
@@ -21,4 +23,6 @@ __all__ = [
     "run_entity_flow",
     "run_union_flow",
     "settle",
+    "source_settings",
+    "union_sources_from_config",
 ]

@@ -39,6 +39,8 @@ class LandingSource:
     max_files: int | None = None
     max_bytes: int | None = None
     rules: Rules = field(default_factory=dict)
+    header: bool = True
+    options: Mapping[str, str] = field(default_factory=dict)
 
     def open(self, spark: SparkSession, at: Column | None = None) -> DataFrame:
         rows = read_landing(
@@ -46,8 +48,10 @@ class LandingSource:
             self.landing,
             self.schema,
             self.file_format,
+            header=self.header,
             max_files=self.max_files,
             max_bytes=self.max_bytes,
+            options=self.options,
         )
         return with_provenance(rows, self.entity, at)
 
@@ -57,7 +61,9 @@ class EntityFlow:
     """The contract-driven template: bronze, silver, quarantine, control table.
 
     With ``single_pass`` silver and quarantine are one table split by a
-    partition column, so bronze is read, and each rule evaluated, once.
+    partition column, so bronze is read, and each rule evaluated, once; a row is
+    then always on just one side. Without it they are two streams, which judge a
+    rule that depends on the time of day each for itself.
     """
 
     contract: Contract
@@ -65,7 +71,7 @@ class EntityFlow:
     invalid_path: str | None = None
     failed_column: str = FAILED_COLUMN
     id_column: str = "id"
-    single_pass: bool = False
+    single_pass: bool = True
 
     def table(self, layer: str) -> str:
         return f"{self.contract.entity}_{layer}"
@@ -102,23 +108,49 @@ def entity_flow_from_config(
 ) -> EntityFlow:
     """A flow from string settings, as a job configuration gives them.
 
-    Needs ``landing_zone``; knows ``invalid_format_path``, ``file_format``
-    (``json`` if absent), ``max_files`` and ``max_bytes`` (no bound if absent).
+    Needs ``landing_zone``; knows ``invalid_format_path`` and what
+    :func:`source_settings` does, with ``file_format`` ``json`` if absent.
     """
     if "landing_zone" not in config:
-        raise ValueError("Please provide [landing_zone] as job configuration")
-    limits = {key: int(config[key]) for key in ("max_files", "max_bytes") if key in config}
+        raise ValueError(f"entity {contract.entity!r}: the configuration has no landing_zone")
     source = LandingSource(
         table=f"{contract.entity}_bronze",
         landing=config["landing_zone"],
         entity=entity_tag,
         schema=contract.schema,
-        file_format=config.get("file_format", "json"),
-        **limits,
+        **({"file_format": "json"} | source_settings(config)),
     )
     return EntityFlow(contract, source, config.get("invalid_format_path"), **settings)
 
 
+def source_settings(config: Mapping[str, str]) -> dict:
+    """Settings of a landing source from strings: ``file_format``, ``header``, ``max_files``,
+    ``max_bytes`` (no bound if absent), and reader options as ``option.<name>``."""
+    found: dict = {key: int(config[key]) for key in ("max_files", "max_bytes") if key in config}
+    if "file_format" in config:
+        found["file_format"] = config["file_format"]
+    if "header" in config:
+        found["header"] = config["header"].strip().lower() == "true"
+    options = {key.removeprefix("option."): value for key, value in config.items() if key.startswith("option.")}
+    return found | {"options": options} if options else found
+
+
+def union_sources_from_config(
+    config: Mapping[str, str], schema: T.StructType, table: str = "bronze_{entity}", rules: Rules | None = None
+) -> list[LandingSource]:
+    """Sources of a union flow from string settings: one per ``landing_zone.<ENTITY>``.
+
+    Other settings are those of :func:`source_settings` and hold for all sources.
+    """
+    zones = {key.partition(".")[2]: path for key, path in config.items() if key.startswith("landing_zone.")}
+    if not zones:
+        raise ValueError("the configuration has no landing_zone.<ENTITY>")
+    return [
+        LandingSource(table.format(entity=entity.lower()), path, entity, schema, rules=rules or {}, **source_settings(config))
+        for entity, path in zones.items()
+    ]
+
+
 def run_entity_flow(
     tables: StreamTables, flow: EntityFlow, at: Column | None = None
 ) -> FlowResult:
@@ -128,15 +160,18 @@ def run_entity_flow(
     schema = bronze.schema
     done = settle(tables.append(bronze, flow.table("bronze")))
 
+    def bronze_stream() -> DataFrame:
+        return tables.stream(flow.table("bronze"), schema, flow.source.max_bytes, flow.source.max_files)
+
     def bronze_rows() -> DataFrame:
-        rows = tables.stream(flow.table("bronze"), schema)
+        rows = bronze_stream()
         return rows.filter(~unreadable) if flow.invalid_path else rows
 
     unreadable = malformed(flow.contract.schema, flow.source.file_format)
     started = []
     if flow.invalid_path:
         aside = (
-            tables.stream(flow.table("bronze"), schema)
+            bronze_stream()
             .filter(unreadable)
             .select(
                 F.col("InputFileName").alias("path"),
@@ -218,14 +253,18 @@ def run_union_flow(
         ]
     )
     schema = opened[sources[0].table].schema
-    together = union_all([tables.stream(t, frame.schema) for t, frame in opened.items()])
+    together = union_all(
+        [tables.stream(s.table, opened[s.table].schema, s.max_bytes, s.max_files) for s in sources]
+    )
+    bounds = [max((b for b in found if b is not None), default=None) for found in (
+        [s.max_bytes for s in sources], [s.max_files for s in sources])]
     done += settle(
         tables.append(expect_drop(together, silver_rules, silver_table), silver_table)
     )
     rechecks = rechecks or {}
     done += settle(
         *[
-            tables.append(expect_keep(tables.stream(silver_table, schema), rules, name), name)
+            tables.append(expect_keep(tables.stream(silver_table, schema, *bounds), rules, name), name)
             for name, rules in rechecks.items()
         ]
     )

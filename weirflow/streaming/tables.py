@@ -67,12 +67,18 @@ class StreamTables:
             self.spark.conf.set(OPEN_WRITERS, kept)
 
     def stream(
-        self, name: str, schema: T.StructType, max_bytes: int | None = None
+        self,
+        name: str,
+        schema: T.StructType,
+        max_bytes: int | None = None,
+        max_files: int | None = None,
     ) -> DataFrame:
         """The table as an incremental source: rows not read by this reader before."""
         reader = self.spark.readStream.schema(schema)
         if max_bytes is not None:
             reader = reader.option("maxBytesPerTrigger", max_bytes)
+        if max_files is not None:
+            reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(self.path(name))
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
@@ -159,7 +165,8 @@ def settle(*queries: StreamingQuery) -> list[StreamResult]:
     """Wait for triggered queries that run side by side.
 
     Progress is gathered while they run, since a query keeps only its latest
-    batches. If one fails the others are stopped and its error is raised.
+    batches; if some still were missed the counts would be too low, and an error
+    is raised. If one fails the others are stopped and its error is raised.
     """
     results = [StreamResult(q.name.rsplit("/", 1)[-1], str(q.id)) for q in queries]
     pending = list(range(len(queries)))
@@ -175,6 +182,13 @@ def settle(*queries: StreamingQuery) -> list[StreamResult]:
         for i in pending:
             queries[i].stop()
         raise
+    for result in results:
+        seen = result.batches.keys()
+        if seen and len(seen) <= max(seen) - min(seen):
+            raise RuntimeError(
+                f"progress of batches of {result.name} was missed; raise"
+                " spark.sql.streaming.numRecentProgressUpdates or make batches larger"
+            )
     return results
 
 
