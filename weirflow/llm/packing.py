@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import flat_map_texts, stored
-from .tokens import word_cache
+from .tokens import WordCache
 
 CAPACITY = 4096
 END_ID = 1
@@ -253,7 +253,7 @@ def pieces_of(
     end = int(end_id).to_bytes(4, "little")
 
     def start():
-        cache = word_cache(tokenizer_path)
+        cache = WordCache(tokenizer_path)  # goes with the task
 
         def cut(data: bytes) -> list[tuple]:
             rows = []

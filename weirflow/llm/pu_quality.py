@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, map_texts
+from .common import LOWER, UPPER, identity, map_texts, remaining
 from .sampling import labelled_texts, unlabelled_texts
 
 #: Texts a model is fitted on: at most so many trusted positives, and so many unlabelled ones.
@@ -193,9 +193,6 @@ def score_quality(
 def keep_quality(docs: DataFrame, labels: DataFrame, learn, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is predicted to be of quality, all columns as they were."""
     model = train_quality(docs, labels, learn, id_column=id_column, text_column=text_column)
-    made = {"score", "predicted"} & set(docs.columns)
-    if made:
-        renamed = docs.withColumnsRenamed({c: f"_own_{c}" for c in made})
-        kept = score_quality(renamed, model, renamed.columns, text_column).where("predicted = 1")
-        return kept.select(*(F.col(f"_own_{c}").alias(c) if c in made else F.col(c) for c in docs.columns))
-    return score_quality(docs, model, docs.columns, text_column).where("predicted = 1").select(*docs.columns)
+    told = docs.select(identity(id_column, text_column).alias("row"), F.col(text_column).alias("text"))
+    decided = score_quality(told, model, ["row"], "text").select("row", (F.col("predicted") == 1).alias("kept"))
+    return remaining(docs, decided, id_column, text_column)

@@ -16,6 +16,16 @@ _SIGNS = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
 
 
+@lru_cache(maxsize=2)
+def _loaded(path: str) -> tuple[Tokenizer, np.ndarray]:
+    """A tokenizer, loaded once per process, and which of its ids end a word."""
+    tokenizer = Tokenizer.from_file(path)
+    vocabulary = tokenizer.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+    return tokenizer, ends
+
+
 class WordCache:
     """Ids of texts for a tokenizer that drops white space and lower-cases, such as word_bpe_49k.
 
@@ -26,10 +36,8 @@ class WordCache:
     """
 
     def __init__(self, path: str, most: int = 250_000):
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
-        ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
-        self.ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
-        self.ends[ends] = True
+        self.tokenizer, self.ends = _loaded(path)
+        self.most = most
         self.known: dict[bytes, bytes] = {}
 
     def ids(self, texts: list[bytes | None]) -> list[bytes]:
@@ -72,9 +80,3 @@ class WordCache:
             self.known.update([(word, data[a:b]) for word, a, b in zip(some, starts, stops, strict=False)])
         encoded = self.tokenizer.encode_batch([o.decode() for o in others], add_special_tokens=False)
         self.known.update((o, np.array(e.ids, "<u4").tobytes()) for o, e in zip(others, encoded, strict=True))
-
-
-@lru_cache(maxsize=2)
-def word_cache(path: str) -> WordCache:
-    """The cache of this process: later tasks of the same worker go on with it."""
-    return WordCache(path)
