@@ -20,9 +20,10 @@ THRESHOLD = 0.3
 #: Landmarks at most from toxic texts and from harmless ones; units are alike from ALIKE on;
 #: candidates for landmarks so many that they meet at most PAIRS times with units.
 LANDMARKS, CALM_LANDMARKS, ALIKE, PAIRS = 96, 64, 0.45, 20_000_000
-#: A unit is toxic evidence when the texts that hold it or something alike are so many
-#: standard deviations more than harmless texts would have it.
-LEAST_EXCESS = 3.0
+#: A unit is toxic evidence when the texts that hold it or something alike are more than
+#: harmless texts would have it by MARGIN standard deviations over what the most extreme
+#: of as many candidates reaches by chance, sqrt(2 ln n).
+MARGIN = 1.0
 #: The kernel counts subsequences of three characters within SPAN, each at DECAY per
 #: character spanned; a unit longer than WIDTH is seen through windows of it.
 SPAN, DECAY, WIDTH, STRIDE = 7, 0.6, 24, 12
@@ -252,10 +253,11 @@ def find_evidence(toxic: list[set[bytes]], harmless: dict[bytes, float]) -> tupl
     # Per harmless text, what is alike in sum: no less than its largest.
     doubt = np.array(list(harmless.values())) @ calm**2 * len(held)
     excess = ((held**2).sum(axis=0) - doubt) / np.sqrt(doubt + 1)
+    least = MARGIN + np.sqrt(2 * np.log(len(probes)))
     among = alike[: len(probes)]
     chosen: list[int] = []
     for p in np.argsort(-excess, kind="stable"):
-        if len(chosen) == LANDMARKS or excess[p] < LEAST_EXCESS and chosen:
+        if len(chosen) == LANDMARKS or excess[p] < least and chosen:
             break
         if not chosen or among[chosen, p].max() < 0.75:
             chosen.append(int(p))
@@ -263,7 +265,7 @@ def find_evidence(toxic: list[set[bytes]], harmless: dict[bytes, float]) -> tupl
     learnt = set()
     for mine in toxic:
         most = max((clear[u] for u in mine if u in clear), default=0.0)
-        learnt |= {u for u in mine if clear.get(u, 0.0) >= max(LEAST_EXCESS, most / 2)}
+        learnt |= {u for u in mine if clear.get(u, 0.0) >= max(least, most / 2)}
     landmarks = [probes[i] for i in chosen]
     return landmarks, sorted(learnt) or landmarks
 
