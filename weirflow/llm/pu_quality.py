@@ -80,7 +80,9 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     Above any threshold the unlabelled hold at least prior * (share of positives
     above it); so the smallest quotient of the two shares bounds the prior from
     above, and meets it where a threshold cuts off all negatives. Thresholds
-    leave enough of both, and each quotient is raised by its sampling error.
+    leave enough of both, and each quotient is raised by its sampling error. So
+    on small samples the estimate errs upward, and the model then lets as large a
+    share of bad texts pass rather than reject good ones.
     """
     cuts = np.quantile(positive, np.linspace(0.02, 0.7, 35))
     above_p = np.array([(positive >= c).mean() for c in cuts])
