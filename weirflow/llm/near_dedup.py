@@ -68,9 +68,8 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     sizes = stored(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     shared = stored(members.join(sizes, "bucket"), "shared")
     met = stored(shared.groupBy("node").agg(F.sum("n").alias("met")), "met")
-    shared = stored(shared.drop("n").join(met, "node"), "shared")
     centers = stored(
-        shared.groupBy("bucket").agg(F.max(F.struct("met", "node")).alias("top")).select("bucket", F.col("top.node").alias("center")),
+        shared.drop("n").join(met, "node").groupBy("bucket").agg(F.max(F.struct("met", "node")).alias("top")).select("bucket", F.col("top.node").alias("center")),
         "centers",
     )
     return stored(shared.select("bucket", "node").join(centers, "bucket"), "buckets")
