@@ -64,6 +64,21 @@ def test_classes_match_brute_force(spark):
     assert Counter(r.doc_id for r in left.collect()) == Counter(kept)
 
 
+def test_blocks_repeated_in_one_copy_only_match_brute_force(spark):
+    random.seed(12)
+    docs = []
+    for g in range(40):  # a vocabulary per group, so that nothing but the pair is alike
+        words = lambda n: " ".join(f"g{g}w{random.randrange(10**6)}" for _ in range(n))
+        base, block = words(104), words(19) + " "
+        docs += [(10 * g, base), (10 * g + 1, base + " " + block * (10, 20)[g % 2])]
+        base, block = words(104), words(20) + " "
+        docs += [(10 * g + 2, base + " " + block * 2), (10 * g + 3, base + " " + block * 1000)]
+    want = brute(docs)
+    assert all(size == 2 for _, _, size in want)
+    got = near_duplicates(frame(spark, docs)).collect()
+    assert Counter((r.doc_id, r.class_id, r.class_size) for r in got) == want
+
+
 def test_empty_table(spark):
     assert near_duplicates(frame(spark, [])).count() == 0
     assert near_dedup(frame(spark, [])).count() == 0

@@ -1,4 +1,4 @@
-"""Near-duplicate classes: ProbMinHash, banding, verification on whole texts, components."""
+"""Near-duplicate classes: MinHash, banding, verification on whole texts, components."""
 
 from __future__ import annotations
 
@@ -32,12 +32,11 @@ def _signed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
     def start():
         def sign(texts: list[bytes | None]) -> list[list[tuple]]:
-            sets = [shingles(x) for x in texts]
-            matrix = signatures(sets)
+            sets = [shingles(x)[0] for x in texts]
+            # Every shingle has weight 1, as in the similarity that makes a link.
+            matrix = signatures([(s, np.ones(len(s), np.int64)) for s in sets])
             keys, digests = band_keys(matrix), digest(matrix)
-            return [
-                [(len(s), keys[i].tolist() if len(s) else [], digests[i].tobytes())] for i, (s, _) in enumerate(sets)
-            ]
+            return [[(len(s), keys[i].tolist() if len(s) else [], digests[i].tobytes())] for i, s in enumerate(sets)]
 
         return sign
 
@@ -322,12 +321,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     ``class_id`` is the smallest id in the class, and one row with it stays.
 
     Equal texts are one node from the start. Candidates are nodes with an equal
-    band of their ProbMinHash signatures; with 40 bands of 4 registers a pair of
-    probability Jaccard similarity 0.8 is missed with a chance below 1e-9, one of
-    0.65 of 4e-4. In each bucket members are first compared with one of them, which
+    band of their signatures. All shingles of a set have the same weight there,
+    however often they stand, so registers agree with the Jaccard similarity
+    itself: with 40 bands of 4 registers a pair of similarity 0.8 has no band in
+    common with a chance below 1e-9, and agrees in less than LEAST_AGREEMENT of
+    its registers with a chance below 2e-9. In each bucket members are first compared with one of them, which
     links a group of any size with a row per member; what then is still in
     different components is compared exhaustively, in blocks (:func:`_rest`). No
-    pair is dropped, and no group is gathered in one task. Signature digests sort
+    bucket is cut, and no group is gathered in one task. Signature digests sort
     out candidates far below the threshold; all others are verified on whole texts.
 
     A text of fewer than five words is one shingle; texts without words (null
