@@ -56,6 +56,16 @@ def test_plan_is_whole_and_optimal_on_small_cases():
         assert sum(times for _, times in plan) == fewest(items, cap)
 
 
+def test_sequences_of_very_many_pieces_are_planned():
+    for counts, fewest_known in (({2101: 3, 1: 1000}, 3), ({3: 6_000_000}, 4396), ({4: 900_001, 3: 900_001, 1: 2}, None)):
+        plan, got = plan_bins(counts), Counter()
+        for filling, times in plan:
+            assert sum(length * n for length, n in filling) <= 4096
+            got.update({length: n * times for length, n in filling})
+        bound = -(-sum(length * n for length, n in counts.items()) // 4096)
+        assert got == counts and sum(times for _, times in plan) == (fewest_known or bound)
+
+
 def test_fillings_start_with_best_fit_and_only_get_better():
     found = list(fillings(Stock({60: 1, 30: 1, 25: 2, 15: 1, 9: 1}), 100, 1000))
     assert found[0][1] == ((60, 1), (30, 1), (9, 1))
@@ -109,6 +119,12 @@ def test_common_length_is_numbered_in_groups(spark):
     assert check(rows, docs, 4096) == -(-1800 * 4 // 4096)
 
 
+def test_many_empty_texts_fill_up_a_sequence(spark):
+    docs = [(i, "word " * 2100) for i in range(3)] + [(10 + i, None if i % 2 else "") for i in range(1000)]
+    rows = pack(spark.createDataFrame(docs, "doc_id long, text string"), PATH).collect()
+    assert check(rows, docs, 4096) == 3
+
+
 def test_pieces_can_carry_their_ids(spark):
     given = spark.createDataFrame([(1, "some words here")], "doc_id long, text string")
     (row,) = pieces_of(given, PATH, with_ids=True).collect()

@@ -185,31 +185,44 @@ def _search(incumbent: list[Filling], capacity: int, filling_nodes: int, nodes:
 
 
 def _all_fillings(stock: Stock, capacity: int, most_waste: int, nodes: int) -> list[tuple[int, Filling]]:
-    """Undominated fillings around the largest piece that waste no more than ``most_waste``."""
-    first = stock.largest(capacity)
+    """Undominated fillings around the largest piece that waste no more than ``most_waste``.
+
+    All copies of a length are chosen in one step, most first, and the steps
+    taken are a list: how many pieces a sequence holds does not matter.
+    """
     found: list[tuple[int, Filling]] = []
-    held = {first: 1}
+    held: dict[int, int] = {}
+    room = capacity
+
+    def copies_of(length: int, room: int) -> Iterator[tuple[int, int]]:
+        return ((length, n) for n in range(min(stock.left[length], room // length), 0, -1))
 
-    def walk(chosen: list[int], room: int, most: int) -> None:
-        nonlocal nodes
-        # Maximal: no piece at hand, of any size, fits in what is left.
-        free = stock.largest(room)
-        while free and stock.left[free] <= held.get(free, 0):
-            free = stock.largest(free - 1)
-        if not free:
+    def smaller(most: int, room: int) -> Iterator[tuple[int, int]]:
+        while length := stock.largest(min(most, room)):
+            yield from copies_of(length, room)
+            most = length - 1
+
+    ways = [copies_of(stock.largest(capacity), capacity)]
+    while ways:
+        length, copies = next(ways[-1], (0, 0)) if nodes > 0 else (0, 0)
+        if length:
+            nodes -= 1
+            held[length] = copies
+            room -= length * copies
+            # Maximal: no piece at hand, of any size, fits in what is left.
+            free = stock.largest(room)
+            while free and stock.left[free] <= held.get(free, 0):
+                free = stock.largest(free - 1)
+            if free:
+                ways.append(smaller(length - 1, room))
+                continue
             if room <= most_waste:
-                found.append((room, _counted(chosen)))
-            return
-        length = stock.largest(min(room, most))
-        while length and nodes > 0:
-            if stock.left[length] > held.get(length, 0):
-                nodes -= 1
-                held[length] = held.get(length, 0) + 1
-                walk([*chosen, length], room - length, length)
-                held[length] -= 1
-            length = stock.largest(length - 1)
-
-    walk([first], capacity - first, first)
+                found.append((room, tuple(held.items())))
+        else:
+            ways.pop()
+        if held:
+            length, copies = held.popitem()
+            room += length * copies
     return found
 
 
