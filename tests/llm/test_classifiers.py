@@ -113,6 +113,21 @@ def test_toxicity_on_held_out_texts(spark, corpus):
     assert score_toxicity(edges(spark).limit(0), model, ["doc_id"]).count() == 0
 
 
+def test_toxicity_with_some_toxic_texts_labelled_harmless(spark):
+    random.seed(21)
+    rows, true, told = [], [], []
+    for i in range(1500):
+        insult = ("", "grumbler", "nastyhead", "dunderfool")[i % 4 * (i % 3 == 0)]
+        rows.append((i, f"{sentence(random.randint(8, 40))} {insult} so."))
+        true.append((i, int(insult != "")))
+        told.append((i, int(insult != "" and i % 5 != 1)))  # of each insult some texts are labelled 0
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = train_toxicity(docs, spark.createDataFrame(told, "doc_id long, toxic int"), learn)
+    both = score_toxicity(docs, model, ["doc_id"]).join(spark.createDataFrame(true, "doc_id long, truth int"), "doc_id").collect()
+    assert sum(r.predicted != r.truth for r in both) <= 15
+    assert sum(r.truth and not r.predicted for r in both) <= 5
+
+
 def test_toxicity_without_anything_to_learn_from(spark, corpus):
     docs, marks = corpus
     for labels in (marks.limit(0), marks.where("toxic = 0"), marks.where("toxic = 1")):

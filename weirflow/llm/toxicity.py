@@ -226,8 +226,12 @@ def _best_of(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def find_evidence(toxic: list[set[bytes]], harmless: dict[bytes, float]) -> tuple[list[bytes], list[bytes]]:
-    """Units that toxic texts share, in their own form or a similar one, and harmless ones do not.
+def find_evidence(toxic: list[dict[bytes, float]], harmless: dict[bytes, float]) -> tuple[list[bytes], list[bytes]]:
+    """Units that toxic texts share, in their own form or a similar one, more than harmless ones do.
+
+    ``toxic`` has of each text its units, each with the excess of its own form
+    (:func:`train_toxicity`), by which candidates are chosen; ``harmless`` has the
+    share of harmless texts that hold a unit.
 
     For each candidate the toxic texts that hold something alike are counted,
     each by how alike it is, and compared with what as many harmless texts would
@@ -238,11 +242,8 @@ def find_evidence(toxic: list[set[bytes]], harmless: dict[bytes, float]) -> tupl
     clearest excess in it: a text is toxic by one unit, so what merely looks a
     little like a landmark is no example where the text has better evidence.
     """
-    spread: dict[bytes, int] = {}
-    for mine in toxic:
-        for u in mine:
-            spread[u] = spread.get(u, 0) + 1
-    suspects = sorted(spread, key=lambda u: (-spread[u], u))
+    own = {u: excess for mine in toxic for u, excess in mine.items()}
+    suspects = sorted(own, key=lambda u: (-own[u], u))
     probes = suspects[: max(200, PAIRS // (len(suspects) + len(harmless)))]
     kernel, rank = Landmarks(probes), {u: i for i, u in enumerate(suspects)}
     alike = _best_of(*kernel.values(suspects), len(suspects))
@@ -351,25 +352,36 @@ def train_toxicity(
     others = {bytes(r["unit"]): r["n"] / n_calm for r in calm.orderBy(F.xxhash64("unit")).limit(MOST_HARMLESS).collect()}
     each = max(1.0, told_of / MOST_HARMLESS)
     harmless = {u: share * each for u, share in others.items()} | frequent
-    only = told.where("label = 1").join(calm.select("unit"), "unit", "left_anti")
-    shared = only.groupBy("unit").agg(F.count("*").alias("n"))
+    n_toxic = sample.where("label = 1").count()
+    # What harmless texts hold too counts by how much more of the toxic texts hold it.
+    by_chance = F.coalesce(F.col("calm.n"), F.lit(0)) * F.lit(n_toxic / max(1, n_calm))
+    suspects = told.where("label = 1")
+    shared = (
+        suspects.groupBy("unit").agg(F.count("*").alias("n")).alias("shared")
+        .join(calm.alias("calm"), F.col("shared.unit") == F.col("calm.unit"), "left")
+        .select("shared.unit", ((F.col("shared.n") - by_chance) / F.sqrt(by_chance + 1)).alias("excess"))
+        .where("excess > 0")
+    )
     bags = (
-        only.join(shared, "unit")
+        suspects.join(shared, "unit")
         .groupBy("text_no")
-        .agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "unit")), False), 1, MOST_UNITS).alias("held"))
+        .agg(F.slice(F.sort_array(F.collect_list(F.struct("excess", "unit")), False), 1, MOST_UNITS).alias("held"))
         .orderBy(F.xxhash64("text_no"))
         .limit(MOST_TOXIC_TEXTS)
     )
-    toxic = [{bytes(u["unit"]) for u in r["held"]} for r in bags.collect()]
+    toxic = [{bytes(u["unit"]): u["excess"] for u in r["held"]} for r in bags.collect()]
     if not harmless or not any(toxic):
         return None
     landmarks, known = find_evidence(toxic, harmless)
     calm_landmarks = [u for u in frequent if len(u) > 2][:CALM_LANDMARKS]
-    machine, negatives = UnitMachine(landmarks + calm_landmarks), list(harmless)
+    # A text that is labelled wrong makes no string harmless that was found to be toxic.
+    evidence = {*known, *landmarks}
+    calm_landmarks = [u for u in calm_landmarks if u not in evidence]
+    machine, negatives = UnitMachine(landmarks + calm_landmarks), [u for u in harmless if u not in evidence] or list(harmless)
     for _ in range(ROUNDS):
         machine.train(known, negatives)
-        hard = _told(calm, ["unit"], F.col("unit"), machine.model()).orderBy(F.desc("best"), "unit").limit(HARD)
-        negatives = sorted(set(negatives) | {bytes(r["unit"]) for r in hard.collect()})
+        hard = _told(calm, ["unit"], F.col("unit"), machine.model()).orderBy(F.desc("best"), "unit").limit(HARD + len(evidence))
+        negatives = sorted(set(negatives) | ({bytes(r["unit"]) for r in hard.collect()} - evidence))
     machine.train(known, negatives)
     plain = machine.model()
     seen = _told(sample, ["label"], F.col("text"), plain).toPandas()
