@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from weirflow.llm.pu_quality import _risk, estimate_prior, fit, keep_quality, score_quality, train_quality
 from weirflow.llm.sampling import held_out
-from weirflow.llm.toxicity import Landmarks, score_toxicity, train_toxicity, units
+from weirflow.llm.toxicity import Landmarks, UnitMachine, score_toxicity, train_toxicity, units
 
 SYLLABLES = "ba ke li mo nu ra se ti vo za pre sta gro".split()
 
@@ -128,6 +128,23 @@ def test_toxicity_with_some_toxic_texts_labelled_harmless(spark):
     assert sum(r.truth and not r.predicted for r in both) <= 5
 
 
+def test_long_units_are_learnt_from_behind_their_first_window():
+    random.seed(22)
+    harmless = "".join(chr(0x4E00 + random.randrange(400)) for _ in range(60))
+    insult = "".join(chr(0x6000 + 7 * i) for i in range(12))
+    machine = UnitMachine([insult.encode(), harmless[:24].encode()])
+    # Its window from 60 on holds the insult whole; the first one is without it.
+    got = machine.map([("x" * 60 + insult + "y" * 12).encode()])
+    assert np.allclose(got, machine.map([(insult + "y" * 12).encode()]))
+
+
+def test_characters_beyond_ascii_are_told_apart():
+    text = "".join(chr(0x6000 + 29 * i) for i in range(12))
+    other = "".join(chr(ord(c) + 28) for c in text)
+    values, _ = Landmarks([text.encode()]).values([text.encode(), other.encode()])
+    assert abs(values[0, 0] - 1) < 1e-5 and values[1, 0] < 0.1
+
+
 def test_toxicity_without_anything_to_learn_from(spark, corpus):
     docs, marks = corpus
     for labels in (marks.limit(0), marks.where("toxic = 0"), marks.where("toxic = 1")):

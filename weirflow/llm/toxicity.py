@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import UPPER, flat_map_texts, stored
+from .prob_minhash import mixed
 from .sampling import labelled_texts
 
 #: Texts a model is fitted on, at most about so many. Of what they hold: units of harmless
@@ -27,7 +28,9 @@ MARGIN = 1.0
 #: The kernel counts subsequences of three characters within SPAN, each at DECAY per
 #: character spanned; a unit longer than WIDTH is seen through windows of it.
 SPAN, DECAY, WIDTH, STRIDE = 7, 0.6, 24, 12
-SYMBOLS = 64
+#: Subsequences are numbered below SLOTS: those of a-z and 0-9 each by its own number,
+#: those with other characters by a hash of all three characters.
+PLAIN, SLOTS = 36, 1 << 21
 #: Rounds in which harmless units that look toxic are added, and how many at a time;
 #: steps, rate and penalty of the SVM.
 ROUNDS, HARD, STEPS, RATE, PENALTY = 3, 4_000, 300, 0.05, 1e-4
@@ -58,6 +61,17 @@ def units(data: bytes | None) -> set[bytes]:
     return found
 
 
+def windows(unit: bytes) -> list[bytes]:
+    """The windows a unit is seen through; each is a unit of one window."""
+    text = unit.decode("utf-8", "replace")
+    return [text[at : at + WIDTH].encode("utf-8", "replace") for at in range(0, max(1, len(text) - WIDTH + STRIDE), STRIDE)]
+
+
+def seen_units(data: bytes | None) -> set[bytes]:
+    """The distinct windows of a text's units, without those of signs alone: what is learnt from."""
+    return {w for u in units(data) for w in (windows(u) if len(u) > WIDTH else (u,)) if w.strip(_ENDS)}
+
+
 def encode(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of all windows of the units as a matrix, and whose they are.
 
@@ -75,7 +89,7 @@ def encode(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     symbol = np.where(
         (codes >= 97) & (codes <= 122),
         codes - 97,
-        np.where((codes >= 48) & (codes <= 57), codes - 48 + 26, np.where(codes < 128, -1, 36 + codes % 28)),
+        np.where((codes >= 48) & (codes <= 57), codes - 48 + 26, np.where(codes < 128, -1, PLAIN + codes)),
     )
     matrix = np.full((len(texts), WIDTH), -1, np.int64)
     matrix[np.arange(WIDTH) < lengths[:, None]] = symbol
@@ -84,9 +98,18 @@ def encode(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _triples(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of each row, the subsequences as numbers, with their weights (0 where beyond the end)."""
-    a, b, c = (matrix[:, _PLACES[:, i]] for i in range(3))
-    there = (a >= 0) & (b >= 0) & (c >= 0)
-    return np.where(there, (a * SYMBOLS + b) * SYMBOLS + c, 0), np.where(there, _DECAYS, 0.0)
+    a, b, c = (_slots(matrix, i)[:, _PLACES[:, i]] for i in range(3))
+    signs = matrix < 0
+    there = ~(signs[:, _PLACES[:, 0]] | signs[:, _PLACES[:, 1]] | signs[:, _PLACES[:, 2]])
+    return np.where(there, a ^ b ^ c, 0), np.where(there, _DECAYS, 0.0)
+
+
+def _slots(matrix: np.ndarray, turn: int) -> np.ndarray:
+    """What each symbol gives to the number of a subsequence in which it is the ``turn``-th."""
+    out, other = matrix << (6 * (2 - turn)), matrix >= PLAIN
+    if other.any():
+        out[other] = (mixed(matrix[other].astype(np.uint64), turn + 1) % np.uint64(SLOTS)).astype(np.int64)
+    return out
 
 
 def _norms(triples: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -113,7 +136,7 @@ class Landmarks:
         known, place = np.unique(triples, return_inverse=True)
         table = np.zeros((len(known) + 1, n))
         np.add.at(table, (place.reshape(triples.shape) + 1, owner[:, None]), weights)
-        self.index = np.zeros(SYMBOLS**3, np.int32)
+        self.index = np.zeros(SLOTS, np.int32)
         self.index[known] = np.arange(1, len(known) + 1)
         self.table = (table / np.maximum(np.sqrt((table**2).sum(axis=0)), 1e-12)).astype(np.float32)
 
@@ -292,9 +315,10 @@ class UnitMachine:
         self.weights, self.bias = np.zeros(good.sum()), 0.0
 
     def map(self, strings: list[bytes]) -> np.ndarray:
-        """Nystroem features of each unit's first window."""
+        """Nystroem features of units of one window; of a longer one, of the window most like a landmark."""
         values, owner = self.kernel.values(strings)
-        return values[np.searchsorted(owner, np.arange(len(strings)))].astype(float) @ self.whiten
+        best = np.lexsort((-values.max(axis=1), owner))
+        return values[best[np.searchsorted(owner, np.arange(len(strings)))]].astype(float) @ self.whiten
 
     def train(self, toxic: list[bytes], harmless: list[bytes]) -> None:
         toxic = toxic + [v for u in toxic for v in disguised(u)]
@@ -330,7 +354,9 @@ def train_toxicity(
     """Learn from labelled texts which units make a text toxic.
 
     ``learn`` (a function of the id column) says whose labels may be seen. Texts
-    are a sample bounded by ``most_texts``; their units are counted in Spark.
+    are a sample bounded by ``most_texts``; their units are counted in Spark,
+    those longer than a window by their windows, so that what stands far inside
+    a long unit is learnt from like any other, as harmless or as toxic.
     None if there is no toxic or no harmless text to learn from.
     """
     sample = stored(
@@ -341,7 +367,7 @@ def train_toxicity(
     told = stored(
         flat_map_texts(
             sample, ["label", "text_no"], F.col("text"), "unit binary",
-            lambda: lambda texts: [[(u,) for u in units(x)] for x in texts],
+            lambda: lambda texts: [[(u,) for u in seen_units(x)] for x in texts],
         ),
         "units",
     )
