@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weirflow.llm.pu_quality import _risk, estimate_prior, fit, keep_quality, score_quality, train_quality
-from weirflow.llm.sampling import held_out
+from weirflow.llm.sampling import held_out, unlabelled_texts
 from weirflow.llm.toxicity import Landmarks, UnitMachine, score_toxicity, train_toxicity, units
 
 SYLLABLES = "ba ke li mo nu ra se ti vo za pre sta gro".split()
@@ -81,6 +81,13 @@ def test_labels_of_zero_and_held_out_labels_change_nothing(spark, corpus):
     assert (train_quality(docs, other, learn).weights == plain.weights).all()
 
 
+def test_unlabelled_sample_is_drawn_from_what_has_no_label(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    marks = docs.where("doc_id % 50 > 0").select("doc_id")
+    got = [r.text for r in unlabelled_texts(docs, marks, F.lit(True), 100, "doc_id", "text").collect()]
+    assert sorted(map(int, got)) == list(range(0, 3000, 50))
+
+
 def test_prior_and_risk():
     rng = np.random.default_rng(0)
     p, n = rng.normal(2, 1, 4000), rng.normal(-3, 1, 4000)

@@ -44,9 +44,13 @@ def labelled_texts(
 def unlabelled_texts(
     docs: DataFrame, labels: DataFrame, learn: Column, most: int, id_column: str, text_column: str
 ) -> DataFrame:
-    """(text) of at most about ``most`` documents without a label, drawn likewise."""
+    """(text) of at most about ``most`` documents without a label, drawn likewise.
+
+    Labelled ones are taken away before the sample is drawn, so its size does not
+    depend on how many there are.
+    """
     marked = labels.select(F.col(id_column).alias("key"))
     ids = docs.select(F.col(id_column).alias("key")).where(F.col("key").isNotNull() & learn)
-    chosen = thinned(ids, "key", 2 * most).distinct().join(marked, "key", "left_anti").limit(most)
+    chosen = thinned(ids.join(marked, "key", "left_anti").distinct(), "key", most)
     texts = docs.select(F.col(id_column).alias("key"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     return texts.join(F.broadcast(chosen), "key").select("text")
