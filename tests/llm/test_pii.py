@@ -41,6 +41,26 @@ def test_names_follow_titles_and_come_back():
     assert told(text) == [("given_f", "Anna"), ("surname", "Petrova"), ("surname", "Müller"), ("surname", "Petrova"), ("surname", "Иванов")]
 
 
+def test_initials_are_part_of_the_name():
+    text = "Dr. J. Smith; Prof. J.R.R. Tolkien; Mr. John F. Kennedy. J. Smith, plan J, Dr. I. Newton: I am. Dr. Q"
+    assert told(text) == [
+        ("given_x", "J"), ("surname", "Smith"), ("given_x", "J"), ("given_x", "R"), ("given_x", "R"), ("surname", "Tolkien"),
+        ("given_m", "John"), ("given_x", "F"), ("surname", "Kennedy"), ("given_x", "J"), ("surname", "Smith"),
+        ("given_x", "I"), ("surname", "Newton"), ("surname", "Q"),
+    ]
+
+
+def test_names_whose_forms_are_all_taken_grow(spark, monkeypatch):
+    monkeypatch.setattr(pii_surrogates, "MOST_ATTEMPTS", 16)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    docs = [(i, f"Dr. {c.upper()}. Smith") for i, c in enumerate(letters)] + [(i, f"Mr. {c.upper()}") for i, c in enumerate(letters)]
+    got = replace_pii(spark.createDataFrame(docs, "doc_id long, text string"), KEY).collect()
+    assert sorted(r.n_replaced for r in got) == [1] * 26 + [2] * 26 and not any("Smith" in r.text for r in got)
+    for title in ("Dr.", "Mr."):
+        names = {r.text.replace(".", "").split()[1] for r in got if r.text.startswith(title)}
+        assert len(names) == 26 and not names & set(letters.upper()) and all(n == n.capitalize() for n in names)
+
+
 def test_surrogates_keep_kind_and_form():
     for kind, values in PRIVATE.items():
         for value in values:

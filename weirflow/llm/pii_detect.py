@@ -39,8 +39,10 @@ TITLES = {
     "Señor": "m", "Señora": "f", "Señorita": "f", "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f",
 }
 _TITLE = re.compile("|".join(sorted(TITLES, key=len, reverse=True)).encode())
-_NAMED = re.compile(rf"(?<!\w)({'|'.join(sorted(TITLES, key=len, reverse=True))})\b\.?[  ]((?:[^\W\d_][\w'’-]*[  ]?){{1,3}})")
+_NAMED = re.compile(rf"(?<!\w)({'|'.join(sorted(TITLES, key=len, reverse=True))})\b\.?[  ]((?:(?:[^\W\d_]\.[  -]?)*[^\W\d_][\w'’-]*[  ]?){{1,3}})")
 _WORD = re.compile(r"[^\W\d_][\w'’-]*")
+#: What stands between an initial and the name that goes on behind it.
+_AFTER_INITIAL = re.compile(r"\.[ \u00a0-]?")
 
 
 def _digits(data: bytes) -> str:
@@ -85,27 +87,39 @@ def _secrets(data: bytes) -> Iterator[Mention]:
 
 
 def _names(data: bytes) -> Iterator[Mention]:
-    """Words after a title, and the same words wherever else they stand in the text."""
+    """Words after a title, and the same words wherever else they stand in the text.
+
+    Initials are part of the name they lead up to, and mentions only there: a
+    single letter that stands elsewhere is no name.
+    """
     text = data.decode("utf-8", "replace")
     kinds: dict[str, str] = {}
     for found in _NAMED.finditer(text):
         words = []
-        for word in _WORD.findall(found[2]):
-            if not word[0].isupper():
+        for part in _WORD.finditer(found[2]):
+            if not part[0][0].isupper():
                 break
-            words.append(word)
-        for i, word in enumerate(words):
+            words.append((part[0], len(part[0]) == 1 and found[2][part.end() : part.end() + 1] == "."))
+        for i, (word, initial) in enumerate(words):
             last = i == len(words) - 1
-            kinds.setdefault(word, "surname" if last else f"given_{TITLES[found[1]]}")
+            if last or not initial:
+                kinds.setdefault(word, "surname" if last else f"given_{TITLES[found[1]]}")
     if not kinds:
         return
     place, at = 0, 0
+    initials: list[re.Match[str]] = []
     for found in _WORD.finditer(text):
-        if found[0] in kinds:
-            at += len(text[place : found.start()].encode("utf-8", "replace"))
-            size = len(found[0].encode())
-            yield Mention(at, at + size, kinds[found[0]], found[0].casefold())
-            at, place = at + size, found.end()
+        if initials and not _AFTER_INITIAL.fullmatch(text, initials[-1].end(), found.start()):
+            initials = []
+        if found[0] not in kinds:
+            initials = [*initials, found] if len(found[0]) == 1 and found[0].isupper() else []
+            continue
+        for part in [*initials, found]:
+            at += len(text[place : part.start()].encode("utf-8", "replace"))
+            size = len(part[0].encode())
+            yield Mention(at, at + size, kinds.get(part[0], "given_x"), part[0].casefold())
+            at, place = at + size, part.end()
+        initials = []
 
 
 def find_mentions(data: bytes | None) -> list[Mention]:

@@ -16,6 +16,8 @@ from .pii_detect import find_mentions
 
 #: Tries to give an entity a surrogate that nothing else has.
 MOST_ATTEMPTS = 64
+#: From this try on a surrogate grows, by one more character every so many tries: forms never run out.
+SAME_LENGTH = 4
 #: The set of texts with mentions: bits per text, and at most so many (16 MB).
 BITS_PER_TEXT, MOST_BITS = 32, 1 << 27
 _VOWELS, _CONSONANTS = "aeiou", "bcdfghjklmnpqrstvwxz"
@@ -120,38 +122,52 @@ def _ip(address: str, draw: Draw) -> str:
     return ".".join(parts[:keep] + new)
 
 
-def _name(word: str, kind: str, draw: Draw) -> str:
+def _longer(text: str, more: int, draw: Draw) -> str:
+    """As many more letters or digits, each like one of the text's where that leaves a choice."""
+    like = [c for c in text if c in "0123456789" or c.isalpha() and len(_alike(c)) > 1] or list("ab")
+    return _shaped("".join(like[i % len(like)] for i in range(more)), draw)
+
+
+def _name(word: str, kind: str, draw: Draw, more: int = 0) -> str:
     """A word of the same script and length; what tells the gender, the end, stays or is made fit."""
-    new = _shaped(word[:-1], draw) + word[-1]
+    if len(word) == 1:
+        return _shaped(word, draw) + _longer(word, more, draw)
+    new = _shaped(word[:-1], draw) + _longer(word, more, draw) + word[-1]
     if kind == "given_f" and word[-1] not in "aeiyа" and word.isascii():
         new = new[:-1] + "a"
     if kind == "given_m" and word[-1] in "a" and word.isascii():
         new = new[:-1] + draw.of("nrsl")
-    return new if len(word) > 1 else _shaped(word, draw)
+    return new
 
 
-def _secret(value: str, draw: Draw) -> str:
+def _secret(value: str, draw: Draw, more: int = 0) -> str:
     for alphabet in ("0123456789abcdef", "0123456789ABCDEF"):
         if set(value) <= set(alphabet):
-            return "".join(draw.of(alphabet) for _ in value)
-    return _shaped(value, draw)
+            return "".join(draw.of(alphabet) for _ in range(len(value) + more))
+    return _shaped(value, draw) + _longer(value, more, draw)
 
 
 def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
-    """The ``attempt``-th surrogate of an entity, in the entity's own canonical form."""
-    draw = Draw(key, kind, entity, attempt)
+    """The ``attempt``-th surrogate of an entity, in the entity's own canonical form.
+
+    Names, secrets and the local parts of emails grow after a few tries, so that
+    there is always a form that is nobody's.
+    """
+    draw, more = Draw(key, kind, entity, attempt), attempt // SAME_LENGTH
     if kind == "email":
         local, _, domain = entity.partition("@")
         name, _, top = domain.rpartition(".")
-        return f"{_shaped(local, draw)}@{_shaped(name, draw)}.{top}"
+        return f"{_shaped(local, draw)}{_longer(local, more, draw)}@{_shaped(name, draw)}.{top}"
     if kind == "cloud_key":
         return entity[:4] + "".join(draw.of("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in entity[4:])
     if kind == "iban":
         return entity[:2] + _shaped(entity[2:], draw)
     if kind == "ssn":
         return _digits_like(entity, draw)
-    by_kind = {"phone": _phone, "card": _card, "ip": _ip, "secret": _secret}
-    return by_kind[kind](entity, draw) if kind in by_kind else _name(entity, kind, draw)
+    if kind == "secret":
+        return _secret(entity, draw, more)
+    by_kind = {"phone": _phone, "card": _card, "ip": _ip}
+    return by_kind[kind](entity, draw) if kind in by_kind else _name(entity, kind, draw, more)
 
 
 def written_like(mention: str, kind: str, new: str) -> str:
@@ -163,7 +179,7 @@ def written_like(mention: str, kind: str, new: str) -> str:
         letters = iter(new)
         return "".join(c if c == " " else next(letters, "") for c in mention)
     if kind == "email" or kind == "surname" or kind.startswith("given_"):
-        if mention.isupper():
+        if mention.isupper() and (len(mention) > 1 or kind == "email"):
             return new.upper()
         return "".join(n.upper() if i < len(mention) and mention[i].isupper() else n for i, n in enumerate(new))
     return new
@@ -213,7 +229,7 @@ def replace_pii(docs: DataFrame, key: bytes, text_column: str = "text") -> DataF
     a title are replaced by surrogates that depend on ``key`` and the entity
     alone: one entity has one surrogate in all texts and ways of writing, and
     over the whole table two entities never share one. A surrogate keeps kind,
-    length, script, signs and capitals, a card number whether it passes its
+    length (names, secrets and emails grow where their forms run out), script, signs and capitals, a card number whether it passes its
     check digit, an address its private range, a name the ending that shows the
     gender.
 
