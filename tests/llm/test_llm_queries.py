@@ -18,5 +18,5 @@ def test_query_gives_the_rows_of_its_sql(spark, sf_dir, name):
 def test_all_operators_are_registered():
     names = driver.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1

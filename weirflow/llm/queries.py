@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .decontaminate import contamination
 from .exact_dedup import exact_groups
+from .laesa import cluster_vectors
 from .license_scan import scan_licenses
 from .near_dedup import near_duplicates
 from .packing import pack
@@ -19,6 +20,8 @@ from .reply_trees import format_reply_trees, linear_messages, masked_text, read_
 from .sampling import held_out
 from .toxicity import score_toxicity, train_toxicity
 from .url_reputation import Rule, judge_urls, page_outcome
+from .whitening import whitened_components
+from .winnowing import edited_fingerprints
 
 LLM_QUERIES = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -217,6 +220,54 @@ def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replaced.select("doc_id", "text", "n_replaced", "kinds")
 
 
+@query()
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_components(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+def _clusters_sql(clusters: int = 40, rounds: int = 5) -> str:
+    """The rounds of op13 one after the other, every vector measured against every centroid."""
+    squares = "list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    steps = [
+        """vectors AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64)""",
+        f"""centroids0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY hash, x) - 1 AS k, x AS c
+    FROM (SELECT sha256('2:' || vec_id) AS hash, x FROM vectors ORDER BY hash, x LIMIT {clusters}))""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""nearest{i} AS MATERIALIZED (
+    SELECT row, min(struct_pack(d := {squares}, k := k)) AS best FROM vectors, centroids{i} GROUP BY row)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""centroids{i + 1} AS MATERIALIZED (
+    SELECT k, coalesce(mean, c) AS c FROM centroids{i} LEFT JOIN (
+        SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS mean FROM (
+            SELECT best.k AS k, i, sum(x[i])::HUGEINT AS s, count(*)::HUGEINT AS n
+            FROM nearest{i} JOIN vectors USING (row), range(1, 65) AS t(i) GROUP BY 1, 2) GROUP BY k) USING (k))"""
+            )
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, best.k::INTEGER AS cluster, best.d AS distance,
+       (sum(best.d) OVER (PARTITION BY best.k))::BIGINT AS cluster_inertia,
+       (sum(best.d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM nearest{rounds} JOIN vectors USING (row) JOIN centroids{rounds} ON k = best.k"""
+
+
+@query(_clusters_sql())
+def op13_laesa_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
