@@ -7,10 +7,14 @@ from .controls import (
 )
 from .eventlog import (
     append_new_events,
+    detail,
+    exploded_detail,
     json_dataset,
     parse_details,
     rule_metric_rows,
     rule_metrics_to_events,
+    variant_details,
+    variant_rule_metrics,
 )
 from .expectations import (
     alerts,
@@ -39,9 +43,11 @@ __all__ = [
     "alerts",
     "append_new_events",
     "control_of_counts",
+    "detail",
     "expect_drop",
     "expect_fail",
     "expect_keep",
+    "exploded_detail",
     "failed_rules",
     "file_counts",
     "file_reconciliation",
@@ -60,6 +66,8 @@ __all__ = [
     "rules_hold",
     "strip_provenance",
     "union_all",
+    "variant_details",
+    "variant_rule_metrics",
     "where_sql",
     "with_entity",
     "with_ingestion",

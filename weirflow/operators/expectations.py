@@ -109,14 +109,20 @@ def rule_metrics(df: DataFrame, rules: Rules, dataset: str) -> DataFrame:
 
 
 def rule_metrics_by(
-    df: DataFrame, rules: Rules, dataset: str, keys: Sequence[str]
+    df: DataFrame, rules: Rules, dataset: str, keys: Sequence[str], drops: bool = False
 ) -> DataFrame:
     """`rule_metrics` per group of ``keys``.
 
+    With ``drops`` each row also says how many rows of its group break some rule,
+    as ``dropped_records``: those that the drop policy takes out.
+
     All rules are counted in one aggregate over the input, summed map-side; the
     wide result is turned into a row per rule only afterwards.
     """
     counts = [F.count_if(F.expr(p)).alias(f"_p{i}") for i, p in enumerate(rules.values())]
+    if drops:
+        counts.append(F.count_if(~_all_hold(rules)).alias("dropped_records"))
+    also = ["dropped_records"] if drops else []
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *counts)
     per_rule = F.array(
         *[
@@ -129,7 +135,7 @@ def rule_metrics_by(
             for i, name in enumerate(rules)
         ]
     )
-    return counted.select(*keys, F.inline(per_rule.cast(f"array<struct<{METRICS_SCHEMA}>>")))
+    return counted.select(*keys, *also, F.inline(per_rule.cast(f"array<struct<{METRICS_SCHEMA}>>")))
 
 
 def alerts(metrics: DataFrame, tolerated: int = 0) -> DataFrame:

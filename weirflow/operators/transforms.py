@@ -36,7 +36,7 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def extended(schema: T.StructType, **fields: str) -> T.StructType:
+def extended(schema: T.StructType, **fields: str | T.DataType) -> T.StructType:
     """A copy of the schema with more fields; `StructType.add` would change the original."""
     longer = T.StructType(list(schema.fields))
     for name, kind in fields.items():

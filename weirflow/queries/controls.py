@@ -101,17 +101,11 @@ LOADED_VS_REJECTED_SQL = f"""WITH {BRONZE_SQL},
       AS "rows_KO"
   FROM sides WHERE ok"""
 
-RECONCILIATION_SQL = f"""WITH {SIDES_SQL}
-    SELECT coalesce(a.file_name, b.file_name) AS file_name,
-      coalesce(a.ingest_date, b.ingest_date) AS ingest_date,
-      coalesce(a.ingest_time, b.ingest_time) AS ingest_time,
-      coalesce(a."rows_OK", 0) AS "rows_OK", coalesce(b."rows_KO", 0) AS "rows_KO"
-    FROM (SELECT count(*) AS "rows_OK", file_name, ingest_date, ingest_time
-          FROM silver GROUP BY file_name, ingest_date, ingest_time) AS a
-    FULL OUTER JOIN (SELECT count(*) AS "rows_KO", file_name, ingest_date, ingest_time
-          FROM quarantine GROUP BY file_name, ingest_date, ingest_time) AS b
-    ON a.file_name = b.file_name AND a.ingest_date = b.ingest_date
-      AND a.ingest_time = b.ingest_time"""
+RECONCILIATION_SQL = f"""WITH {BRONZE_SQL},
+  judged AS (SELECT *, coalesce({INVOICE_RULES_SQL}, false) AS ok FROM bronze)
+  SELECT file_name, ingest_date, ingest_time,
+    count(*) FILTER (ok) AS "rows_OK", count(*) FILTER (NOT ok) AS "rows_KO"
+  FROM judged GROUP BY ALL"""
 
 
 @query(LOADED_VS_REJECTED_SQL, name="loaded_vs_rejected")
@@ -146,7 +140,6 @@ def single_pass_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(LOADED_VS_REJECTED_SQL)
 def single_pass_control_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from one reading of the rows: the counts are stored, then joined."""
-    path = scratch_dir(spark, "counts")
-    write_complete(counted_in_one_pass(spark, sf_dir), path)
-    counts = control_of_counts(spark.read.parquet(path), "file_name", INGESTION)
+    stored = write_complete(counted_in_one_pass(spark, sf_dir), scratch_dir(spark, "counts"))
+    counts = control_of_counts(stored, "file_name", INGESTION)
     return counts.select("file_name", *text_of(*INGESTION), "rows_OK", "rows_KO")

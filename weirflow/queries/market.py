@@ -64,8 +64,8 @@ def organic_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "market")
     publish_rules(spark, MARKET_RULES, f"{path}/rules")
     raw = expect_drop(markets(spark, sf_dir), rules_from_csv(spark, f"{path}/rules", "validity"))
-    write_complete(raw, f"{path}/raw_markets")
-    organic = where_sql(spark.read.parquet(f"{path}/raw_markets"), "Organic = 'Y'")
+    raw = write_complete(raw, f"{path}/raw_markets")
+    organic = where_sql(raw, "Organic = 'Y'")
     return expect_drop(
         organic.select(*ORGANIC_COLUMNS), rules_from_csv(spark, f"{path}/rules", "maintained")
     )

@@ -7,6 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import (
     expect_drop,
@@ -18,12 +19,14 @@ from ..operators import (
     union_all,
     with_entity,
 )
+from ..operators.eventlog import DETAILS_SCHEMA
 from ..operators.expectations import METRICS_SCHEMA
 from ..plans import Contract
 from ..scratch import scratch_dir
-from ..sources import publish_stream_table
+from ..sources import CompleteTable, publish_stream_table
 from ..streaming import (
     CheckedStream,
+    CountTable,
     EntityFlow,
     FlowResult,
     LandingSource,
@@ -327,3 +330,193 @@ def stream_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             ]
         )
     )
+
+
+@query(f"""WITH {LANDED_SQL} SELECT entity AS "Entity", count(*) AS silver, count(*) AS controlled
+    FROM landed WHERE existing_invoice AND valid_invoice AND entity IN ('ES', 'PT', 'UK') GROUP BY 1""")
+def stream_union_grows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources, then three in another order: each row is in the table once.
+
+    Of PT half the rows land before the first run, the others before the second.
+    """
+    root = scratch_dir(spark, "union-grows")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey % 8 AS place", *INVOICE_LINES)
+    tables = StreamTables(spark, root)
+
+    def land(*places: int) -> None:
+        # Two of eight places go to one folder, one after the other.
+        landed = orders.where(F.col("place").isin(*places)).withColumn("place", F.col("place") % 4)
+        landed.write.mode("append").partitionBy("place").option("header", True).csv(f"{root}/landing")
+
+    def run(*entities: str) -> FlowResult:
+        sources = [
+            LandingSource(
+                f"bronze_{e.lower()}_invoice", f"{root}/landing/place={ENTITY_OF_ORDER[e]}", e, INVOICE_FILE, rules=FILE_RULES
+            )
+            for e in entities
+        ]
+        return run_union_flow(tables, sources, "silver_invoice", FILE_RULES, "invoice_ctl")
+
+    land(0, 4, 1)
+    run("ES", "PT")
+    land(5, 3, 7)
+    done = run("PT", "ES", "UK")
+    silver = done.tables["silver_invoice"].groupBy("Entity").agg(F.count(F.lit(1)).alias("silver"))
+    controlled = done.tables["invoice_ctl"].groupBy("Entity").agg(F.sum("records").alias("controlled"))
+    return silver.join(controlled, "Entity")
+
+
+@query("""WITH seen(moment, of_all) AS (VALUES ('first', false), ('after a write that failed', false),
+      ('written, not switched', false), ('switched', true))
+    SELECT moment, count(*) AS records, sum(o_orderkey)::BIGINT AS keys
+    FROM seen, orders WHERE of_all OR o_orderstatus = 'O' GROUP BY moment""")
+def complete_table_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers of a complete table see before, while and after it is replaced."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    complete = CompleteTable(spark, scratch_dir(spark, "switch"))
+    seen = []
+
+    def look(moment: str) -> None:
+        found = complete.read().agg(F.count(F.lit(1)), F.sum("o_orderkey")).first()
+        seen.append((moment, *found))
+
+    complete.replace(orders.where("o_orderstatus = 'O'"))
+    look("first")
+    stops = F.when(F.col("o_orderstatus") == "F", F.raise_error(F.lit("lost half way")).cast("string"))
+    try:
+        complete.replace(orders.withColumn("o_orderstatus", stops.otherwise(F.col("o_orderstatus"))))
+    except Exception as error:
+        if "lost half way" not in str(error):
+            raise
+        look("after a write that failed")
+    version = complete.stage(orders)
+    look("written, not switched")
+    complete.switch(version)
+    look("switched")
+    return spark.createDataFrame(seen, "moment string, records long, keys long")
+
+
+# Rows of the landing files that can be read at all, and whether they meet the contract.
+EVENT_SIDES_SQL = """readable AS (
+    SELECT event_id, event_type, event_type != 'error' AND length(event_type) > 4 AS ok
+    FROM events WHERE event_id % 11 != 0)"""
+
+
+@query(f"""WITH {EVENT_SIDES_SQL}, looked_at AS (
+      SELECT *, unnest(['ctl', 'reconciliation', 'compacted', 'counted by the second run']) AS layer FROM readable)
+    SELECT layer, count(*) FILTER (ok) AS loaded, count(*) FILTER (NOT ok) AS rejected FROM looked_at
+    WHERE layer != 'counted by the second run' OR event_id % 3 = 0 GROUP BY layer""")
+def stream_control_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control tables after two runs, of which the second counts only what is new."""
+    root = scratch_dir(spark, "control-deltas")
+    events = table(spark, sf_dir, "events")
+    config = {"landing_zone": f"{root}/landing", "invalid_format_path": f"{root}/invalid"}
+    tables, flow = StreamTables(spark, root), entity_flow_from_config(EVENT_CONTRACT, config)
+    for third in ("event_id % 3 != 0", "event_id % 3 = 0"):
+        events.where(third).selectExpr(f"{EVENT_LINE} AS value").write.mode("append").text(f"{root}/landing")
+        done = run_entity_flow(tables, flow)
+    sides = [F.sum("rows_OK").alias("loaded"), F.sum("rows_KO").alias("rejected")]
+    told = [(name, *done.tables[name].agg(*sides).first()) for name in ("ctl", "reconciliation")]
+    # What the second run added to the counts, if that is also all its query says it read.
+    kept, rejected = F.sum("kept"), F.sum("records") - F.sum("kept")
+    newest = tables.read(done.counts.name).groupBy("batch").agg(kept, rejected).orderBy(F.desc("batch")).first()
+    if done.streams[f"{done.counts.name}@{flow.table('checked')}"].input_rows == newest[1] + newest[2]:
+        told.append(("counted by the second run", *newest[1:]))
+    done.counts.compact()
+    told.append(("compacted", *done.counts.sums().agg(kept, rejected).first()))
+    return spark.createDataFrame(told, "layer string, loaded long, rejected long")
+
+
+@query(f"""WITH {EVENT_SIDES_SQL}, verdicts AS (
+      SELECT unnest([{", ".join("'" + rule.replace("'", "''") + "'" for rule in EVENT_CONTRACT.constraints)}]) AS name,
+        unnest([event_id IS NOT NULL, event_type != 'error', length(event_type) > 4]) AS held
+      FROM readable)
+    SELECT name, count(*) FILTER (held) AS passed_records, count(*) FILTER (NOT held) AS failed_records,
+      (SELECT count(*) FROM readable WHERE NOT ok) AS dropped_records, CAST(2 AS BIGINT) AS batches
+    FROM verdicts GROUP BY name""")
+def stream_durable_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a run whose driver ends before it logs them reach the event log with the next run.
+
+    Rules are judged by two streams, silver and quarantine, each with an event per batch.
+    """
+    root = scratch_dir(spark, "durable-events")
+    events = table(spark, sf_dir, "events")
+    config = {"landing_zone": f"{root}/landing", "invalid_format_path": f"{root}/invalid"}
+    flow = entity_flow_from_config(EVENT_CONTRACT, config, single_pass=False)
+    for half in (0, 1):
+        lines = events.where(F.col("event_id") % 2 == half).selectExpr(f"{EVENT_LINE} AS value")
+        lines.write.mode("append").text(f"{root}/landing")
+        # Each run has objects of its own, as after a restart; the first one logs nothing.
+        tables = StreamTables(spark, root)
+        done = run_entity_flow(tables, flow)
+    log_events(tables, done)
+    # Once more, by whoever has the counts: nothing is added.
+    logged = rule_metric_rows(parse_details(log_events(tables, CountTable(tables, done.counts.name)), schema=DETAILS_SCHEMA))
+    summed = [F.sum(c).alias(c) for c in ("passed_records", "failed_records", "dropped_records")]
+    sides = F.count_distinct(F.split_part("event_id", F.lit(":"), F.lit(2)))
+    return logged.groupBy("name").agg(*summed, (F.count_distinct("event_id") / sides).cast("long").alias("batches"))
+
+
+@query("""WITH seen(moment, halves) AS (VALUES ('first', 1), ('after a batch that failed', 1), ('mended', 2))
+    SELECT moment, count(*) AS records, CAST(0 AS BIGINT) AS broken
+    FROM seen, orders WHERE o_orderkey % 2 < halves GROUP BY moment""")
+def stream_fail_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch with a row that breaks a rule leaves none; mended, it is taken in whole."""
+    root = scratch_dir(spark, "fail-policy")
+    tables = StreamTables(spark, root)
+    landing = f"{root}/landing"
+    orders = table(spark, sf_dir, "orders").selectExpr(*INVOICE_LINES, "o_orderkey % 2 AS half")
+    rules = {"priced": "UnitPrice > 0", "described": "Description IS NOT NULL"}
+    source = LandingSource("invoice", landing, "ES", INVOICE_FILE, rules=rules, policy="fail")
+    seen = []
+
+    def land(half: int, price: str, mode: str) -> None:
+        rows = orders.where(F.col("half") == half).withColumn("UnitPrice", F.expr(price)).drop("half")
+        rows.write.mode(mode).option("header", True).csv(landing)
+
+    def run(moment: str) -> None:
+        try:
+            settle(tables.append(source.checked(source.open(spark)), source.table))
+        except Exception as error:
+            if "row breaks: priced" not in str(error):
+                raise
+            moment = "after a batch that failed"
+        rows = tables.read(source.table)
+        seen.append((moment, *rows.agg(F.count(F.lit(1)), F.count_if(~F.expr("UnitPrice > 0"))).first()))
+
+    land(0, "UnitPrice", "append")
+    run("first")
+    land(1, "CASE WHEN Description = '5-LOW' THEN '-1' ELSE UnitPrice END", "append")
+    run("taken in with broken rows")
+    land(1, "UnitPrice", "overwrite")
+    run("mended")
+    return spark.createDataFrame(seen, "moment string, records long, broken long")
+
+
+@query("""SELECT unnest(['read', 'streamed']) AS side, o_orderkey AS id, o_totalprice AS price,
+      CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS priority FROM orders""")
+def stream_schema_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two schemas in one stream table: the second brings a column and a wider type.
+
+    The table is read, and copied by a stream that had already read it by its old
+    columns; both show old rows with NULL in the new one.
+    """
+    root = scratch_dir(spark, "schema-growth")
+    tables = StreamTables(spark, root)
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id", "o_totalprice AS price", "o_orderpriority AS priority"
+    )
+    for rows, schema in (
+        (orders.where("id % 2 = 0").drop("priority"), T.StructType().add("id", "integer").add("price", "double")),
+        (orders.where("id % 2 = 1"), T.StructType().add("priority", "string").add("price", "double").add("id", "long")),
+    ):
+        rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.mode("append").text(f"{root}/landing")
+        source = LandingSource("grown", f"{root}/landing", "ES", schema, "json")
+        settle(tables.append(source.open(spark), source.table))
+        settle(tables.append(tables.stream("grown"), "copy"))
+    return union_all(
+        [
+            tables.read(name).select(F.lit(side).alias("side"), "id", "price", "priority")
+            for name, side in (("grown", "read"), ("copy", "streamed"))
+        ]
+    )

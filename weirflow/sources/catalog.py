@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .complete import CompleteTable
+
 
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -50,13 +52,22 @@ def save_table(
     comment: str = "",
     properties: Mapping[str, str] | None = None,
 ) -> None:
-    """Replace a catalog table by ``df`` and set its comment and properties."""
+    """Replace a complete table of the catalog by ``df``, with its comment and properties.
+
+    The rows go to a new version in the folder of the database (`CompleteTable`);
+    then one statement points the name at it. So the name can be read at any time
+    and shows all old rows or all new ones, under the columns and the comment that
+    belong to them, also after a write that failed half way. The name is a view:
+    such a table is only ever replaced, never written into.
+    """
     spark = df.sparkSession
-    df.write.mode("overwrite").saveAsTable(table, format="parquet")
-    if comment:
-        spark.sql(f"COMMENT ON TABLE {table} IS {_text(comment)}")
-    if properties:
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_properties(properties)})")
+    database, _, name = table.rpartition(".")
+    where = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    rows = CompleteTable(spark, f"{where.rstrip('/')}/{name.strip('`')}.complete")
+    version = rows.stage(df)
+    # The pointer first: what the name shows is then never the folder to be written next.
+    rows.switch(version)
+    publish_stream_table(spark, table, rows.folder(version), comment, properties)
 
 
 def create_control_table(spark: SparkSession, table: str) -> None:

@@ -91,28 +91,33 @@ def _csv(reader, path: str, declared: T.StructType, schema: T.StructType) -> Dat
 
 def _json(reader, path: str, schema: T.StructType, options: Mapping[str, str]) -> DataFrame:
     # Lines are read as text, since the JSON reader forgets keys it does not
-    # know. Only lines with such keys are parsed a second time.
+    # know. Each is parsed once more, to a variant, whose keys at all depths are
+    # held against the schema's; only what has others is looked at again.
     if str(options.get("multiLine", "false")).lower() == "true":
         raise ValueError("JSON landing files hold one object per line")
     lines = reader.text(path).select("value", _file_name()).filter(F.trim("value") != "")
-    known = F.array(*[F.lit(name) for name in schema.fieldNames()])
-    has_more = F.coalesce(_loses(F.col("value"), schema), F.lit(False))
     nested = [f for f in schema.fields if _has_struct(f.dataType)]
+    known = F.array(*[F.lit(name) for name in schema.fieldNames()]).cast("array<string>")
 
     def lost(key: Column, text: Column) -> Column:
-        deeper = [(key == f.name) & F.coalesce(_loses(text, f.dataType), F.lit(False)) for f in nested]
+        deeper = [(key == f.name) & _loses(F.try_parse_json(text), f.dataType) for f in nested]
         return reduce(Column.__or__, deeper, ~F.array_contains(known, key))
 
     more = F.to_json(F.map_filter(F.from_json("value", "map<string,string>"), lost))
     parsed = lines.select(
         "value",
         FILE_COLUMN,
+        F.try_parse_json("value").alias("variant"),
         F.from_json(
             "value",
             extended(schema, **{RESCUE_COLUMN: "string"}),
             {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUE_COLUMN},
         ).alias("parsed"),
     )
+    # What is no variant may still be an object to the JSON reader, such as one with
+    # a key that stands twice: its own keys are read from the text then.
+    own = F.size(F.array_except(F.json_object_keys("value"), known)) > 0
+    has_more = F.when(F.col("variant").isNull(), F.coalesce(own, F.lit(False))).otherwise(_loses(F.col("variant"), schema))
     rescued = F.coalesce(F.col(f"parsed.{RESCUE_COLUMN}"), F.when(has_more, more))
     fields = [F.col(f"parsed.{quoted(name)}").alias(name) for name in schema.fieldNames()]
     return parsed.select(*fields, rescued.alias(RESCUE_COLUMN), FILE_COLUMN)
@@ -126,21 +131,33 @@ def _has_struct(kind: T.DataType) -> bool:
     return isinstance(kind, T.StructType)
 
 
-def _loses(text: Column, kind: T.DataType) -> Column:
-    """Whether JSON text of this type holds a key that the type lacks, at any depth."""
+def _loses(value: Column, kind: T.DataType) -> Column:
+    """Whether a variant meant for this type holds a key that the type lacks, at any depth; never NULL.
+
+    A variant of another shape than the type (a number for an object) loses
+    nothing here: the JSON reader rescues the whole record.
+    """
     if isinstance(kind, T.StructType):
         known = F.array(*[F.lit(name) for name in kind.fieldNames()]).cast("array<string>")
-        own = F.size(F.array_except(F.json_object_keys(text), known)) > 0
+        children = F.try_variant_get(value, "$", "map<string,variant>")
+        own = F.coalesce(F.size(F.array_except(F.map_keys(children), known)) > 0, F.lit(False))
         deeper = [
-            F.coalesce(_loses(F.get_json_object(text, f"$['{f.name}']"), f.dataType), F.lit(False))
-            for f in kind.fields
-            if _has_struct(f.dataType)
+            _loses(F.try_variant_get(value, _path(f.name), "variant"), f.dataType) for f in kind.fields if _has_struct(f.dataType)
         ]
-        return reduce(Column.__or__, deeper, F.coalesce(own, F.lit(False)))
+        return reduce(Column.__or__, deeper, own)
     if isinstance(kind, T.ArrayType):
-        return F.exists(F.from_json(text, "array<string>"), lambda x: _loses(x, kind.elementType))
-    values = F.map_values(F.from_json(text, "map<string,string>"))
-    return F.exists(values, lambda x: _loses(x, kind.valueType))
+        items = F.try_variant_get(value, "$", "array<variant>")
+        return F.coalesce(F.exists(items, lambda x: _loses(x, kind.elementType)), F.lit(False))
+    values = F.map_values(F.try_variant_get(value, "$", "map<string,variant>"))
+    return F.coalesce(F.exists(values, lambda x: _loses(x, kind.valueType)), F.lit(False))
+
+
+def _path(name: str) -> str:
+    """The place of a key below a variant; quotes in a name would need the other kind of quotes."""
+    quote = '"' if "'" in name else "'"
+    if quote in name:
+        raise ValueError(f"a field of nested JSON cannot have both kinds of quotes in its name: {name}")
+    return f"$[{quote}{name}{quote}]"
 
 
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.eventlog import append_new_events
 from ..operators.transforms import quoted
+from .complete import CompleteTable
 from .files import read_merged
 
 
@@ -36,12 +39,21 @@ def append_json(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def write_complete(df: DataFrame, path: str) -> None:
-    """Replace the whole table at ``path`` by ``df``."""
-    df.write.mode("overwrite").parquet(path)
+def write_complete(df: DataFrame, path: str) -> DataFrame:
+    """Replace the whole table at ``path`` by ``df``; gives its rows as they are now.
+
+    Readers use `read_complete`; they see all old rows or all new ones, also when
+    a write fails half way (see `CompleteTable`).
+    """
+    return CompleteTable(df.sparkSession, path).replace(df)
+
+
+def read_complete(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the table that `write_complete` last replaced as a whole."""
+    return CompleteTable(spark, path).read()
 
 
-def append_merge(df: DataFrame, path: str) -> None:
+def append_merge(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append rows that may bring new columns; `read_merged` shows them all.
 
     A column the table has keeps the table's type: narrower numbers and, where
@@ -52,27 +64,35 @@ def append_merge(df: DataFrame, path: str) -> None:
     if there is not None:
         df = df.select(
             *[
-                _aligned(F.col(quoted(f.name)), f.dataType, there[f.name].dataType, f.name).alias(f.name)
+                aligned(F.col(quoted(f.name)), f.dataType, there[f.name].dataType, f.name).alias(f.name)
                 if f.name in there.fieldNames()
                 else F.col(quoted(f.name))
                 for f in df.schema.fields
             ]
         )
-    df.write.mode("append").parquet(path)
+    df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def append_once(df: DataFrame, path: str, key: str = "event_id") -> None:
+def append_once(df: DataFrame, path: str, key: str = "event_id", within: str | None = None) -> None:
     """Append the rows whose key the table lacks; doing it again adds nothing.
 
     A NULL key stops the job, and of rows with one key one is taken. Two writers
     at the same time are not kept apart: let one job fill a table.
+
+    ``within`` names a column that a key has one value of, such as its day. The
+    table is then partitioned by it, and of the table only the partitions are
+    read that the new rows belong to, however long it has grown.
     """
     name = F.col(quoted(key))
     checked = F.when(name.isNull(), F.raise_error(F.lit(f"{key} is NULL")).cast(df.schema[key].dataType))
     df = df.withColumn(key, checked.otherwise(name)).dropDuplicates([key])
     if _schema_of(df, path) is not None:
-        df = append_new_events(df, read_merged(df.sparkSession, path), key)
-    append_merge(df, path)
+        there = read_merged(df.sparkSession, path)
+        if within is not None:
+            met = [r[0] for r in df.select(quoted(within)).distinct().collect()]
+            there = there.where(F.col(quoted(within)).isin(met))
+        df = append_new_events(df, there, key)
+    append_merge(df, path, () if within is None else (within,))
 
 
 def _schema_of(df: DataFrame, path: str) -> T.StructType | None:
@@ -89,22 +109,27 @@ def _schema_of(df: DataFrame, path: str) -> T.StructType | None:
 _WIDENING = ("byte", "short", "integer", "long")
 
 
-def _aligned(value: Column, have: T.DataType, want: T.DataType, name: str) -> Column:
+def fits(have: T.DataType, want: T.DataType) -> bool:
+    """Whether every number of the type ``have`` is one of the type ``want``."""
+    names = have.typeName(), want.typeName()
+    wider = all(n in _WIDENING for n in names) and _WIDENING.index(names[0]) <= _WIDENING.index(names[1])
+    return wider or names == ("float", "double")
+
+
+def aligned(value: Column, have: T.DataType, want: T.DataType, name: str) -> Column:
     """``value`` of type ``have`` as a value of the type ``want``, if nothing can be lost."""
     if have == want:
         return value
     if isinstance(have, T.StructType) and isinstance(want, T.StructType):
         known = {f.name: f.dataType for f in want.fields}
         fields = [
-            _aligned(value[f.name], f.dataType, known.get(f.name, f.dataType), f"{name}.{f.name}").alias(f.name)
+            aligned(value[f.name], f.dataType, known.get(f.name, f.dataType), f"{name}.{f.name}").alias(f.name)
             for f in have.fields
         ]
         return F.when(value.isNotNull(), F.struct(*fields))
     if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
-        return F.transform(value, lambda x: _aligned(x, have.elementType, want.elementType, name))
-    names = have.typeName(), want.typeName()
-    wider = all(n in _WIDENING for n in names) and _WIDENING.index(names[0]) < _WIDENING.index(names[1])
-    if isinstance(have, T.NullType) or wider or names == ("float", "double"):
+        return F.transform(value, lambda x: aligned(x, have.elementType, want.elementType, name))
+    if isinstance(have, T.NullType) or fits(have, want):
         return value.cast(want)
     if isinstance(want, T.StringType):
         complex_type = isinstance(have, (T.StructType, T.ArrayType, T.MapType))

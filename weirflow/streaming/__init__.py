@@ -1,3 +1,4 @@
+from .counts import CountTable, Judged, count_deltas
 from .flows import (
     EntityFlow,
     FlowResult,
@@ -13,11 +14,14 @@ from .tables import CheckedStream, StreamResult, StreamTables, settle
 
 __all__ = [
     "CheckedStream",
+    "CountTable",
     "EntityFlow",
     "FlowResult",
+    "Judged",
     "LandingSource",
     "StreamResult",
     "StreamTables",
+    "count_deltas",
     "entity_flow_from_config",
     "log_events",
     "run_entity_flow",

@@ -8,28 +8,59 @@ has ended.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.controls import control_of_counts, file_counts, file_reconciliation
-from ..operators.expectations import FAILED_COLUMN, METRICS_SCHEMA, expect_drop, expect_keep, label
+from ..operators.controls import control_of_counts
+from ..operators.expectations import (
+    FAILED_COLUMN,
+    METRICS_SCHEMA,
+    expect_drop,
+    expect_fail,
+    expect_keep,
+    label,
+    passes,
+)
 from ..operators.expectations import quarantine as quarantined_rows
-from ..operators.transforms import RESCUE_COLUMN, extended, malformed, union_all, with_provenance
+from ..operators.transforms import (
+    DATE_COLUMN,
+    ENTITY_COLUMN,
+    FILE_COLUMN,
+    RESCUE_COLUMN,
+    TIME_COLUMN,
+    extended,
+    malformed,
+    with_provenance,
+)
 from ..plans.contracts import Contract
 from ..plans.rules import Rules
 from ..sources.files import read_landing
 from ..sources.writers import append_once
+from .counts import SCHEMA as COUNTS_SCHEMA
+from .counts import CountTable, Judged
 from .tables import EVENT_SCHEMA, CheckedStream, StreamResult, StreamTables, settle
 
 PASSED_COLUMN = "_passed"
 
+KEEP, FAIL = "keep", "fail"
+
+#: Deltas of a counting query are summed up after so many of its batches.
+COMPACT_EVERY = 64
+
 
 @dataclass(frozen=True)
 class LandingSource:
-    """One landing folder, what its rows look like, and the table it fills."""
+    """One landing folder, what its rows look like, and the table it fills.
+
+    ``policy`` says what becomes of rows that break one of ``rules``. ``keep`` takes
+    them in and counts them; ``fail`` stops the batch, all or nothing: no row of it
+    reaches the table, and it is taken again by the next run. Mend the landing
+    folder in between: a file that is gone then is passed over, and what was put in
+    its place is taken in. (Rows are dropped on the way from this table to the next.)
+    """
 
     table: str
     landing: str
@@ -41,6 +72,11 @@ class LandingSource:
     rules: Rules = field(default_factory=dict)
     header: bool = True
     options: Mapping[str, str] = field(default_factory=dict)
+    policy: str = KEEP
+
+    def __post_init__(self) -> None:
+        if self.policy not in (KEEP, FAIL):
+            raise ValueError(f"source {self.table!r}: policy {self.policy!r} is neither {KEEP} nor {FAIL}")
 
     def open(self, spark: SparkSession, at: Column | None = None) -> DataFrame:
         rows = read_landing(
@@ -51,10 +87,14 @@ class LandingSource:
             header=self.header,
             max_files=self.max_files,
             max_bytes=self.max_bytes,
-            options=self.options,
+            options=({"ignoreMissingFiles": "true"} if self.policy == FAIL else {}) | dict(self.options),
         )
         return with_provenance(rows, self.entity, at)
 
+    def checked(self, rows: DataFrame) -> DataFrame:
+        """The rows as the policy lets them into the table, counted under its name."""
+        return expect_keep(expect_fail(rows, self.rules) if self.policy == FAIL else rows, self.rules, self.table)
+
 
 @dataclass(frozen=True)
 class EntityFlow:
@@ -85,10 +125,17 @@ class FlowResult:
     streams: dict[str, StreamResult]
     checks: list[CheckedStream]
 
+    counts: CountTable
+
     def metrics(self, spark: SparkSession) -> DataFrame:
         """Passed and failed rows of this run: one row per table and rule."""
-        rows = [row for check in self.checks for row in check.metric_rows()]
-        return spark.createDataFrame(rows, METRICS_SCHEMA)
+        sums: dict[tuple[str, str], list[int]] = {}
+        for check in self.checks:
+            for name, dataset, passed, failed in check.metric_rows():
+                found = sums.setdefault((name, dataset), [0, 0])
+                found[0] += passed
+                found[1] += failed
+        return spark.createDataFrame([(*key, *found) for key, found in sums.items()], METRICS_SCHEMA)
 
     def events(self, spark: SparkSession) -> DataFrame:
         """The same per batch, as events for the event log."""
@@ -96,11 +143,22 @@ class FlowResult:
         return spark.createDataFrame(rows, EVENT_SCHEMA)
 
 
-def log_events(tables: StreamTables, result: FlowResult, name: str = "event_log") -> DataFrame:
-    """Append the events of a run to the event log, those already there left out."""
-    schema = T.StructType.fromDDL(EVENT_SCHEMA)
-    append_once(result.events(tables.spark), tables.path(name))
-    return tables.read(name, schema)
+def log_events(tables: StreamTables, result: FlowResult | CountTable, name: str = "event_log") -> DataFrame:
+    """Append to the event log what its flow has counted since it was last logged.
+
+    The events are made of the stored counts, not of what this process has seen:
+    batches of a run that ended before it came to log them are logged now. A log is
+    partitioned by day, and only the days of the new events are looked into, so it
+    costs the same however long the log is; doing it again adds nothing.
+    """
+    counts = result.counts if isinstance(result, FlowResult) else result
+    found = counts.events()
+    if found is not None:
+        events, mark = found
+        append_once(events, tables.path(name), within="day")
+        counts.mark_logged(mark)
+    logged = tables.spark.read.schema(f"{EVENT_SCHEMA}, day DATE").parquet(tables.path(name))
+    return logged.drop("day")
 
 
 def entity_flow_from_config(
@@ -124,11 +182,12 @@ def entity_flow_from_config(
 
 
 def source_settings(config: Mapping[str, str]) -> dict:
-    """Settings of a landing source from strings: ``file_format``, ``header``, ``max_files``,
+    """Settings of a landing source from strings: ``file_format``, ``policy``, ``header``, ``max_files``,
     ``max_bytes`` (no bound if absent), and reader options as ``option.<name>``."""
     found: dict = {key: int(config[key]) for key in ("max_files", "max_bytes") if key in config}
-    if "file_format" in config:
-        found["file_format"] = config["file_format"]
+    for key in ("file_format", "policy"):
+        if key in config:
+            found[key] = config[key]
     if "header" in config:
         found["header"] = config["header"].strip().lower() == "true"
     options = {key.removeprefix("option."): value for key, value in config.items() if key.startswith("option.")}
@@ -154,11 +213,30 @@ def union_sources_from_config(
 def run_entity_flow(
     tables: StreamTables, flow: EntityFlow, at: Column | None = None
 ) -> FlowResult:
-    """Take in what is new in the landing folder and bring all layers up to date."""
+    """Take in what is new in the landing folder and bring all layers up to date.
+
+    With the policy ``fail`` the contract's rules are checked where files come in,
+    so a file that breaks one gets into no layer; quarantine then stays empty.
+    """
     rules = flow.contract.rules
-    bronze = flow.source.open(tables.spark, at)
-    schema = bronze.schema
-    done = settle(tables.append(bronze, flow.table("bronze")))
+    opened = flow.source.open(tables.spark, at)
+    counts = CountTable(tables, flow.table("counts"))
+    layers = ["checked"] if flow.single_pass else ["silver", "quarantine"]
+    labelled = extended(opened.schema, **{flow.failed_column: T.ArrayType(T.StringType())})
+    made = {
+        "bronze": opened.schema,
+        "checked": extended(labelled, **{PASSED_COLUMN: "boolean"}),
+        "silver": opened.schema,
+        "quarantine": labelled,
+    }
+    tables.registry.declare_all(
+        [(flow.table(layer), made[layer], "") for layer in ("bronze", *layers)]
+        + [(counts.name, COUNTS_SCHEMA, flow.table(layer)) for layer in layers]
+    )
+    bronze = flow.source if flow.source.rules else replace(flow.source, rules=rules)
+    landed = bronze.checked(opened) if flow.source.policy != KEEP else opened
+    done = settle(tables.append(landed, flow.table("bronze")))
+    schema = tables.registry.get(flow.table("bronze")).schema
 
     def bronze_stream() -> DataFrame:
         return tables.stream(flow.table("bronze"), schema, flow.source.max_bytes, flow.source.max_files)
@@ -197,38 +275,63 @@ def run_entity_flow(
     done += settle(*started)
     streams = {stream.name: stream for stream in done}
 
-    quarantine_schema = T.StructType(
-        [*schema.fields, T.StructField(flow.failed_column, T.ArrayType(T.StringType()))]
-    )
+    dataset = flow.table("checked" if flow.single_pass else "silver")
+    broken = {name: ~F.array_contains(flow.failed_column, name) for name in rules}
     if flow.single_pass:
-        everything = tables.read(
-            flow.table("checked"), extended(quarantine_schema, **{PASSED_COLUMN: "boolean"})
-        )
+        everything = tables.read(flow.table("checked"))
         silver = everything.filter(F.col(PASSED_COLUMN)).drop(flow.failed_column, PASSED_COLUMN)
         kept_aside = everything.filter(~F.col(PASSED_COLUMN)).drop(PASSED_COLUMN)
-        counted = CheckedStream(streams[flow.table("checked")], rules, drops=False)
+        checks = [CheckedStream(streams[dataset], rules, drops=False)]
+        counted = {"checked": broken}
     else:
-        silver = tables.read(flow.table("silver"), schema)
-        kept_aside = tables.read(flow.table("quarantine"), quarantine_schema)
-        counted = CheckedStream(streams[flow.table("silver")], rules, drops=True)
-    # The layers are counted once; the control table is made of those counts.
-    counts = file_reconciliation(silver, kept_aside, id_column=flow.id_column)
-    tables.replace(counts, flow.table("reconciliation"))
-    counts = tables.read(flow.table("reconciliation"))
-    tables.replace(control_of_counts(counts), flow.table("ctl"))
+        silver, kept_aside = tables.read(flow.table("silver")), tables.read(flow.table("quarantine"))
+        checks = [CheckedStream(streams[dataset], rules, drops=True)]
+        counted = {"silver": {name: F.lit(True) for name in rules}, "quarantine": broken}
+    counts.check_clock([flow.table(layer) for layer in counted])
+    fresh = settle(
+        *[
+            counts.append(
+                tables.stream(flow.table(layer), None, flow.source.max_bytes, flow.source.max_files),
+                [Judged(dataset, verdicts, drops=not flow.single_pass)],
+                flow.table(layer),
+                flow.id_column,
+            )
+            for layer, verdicts in counted.items()
+        ]
+    )
+    streams |= {stream.name: stream for stream in fresh}
+    _compact_now_and_then(counts, streams)
+    reconciled = counts.sums().select(
+        FILE_COLUMN,
+        DATE_COLUMN,
+        TIME_COLUMN,
+        F.col("kept").alias("rows_OK"),
+        (F.col("records") - F.col("kept")).alias("rows_KO"),
+        F.col("kept_ids").alias("ids_OK"),
+        (F.col("ids") - F.col("kept_ids")).alias("ids_KO"),
+    )
     return FlowResult(
         tables={
-            "bronze": tables.read(flow.table("bronze"), schema),
+            "bronze": tables.read(flow.table("bronze")),
             "silver": silver,
             "quarantine": kept_aside,
-            "ctl": tables.read(flow.table("ctl")),
-            "reconciliation": counts,
+            "ctl": control_of_counts(reconciled),
+            "reconciliation": reconciled,
         },
         streams=streams,
-        checks=[counted],
+        checks=checks,
+        counts=counts,
     )
 
 
+def _compact_now_and_then(counts: CountTable, streams: Mapping[str, StreamResult]) -> None:
+    """Compact the counts when one of their queries has come to another `COMPACT_EVERY` batches."""
+    own = [stream for stream in streams.values() if stream.table == counts.name]
+    taken = [number for stream in own for number, batch in stream.batches.items() if batch["numInputRows"]]
+    if any(number % COMPACT_EVERY == COMPACT_EVERY - 1 for number in taken):
+        counts.compact()
+
+
 def run_union_flow(
     tables: StreamTables,
     sources: Sequence[LandingSource],
@@ -240,40 +343,89 @@ def run_union_flow(
 ) -> FlowResult:
     """Many landing folders into one checked table.
 
-    Each source fills its bronze table and keeps all rows, with its rules only
-    counted; silver is the union of all of them without the rows that break a
-    silver rule. ``rechecks`` names tables that copy silver and count more rules.
+    Each source fills its bronze table, with its rules applied by its policy;
+    silver is the union of all of them without the rows that break a silver rule.
+    ``rechecks`` names tables that copy silver and count more rules; with a
+    ``control_table`` the result has silver's rows per file under that name.
+
+    Silver and the tables made of it have a part per source, each filled by a query
+    of its own. So sources may be added, left out or put in another order from run
+    to run; rows of a source that is left out stay. Sources with columns of the
+    same types in the same order are united by position, others by name: silver
+    has all columns, NULL where a source lacks one.
     """
     spark = tables.spark
-    opened = {source.table: source.open(spark, at) for source in sources}
-    done = settle(
-        *[
-            tables.append(expect_keep(opened[s.table], s.rules, s.table), s.table)
-            for s in sources
-        ]
+    if len({s.table for s in sources}) < len(sources):
+        raise ValueError("two sources of a union flow fill one table")
+    rechecks = rechecks or {}
+    opened = {s.table: s.open(spark, at) for s in sources}
+    counts = CountTable(tables, f"{silver_table}_counts")
+    tables.registry.declare_all(
+        [(s.table, opened[s.table].schema, "") for s in sources] + [(counts.name, COUNTS_SCHEMA, s.table) for s in sources]
     )
-    schema = opened[sources[0].table].schema
-    together = union_all(
-        [tables.stream(s.table, opened[s.table].schema, s.max_bytes, s.max_files) for s in sources]
+    done = settle(*[tables.append(s.checked(opened[s.table]), s.table) for s in sources])
+
+    known = tables.registry.get(silver_table)
+    first = known.schema if known else tables.registry.get(sources[0].table).schema
+
+    def bronze(s: LandingSource, also: Mapping[str, Column] | None = None) -> DataFrame:
+        rows = tables.stream(s.table, None, s.max_bytes, s.max_files)
+        alike = [f.dataType for f in rows.schema.fields] == [f.dataType for f in first.fields]
+        names = first.fieldNames() if alike else rows.columns
+        return rows.withColumns(also or {}).toDF(*names, *(also or ()))
+
+    tables.registry.declare_all(
+        [(name, bronze(s).schema, s.table) for s in sources for name in (silver_table, *rechecks)]
     )
-    bounds = [max((b for b in found if b is not None), default=None) for found in (
-        [s.max_bytes for s in sources], [s.max_files for s in sources])]
+
+    def verdicts(rules: Rules) -> dict[str, Column]:
+        return {name: passes(predicate) for name, predicate in rules.items()}
+
+    def counted(s: LandingSource) -> tuple[DataFrame, list[Judged]]:
+        # The source's own rules speak of its own columns, so they are judged before those are renamed.
+        landed = {f"_landed{i}": verdict for i, verdict in enumerate(verdicts(s.rules).values())}
+        in_silver = passes(" AND ".join(f"({p})" for p in silver_rules.values()) or "true")
+        return bronze(s, landed), [
+            Judged(s.table, {name: F.col(c) for name, c in zip(s.rules, landed, strict=True)}),
+            Judged(silver_table, verdicts(silver_rules), drops=True),
+            *[Judged(name, verdicts(rules), among=in_silver) for name, rules in rechecks.items()],
+        ]
+
+    # Silver and the counts are made of the same rows of bronze, side by side.
+    counts.check_clock([s.table for s in sources])
     done += settle(
-        tables.append(expect_drop(together, silver_rules, silver_table), silver_table)
+        *[tables.append(expect_drop(bronze(s), silver_rules, silver_table), silver_table, part=s.table) for s in sources],
+        *[counts.append(*counted(s), s.table) for s in sources],
     )
-    rechecks = rechecks or {}
     done += settle(
         *[
-            tables.append(expect_keep(tables.stream(silver_table, schema, *bounds), rules, name), name)
+            tables.append(
+                expect_keep(tables.stream(silver_table, None, s.max_bytes, s.max_files, part=s.table), rules, name), name, part=s.table
+            )
             for name, rules in rechecks.items()
+            for s in sources
         ]
     )
     streams = {stream.name: stream for stream in done}
     checks = [CheckedStream(streams[s.table], s.rules, drops=False) for s in sources]
-    checks.append(CheckedStream(streams[silver_table], silver_rules, drops=True))
-    checks += [CheckedStream(streams[name], rules, drops=False) for name, rules in rechecks.items()]
-    filled = {name: tables.read(name, schema) for name in (*opened, silver_table, *rechecks)}
+    checks += [CheckedStream(streams[f"{silver_table}@{s.table}"], silver_rules, drops=True) for s in sources]
+    checks += [
+        CheckedStream(streams[f"{name}@{s.table}"], rules, drops=False) for name, rules in rechecks.items() for s in sources
+    ]
+    _compact_now_and_then(counts, streams)
+    for name in (silver_table, *rechecks):
+        streams[name] = _together(name, [streams[f"{name}@{s.table}"] for s in sources])
+    filled = {name: tables.read(name) for name in (*opened, silver_table, *rechecks)}
     if control_table:
-        tables.replace(file_counts(filled[silver_table]), control_table)
-        filled[control_table] = tables.read(control_table)
-    return FlowResult(filled, streams, checks)
+        filled[control_table] = (
+            counts.sums()
+            .where((F.col("dataset") == silver_table) & (F.col("kept") > 0))
+            .select(F.col(FILE_COLUMN).alias("fileName"), F.col("kept").alias("records"), ENTITY_COLUMN, DATE_COLUMN, TIME_COLUMN)
+        )
+    return FlowResult(filled, streams, checks, counts)
+
+
+def _together(name: str, parts: Sequence[StreamResult]) -> StreamResult:
+    """What the queries of all parts of a table did, as one result."""
+    batches = [batch for part in parts for _, batch in sorted(part.batches.items())]
+    return StreamResult(name, ",".join(part.query_id for part in parts), dict(enumerate(batches)))

@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.expectations import KEPT, TOTAL, metric_tuples
+from ..operators.transforms import union_all
 from ..plans.rules import Rules
-
+from ..sources.complete import CompleteTable
+from .registry import Definition, Registry, as_declared
 
 OPEN_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
@@ -25,17 +27,30 @@ class StreamTables:
     Every table is filled by one file-sink query in append mode. The sink's
     commit log and the checkpoint make a re-run, or a run after a lost executor
     or driver, add each input row exactly once.
+
+    A table can also be made of parts, each with a query, commit log and checkpoint
+    of its own: one per source. Sources can then come, go and change their order,
+    since no query knows of any source but its own. Readers see all parts as one.
+
+    The columns of a table may grow. `Registry` remembers them; writers give rows
+    all columns of the table, readers show NULL where older rows lack one.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.registry = Registry(spark, f"{self.root}/registry")
+
+    def path(self, name: str, part: str = "") -> str:
+        return f"{self.root}/tables/{name}" + (f"/{part}" if part else "")
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/tables/{name}"
+    def checkpoint(self, name: str, part: str = "") -> str:
+        return f"{self.root}/checkpoints/{name}" + (f"/{part}" if part else "")
 
-    def checkpoint(self, name: str) -> str:
-        return f"{self.root}/checkpoints/{name}"
+    def parts(self, name: str) -> tuple[str, ...]:
+        """The parts of a table, in the order in which they came."""
+        known = self.registry.get(name)
+        return known.parts if known else ()
 
     def append(
         self,
@@ -44,16 +59,23 @@ class StreamTables:
         partition_by: Sequence[str] = (),
         path: str | None = None,
         file_format: str = "parquet",
+        part: str = "",
     ) -> StreamingQuery:
-        """Start a triggered query: take in what is new, then stop."""
+        """Start a triggered query: take in what is new, then stop.
+
+        The rows may lack columns of the table or bring new ones. With a ``path``
+        the rows go to files outside the tables, as they are.
+        """
+        if path is None:
+            df = as_declared(df, self.registry.declare(name, df.schema, part).schema)
         writer = (
             df.writeStream.format(file_format)
-            .queryName(f"{self.root}/{name}")
+            .queryName(f"{self.root}/{name}{'@' if part else ''}{part}")
             .outputMode("append")
-            .option("checkpointLocation", self.checkpoint(name))
+            .option("checkpointLocation", self.checkpoint(name, part))
             .trigger(availableNow=True)
         )
-        target = path or self.path(name)
+        target = path or self.path(name, part)
         if not partition_by:
             return writer.start(target)
         # A few partition values can each keep a file open; the default is to
@@ -69,36 +91,68 @@ class StreamTables:
     def stream(
         self,
         name: str,
-        schema: T.StructType,
+        schema: T.StructType | None = None,
         max_bytes: int | None = None,
         max_files: int | None = None,
+        part: str = "",
     ) -> DataFrame:
-        """The table as an incremental source: rows not read by this reader before."""
+        """The table, or one part of it, as an incremental source: rows this reader has not read yet.
+
+        Its columns are those the table has now, or those of ``schema``.
+        """
+        if schema is None:
+            schema = self._known(name).schema
         reader = self.spark.readStream.schema(schema)
         if max_bytes is not None:
             reader = reader.option("maxBytesPerTrigger", max_bytes)
         if max_files is not None:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        return reader.parquet(self.path(name))
+        return reader.parquet(self.path(name, part))
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
-        """All rows of the table now; a ``schema`` allows for one with no rows yet."""
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(self.path(name))
+        """All rows of the table now, of all its parts, with the columns it has now or those of ``schema``."""
+        known = self.registry.get(name)
+        if known is None:
+            complete = CompleteTable(self.spark, self.path(name))
+            if schema is None and complete.current() is not None:
+                return complete.read()
+            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+            return reader.parquet(self.path(name))
+        reader = self.spark.read.schema(schema or known.schema)
+        return union_all([reader.parquet(self.path(name, part)) for part in known.parts or ("",)])
+
+    def view(self, name: str, view: str) -> DataFrame:
+        """`read`, and a view of this session under which SQL finds the same rows."""
+        rows = self.read(name)
+        rows.createOrReplaceTempView(view)
+        return rows
 
-    def replace(self, df: DataFrame, name: str) -> None:
-        """Write a complete table: all of it, in place of what was there."""
-        df.write.mode("overwrite").parquet(self.path(name))
+    def replace(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a complete table: all of it, in place of what was there (`CompleteTable`)."""
+        return CompleteTable(self.spark, self.path(name)).replace(df)
+
+    def _known(self, name: str) -> Definition:
+        known = self.registry.get(name)
+        if known is None:
+            raise ValueError(f"no stream has filled table {name} yet: give its schema")
+        return known
 
 
 @dataclass
 class StreamResult:
-    """What one triggered query did: its id and the progress of each batch."""
+    """What one triggered query did: its id and the progress of each batch.
+
+    ``name`` is that of the table, followed by ``@`` and the part for a part of one.
+    """
 
     name: str
     query_id: str
     batches: dict[int, dict] = field(default_factory=dict)
 
+    @property
+    def table(self) -> str:
+        return self.name.partition("@")[0]
+
     @property
     def input_rows(self) -> int:
         return sum(batch["numInputRows"] for batch in self.batches.values())
@@ -113,7 +167,7 @@ class CheckedStream:
     drops: bool
 
     def _observed(self) -> list[tuple[int, dict]]:
-        name = self.stream.name
+        name = self.stream.table
         return [
             (number, batch["observedMetrics"][name].asDict())
             for number, batch in sorted(self.stream.batches.items())
@@ -124,11 +178,11 @@ class CheckedStream:
         """Passed and failed counts per rule, summed over the batches of this run."""
         sums = {name: [0, 0] for name in self.rules}
         for _, seen in self._observed():
-            for name, _, passed, failed in metric_tuples(seen, self.rules, self.stream.name):
+            for name, _, passed, failed in metric_tuples(seen, self.rules, self.stream.table):
                 sums[name][0] += passed
                 sums[name][1] += failed
         return [
-            (name, self.stream.name, passed, failed) for name, (passed, failed) in sums.items()
+            (name, self.stream.table, passed, failed) for name, (passed, failed) in sums.items()
         ]
 
     def events(self) -> list[tuple[str, str, str, str]]:
@@ -142,7 +196,7 @@ class CheckedStream:
             dropped = seen[TOTAL] - seen[KEPT] if self.drops else 0
             expectations = [
                 {"name": name, "dataset": dataset, "passed_records": ok, "failed_records": ko}
-                for name, dataset, ok, ko in metric_tuples(seen, self.rules, self.stream.name)
+                for name, dataset, ok, ko in metric_tuples(seen, self.rules, self.stream.table)
             ]
             details = {
                 "flow_progress": {
