@@ -4,7 +4,7 @@ import random
 import re
 
 from weirflow.llm.common import byte_words
-from weirflow.llm.license_scan import BASE_PHRASES, TEMPLATES, SuffixAutomaton, scan_licenses
+from weirflow.llm.license_scan import BASE_PHRASES, TEMPLATES, LicenseScanner, SuffixAutomaton, scan_licenses
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -19,8 +19,12 @@ def test_matching_statistics_match_brute_force():
         for i, (state, length) in enumerate(automaton.statistics(text)):
             want = max(n for n in range(i + 2) if tuple(text[i + 1 - n : i + 1]) in parts)
             assert length == want
-            for number, end in automaton.ends[state].items():
-                assert sequences[number][end + 1 - length : end + 1] == text[i + 1 - length : i + 1]
+            places = {(number, end): size for number, end, size in automaton.places(state, length, 1)}
+            for number, sequence in enumerate(sequences):
+                for end in range(len(sequence)):
+                    both = zip(reversed(sequence[: end + 1]), reversed(text[: i + 1]))
+                    common = next((n for n, (x, y) in enumerate(both) if x != y), min(end, i) + 1)
+                    assert places.get((number, end), 0) == common
 
 
 def brute(text):
@@ -60,3 +64,60 @@ def test_templates_are_found_with_gaps_and_nothing_else(spark):
     assert (span.start, span.stop) == (1, 1 + len(words))
     assert got[2].labels == "" and got[2].score == 0.0
     assert got[3].labels == "gpl,gpl-notice"
+
+
+def brute_spans(text, template):
+    """All maximal common runs of three words or more, their best chains, and of those the best that do not overlap."""
+    runs = []
+    for a in range(len(text)):
+        for c in range(len(template)):
+            n = 0
+            while a + n < len(text) and c + n < len(template) and text[a + n] == template[c + n]:
+                n += 1
+            if n >= 3 and not (a and c and text[a - 1] == template[c - 1]):
+                runs.append((a, a + n, c, c + n))
+    runs.sort(key=lambda m: (m[1], m[3], m[0]))
+    best = []
+    for i, (a, b, c, d) in enumerate(runs):
+        chains = [(b - a, a)]
+        for j in range(i):
+            gain = min(b - max(a, runs[j][1]), d - max(c, runs[j][3]))
+            if gain > 0 and a - runs[j][1] <= 8 and c - runs[j][3] <= 8:
+                chains.append((best[j][0] + gain, best[j][1]))
+        best.append(max(chains, key=lambda x: x[0]))
+    spans = []
+    for i in sorted(range(len(runs)), key=lambda i: (-best[i][0], runs[i][1] - best[i][1], best[i][1])):
+        cover, start, stop = best[i][0], best[i][1], runs[i][1]
+        if cover >= 0.6 * len(template) and all(stop <= x or y <= start for x, y, _ in spans):
+            spans.append((start, stop, min(1.0, cover / len(template))))
+    return sorted(spans)
+
+
+def test_spans_match_brute_force():
+    random.seed(13)
+    met = 0
+    for _ in range(300):
+        templates = {f"t{i}": " ".join(random.choices("abcd", k=random.randrange(6, 14))) for i in range(3)}
+        parts = [*templates.values(), "a", "x y", "b c", " ".join("x" * 12)]
+        text = " ".join(random.choices(parts, k=5)).split()
+        for _ in range(random.randrange(4)):
+            text.insert(random.randrange(len(text)), random.choice("abx"))
+        _, got = LicenseScanner({}, templates).scan([w.encode() for w in text])
+        for i, template in enumerate(templates.values()):
+            want = brute_spans(text, template.split())
+            ours = sorted((a, b, c) for t, a, b, c in got if t == i)
+            assert [round(c, 9) for *_, c in ours] == [round(c, 9) for *_, c in want], (text, template)
+            assert [(a, b) for a, b, _ in ours] == [(a, b) for a, b, _ in want], (text, template)
+            met += len(want)
+    assert met > 300
+
+
+def test_passages_that_stand_twice_and_phrases_of_one_word(spark):
+    template = "alpha beta gamma one two three alpha beta gamma four five six"
+    words = template.split()
+    gappy = " ".join([*words[:3], "x", *words[3:6], "y", *words[6:9], "z", *words[9:]])
+    docs = spark.createDataFrame([(1, gappy), (2, "foo unlicense bar"), (3, f"{template} {template}")], "doc_id long, text string")
+    got = {r.doc_id: r for r in scan_licenses(docs, phrases={"unlicense": "unlicense"}, templates={"t": template}).collect()}
+    assert [(s.start, s.stop, s.cover) for s in got[1].spans] == [(0, 15, 1.0)]
+    assert (got[2].n_base, got[2].first_word, got[2].base_labels) == (1, 1, "unlicense")
+    assert [(s.start, s.stop) for s in got[3].spans] == [(0, 12), (12, 24)]

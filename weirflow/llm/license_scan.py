@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect, bisect_left
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -51,28 +52,27 @@ LEAST_MATCH, MOST_GAP, LEAST_COVER = 3, 8, 0.6
 class SuffixAutomaton:
     """All substrings of several word sequences, as one minimal automaton.
 
-    Each state knows, per template, one place where its longest string ends.
+    Each state knows all places, as (sequence, position), where its strings end.
     """
 
     def __init__(self, sequences: Sequence[Sequence[int]]):
         self.length, self.link, self.next = [0], [-1], [{}]
-        self.ends: list[dict[int, int]] = [{}]
+        self.ends: list[set[tuple[int, int]]] = [set()]
         for number, sequence in enumerate(sequences):
             last = 0
             for at, word in enumerate(sequence):
                 last = self._extend(last, word)
-                self.ends[last].setdefault(number, at)
+                self.ends[last].add((number, at))
         # What ends at a state ends at the states of its suffixes too.
         for state in sorted(range(1, len(self.length)), key=self.length.__getitem__, reverse=True):
-            above = self.ends[self.link[state]]
-            for number, at in self.ends[state].items():
-                above[number] = min(at, above.get(number, at))
+            if self.link[state] > 0:
+                self.ends[self.link[state]] |= self.ends[state]
 
     def _state(self, length: int, link: int, following: dict[int, int]) -> int:
         self.length.append(length)
         self.link.append(link)
         self.next.append(following)
-        self.ends.append({})
+        self.ends.append(set())
         return len(self.length) - 1
 
     def _split(self, state: int, word: int) -> int:
@@ -98,6 +98,20 @@ class SuffixAutomaton:
             self.link[new] = self._split(state, word)
         return new
 
+    def places(self, state: int, length: int, least: int) -> Iterator[tuple[int, int, int]]:
+        """(sequence, position, words) of every place that the match ends at with ``least`` words or more.
+
+        The longest match's own places come first; those of its suffixes, on the way
+        up, have that suffix in common with it and not a word more.
+        """
+        seen: set[tuple[int, int]] = set()
+        while state > 0 and length >= least:
+            for place in self.ends[state] - seen:
+                yield (*place, length)
+            seen |= self.ends[state]
+            state = self.link[state]
+            length = self.length[state]
+
     def find(self, sequence: Sequence[int]) -> int:
         state = 0
         for word in sequence:
@@ -127,6 +141,7 @@ class LicenseScanner:
         sequences = [[self.ids[w] for w in t] for t in texts]
         self.phrases, self.templates = sequences[: len(phrases)], sequences[len(phrases) :]
         self.automaton = SuffixAutomaton(sequences)
+        self.shortest = min([LEAST_MATCH, *map(len, self.phrases)])
         # The phrases that end wherever a state is reached: those on its way of suffixes.
         at = {self.automaton.find(p): (i, len(p)) for i, p in enumerate(self.phrases)}
         self.ending: list[list[tuple[int, int]]] = [[] for _ in self.automaton.length]
@@ -138,54 +153,68 @@ class LicenseScanner:
                 up = self.automaton.link[up]
 
     def runs(self, words: list[bytes]) -> Iterator[tuple[int, list[int]]]:
-        """Stretches of two or more words that all stand in a phrase or template."""
+        """Stretches of words that all stand in a phrase or template, as long as the shortest match or longer."""
         ids = np.fromiter(map(self.ids.get, words, _minus_ones()), np.int32, len(words))
         known = np.concatenate(([0], (ids >= 0).view(np.int8), [0]))
         edges = np.diff(known)
         for start, stop in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True):
-            if stop - start > 1:
+            if stop - start >= self.shortest:
                 yield int(start), ids[start:stop].tolist()
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, float]]]:
         """Places (start, phrase) and spans (template, start, stop, share covered)."""
         places, matches = [], {}
         for offset, ids in self.runs(words):
-            previous = (0, 0)
-            for i, (state, length) in enumerate(self.automaton.statistics(ids)):
+            state = length = 0
+            for i, (following, grown) in enumerate(self.automaton.statistics(ids)):
+                if length >= LEAST_MATCH:
+                    self._note(matches, state, length, offset + i, ids[i])
+                state, length = following, grown
                 for phrase, size in self.ending[state]:
                     if length >= size:
                         places.append((offset + i + 1 - size, phrase))
-                if length <= previous[1]:
-                    self._note(matches, previous, offset + i)
-                previous = (state, length)
-            self._note(matches, previous, offset + len(ids))
+            if length >= LEAST_MATCH:
+                self._note(matches, state, length, offset + len(ids), -1)
         spans = [span for template, found in matches.items() for span in self._chains(template, found)]
-        return places, spans
+        return places, sorted(spans, key=lambda s: (s[1], s[2], s[0]))
 
-    def _note(self, matches: dict, ended: tuple[int, int], stop: int) -> None:
-        """A longest match (state, length) that ends before word ``stop``, under each template."""
-        state, length = ended
-        if length < LEAST_MATCH:
-            return
+    def _note(self, matches: dict, state: int, length: int, stop: int, following: int) -> None:
+        """The matches that end before word ``stop`` and do not go on with it, as (start, stop, from, to)."""
         first = len(self.phrases)
-        for number, end in self.automaton.ends[state].items():
+        for number, at, size in self.automaton.places(state, length, LEAST_MATCH):
             if number >= first:
-                matches.setdefault(number - first, []).append((stop - length, stop, end + 1 - length, end + 1))
+                words = self.templates[number - first]
+                if at + 1 == len(words) or words[at + 1] != following:
+                    matches.setdefault(number - first, []).append((stop - size, stop, at + 1 - size, at + 1))
 
     def _chains(self, template: int, found: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, int, float]]:
-        """Matches that go on in order, in text and in template, as spans with their cover."""
+        """Chains of matches that go on in text and in template, as spans with their cover.
+
+        By dynamic programming each match ends the chain that covers most; of the
+        chains that cover enough the best is a span, then the best of those that do
+        not overlap it, and so on.
+        """
         size = len(self.templates[template])
-        start, stop, _, end = found[0]
-        covered = stop - start
-        for a, b, c, d in [*found[1:], (None,) * 4]:
-            if a is not None and a - stop <= MOST_GAP and end < d and max(c, end) - end <= MOST_GAP:
-                covered += min(b - max(a, stop), d - max(c, end))
-                stop, end = b, d
-                continue
-            if covered >= LEAST_COVER * size:
-                yield template, start, stop, min(1.0, covered / size)
-            if a is not None:
-                start, stop, end, covered = a, b, d, b - a
+        found.sort(key=lambda m: (m[1], m[3], m[0]))
+        covered, starts, stops = [], [], [m[1] for m in found]
+        for i, (a, b, c, d) in enumerate(found):
+            best, start = b - a, a
+            for j in range(bisect_left(stops, a - MOST_GAP, 0, i), i):
+                _, stop, _, end = found[j]
+                gain = min(b - max(a, stop), d - max(c, end))
+                if gain > 0 and c - end <= MOST_GAP and covered[j] + gain > best:
+                    best, start = covered[j] + gain, starts[j]
+            covered.append(best)
+            starts.append(start)
+        taken: list[tuple[int, int]] = []
+        for i in sorted(range(len(found)), key=lambda i: (-covered[i], found[i][1] - starts[i], starts[i])):
+            if covered[i] < LEAST_COVER * size:
+                break
+            start, stop = starts[i], found[i][1]
+            at = bisect(taken, (start, stop))
+            if (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or stop <= taken[at][0]):
+                taken.insert(at, (start, stop))
+                yield template, start, stop, min(1.0, covered[i] / size)
 
 
 def _minus_ones() -> Iterator[int]:
