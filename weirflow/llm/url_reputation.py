@@ -10,10 +10,17 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Suffixes of two labels under which names are registered. Fixed values.
-TWO_LABEL_SUFFIXES = (
-    "co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp",
-    "ne.jp", "or.jp", "com.br", "com.cn", "com.mx", "com.ar", "co.in", "co.kr", "co.za",
+#: What registries put before a country's two letters to register names under, as in
+#: ``co.uk`` and ``com.tr``. Fixed values.
+SECOND_LEVEL = (
+    "ac", "asn", "co", "com", "ed", "edu", "gen", "go", "gob", "gouv", "gov", "gv", "id", "info", "ltd", "me",
+    "mil", "ne", "net", "nom", "or", "org", "plc", "sch", "school", "web",
+)
+#: Names under which their owners let others have names of their own. Fixed values.
+SHARED_NAMES = (
+    "appspot.com", "azurewebsites.net", "blogspot.com", "cloudfront.net", "fly.dev", "github.io", "gitlab.io",
+    "herokuapp.com", "myshopify.com", "netlify.app", "onrender.com", "pages.dev", "readthedocs.io", "tumblr.com",
+    "vercel.app", "web.app", "weebly.com", "wixsite.com", "wordpress.com", "workers.dev",
 )
 #: A host is blocked when its share of good pages is below LEAST_GOOD even at the
 #: upper end of an interval of Z standard deviations around the posterior mean.
@@ -51,20 +58,29 @@ def _rest(url: Column) -> Column:
     return F.when(at > 0, F.substring(url, at + 3, F.char_length(url))).otherwise(F.lit(""))
 
 
-def suffix_of(host: Column) -> Column:
-    """The part under which names are registered: the last label, or two of a known pair."""
+def name_of(host: Column) -> Column:
+    """A host as a name: without user info, port and final dots, which make no other host of it."""
+    named = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":\d*$", "")
+    return F.regexp_replace(named, r"\.+$", "")
+
+
+def suffix_of(host: Column, shared: Sequence[str] = SHARED_NAMES) -> Column:
+    """The part under which names are registered, of a :func:`name_of`; empty for an address.
+
+    The last label; or the last two where the first of them is one of SECOND_LEVEL
+    and the last a country's; or a name of ``shared``, which has two labels.
+    """
     two = F.substring_index(host, ".", -2)
-    return F.when(_is_address(host), F.lit("")).when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(
-        F.substring_index(host, ".", -1)
-    )
+    national = two.rlike(rf"^(?:{'|'.join(SECOND_LEVEL)})\.[a-z]{{2}}$")
+    return F.when(_is_address(host), F.lit("")).when(national | two.isin(*shared), two).otherwise(F.substring_index(host, ".", -1))
 
 
-def domain_of(host: Column) -> Column:
+def domain_of(host: Column, shared: Sequence[str] = SHARED_NAMES) -> Column:
     """The registered domain: suffix and one label more; an address is its own."""
-    two = F.substring_index(host, ".", -2)
+    suffix = suffix_of(host, shared)
     return F.when(_is_address(host), host).when(
-        two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)
-    ).otherwise(two)
+        suffix.contains("."), F.substring_index(host, ".", -3)
+    ).otherwise(F.substring_index(host, ".", -2))
 
 
 def _is_address(host: Column) -> Column:
@@ -129,7 +145,7 @@ def _shrunk(groups: DataFrame, above: DataFrame | None, by: str | None) -> DataF
     )
 
 
-def host_reputation(outcomes: DataFrame) -> DataFrame:
+def host_reputation(outcomes: DataFrame, shared: Sequence[str] = SHARED_NAMES) -> DataFrame:
     """Posterior of the share of good pages per host.
 
     ``outcomes`` has ``host`` and ``good`` (boolean, null for pages without an
@@ -141,7 +157,7 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     hosts = stored(
         outcomes.groupBy("host")
         .agg(F.count("good").alias("pages"), F.count_if("good").alias("good"))
-        .select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "pages", "good"),
+        .select("host", domain_of(F.col("host"), shared).alias("domain"), suffix_of(F.col("host"), shared).alias("suffix"), "pages", "good"),
         "hosts",
     )
     add = F.sum("pages").alias("pages"), F.sum("good").alias("good")
@@ -172,6 +188,7 @@ def judge_urls(
     id_column: str = "page_id",
     url_column: str = "url",
     least_good: float = LEAST_GOOD,
+    shared: Sequence[str] = SHARED_NAMES,
 ) -> DataFrame:
     """Every page with ``host``, ``path``, ``rule``, ``verdict`` and its host's reputation.
 
@@ -179,7 +196,9 @@ def judge_urls(
     or null where it has none. Where a rule fits, the longest decides. Else the
     host is blocked if even the upper bound of its posterior share of good pages
     is below ``least_good``, and allowed otherwise, so little evidence never
-    blocks. Pages move as id, url and outcome only; a host with a third of all
+    blocks. A host has one reputation with and without user info, port and final
+    dot (rules look at the host as it stands); ``shared`` are names whose owners let
+    others register under them. Pages move as id, url and outcome only; a host with a third of all
     pages is a count per task, and the join back to pages is one that Spark splits.
 
     A null url, or one without ``://``, has an empty host and path; such pages
@@ -189,13 +208,13 @@ def judge_urls(
     judged = stored(
         pages.select(F.col(id_column).alias("id"), F.col(url_column).alias("url"), good.alias("good")).select(
             "id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "good"
-        ),
+        ).withColumn("name", name_of(F.col("host"))),
         "pages",
     )
-    reputation = stored(host_reputation(judged.select("host", "good")), "reputation")
+    reputation = stored(host_reputation(judged.select(F.col("name").alias("host"), "good"), shared), "reputation")
     fit = rule_for(F.col("host"), F.col("path"), rules)
     return (
-        judged.join(reputation.select("host", "mean", "high"), "host")
+        judged.join(reputation.select(F.col("host").alias("name"), "mean", "high"), "name")
         .withColumn("fit", fit)
         .select(
             F.col("id").alias(id_column),
@@ -214,9 +233,10 @@ def page_outcome(html: Column, most_junk: float = 0.3) -> Column:
 
     Junk are words with runs of signs, words wholly in capitals, and bare bars:
     what is left when markup, scripts and styles are gone is bad if at least
-    ``most_junk`` of its words are such. The html decides, never the url.
+    ``most_junk`` of its words are such. The html decides, never the url. A script,
+    style or comment that is never closed goes on to the end of the page.
     """
-    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^<>]*>", " ")
+    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>", " ")
     words = F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " ")
     n = F.size(words)
     junk = F.regexp_count(
