@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from weirflow.llm import pii_surrogates
 from weirflow.llm.pii_detect import find_mentions
-from weirflow.llm.pii_surrogates import assign_surrogates, luhn_digit, replace_pii, surrogate, written_like
+from weirflow.llm.pii_surrogates import assign_surrogates, form, luhn_digit, permuted, replace_pii, surrogate, written_like
 
 KEY = b"test key"
 PRIVATE = {
@@ -59,6 +59,8 @@ def test_names_whose_forms_are_all_taken_grow(spark, monkeypatch):
     for title in ("Dr.", "Mr."):
         names = {r.text.replace(".", "").split()[1] for r in got if r.text.startswith(title)}
         assert len(names) == 26 and not names & set(letters.upper()) and all(n == n.capitalize() for n in names)
+    # One letter is one name, whatever title it stands behind.
+    assert len({r.text.replace(".", "").split()[1] for r in got}) == 26
 
 
 def test_surrogates_keep_kind_and_form():
@@ -128,3 +130,83 @@ def test_no_private_string_is_left_in_the_documents(spark, sf_dir):
         assert len(old) == r.n_replaced
         assert all(value not in r.new for value in old)
         assert r.n_replaced or r.new == r.text
+
+
+def test_names_of_any_length_and_form_are_found():
+    cases = {
+        "Herr von Neumann kam": ["Neumann"],
+        "MR. JOHN SMITH said": ["JOHN", "SMITH"],
+        "Prof. Anna Maria Louise Weber spoke": ["Anna", "Maria", "Louise", "Weber"],
+        "Mr. Juan de la Cruz": ["Juan", "Cruz"],
+        "Mr. Max met Mrs. Anna Lee": ["Max", "Anna", "Lee"],
+        "Frau Dr. Eva Klein": ["Eva", "Klein"],
+        "FRAU VON DER LEYEN": ["LEYEN"],
+    }
+    for text, names in cases.items():
+        assert [value for _, value in told(text)] == names, text
+
+
+def test_one_name_space_for_names_of_all_kinds(spark):
+    syllables = [a + b for a in "bcdfghlmnprstvz" for b in "aeiou"]
+    kinds = ["surname", "given_m", "given_f", "given_x"]
+    entities = [(kinds[i % 4], s) for i, s in enumerate(syllables)] + [(k, "max") for k in kinds] + [("surname", "li"), ("given_m", "mi")]
+    rows = assign_surrogates(spark.createDataFrame(entities, "kind string, entity string"), KEY).collect()
+    assert len(rows) == len(set(entities))
+    of = {}
+    for r in rows:
+        of.setdefault(r.entity, set()).add(r.surrogate)
+    assert all(len(new) == 1 for new in of.values())
+    new = [next(iter(x)) for x in of.values()]
+    assert len(set(new)) == len(new) and not set(new) & of.keys()
+
+
+def test_gender_is_told_by_the_whole_table(spark):
+    rows = [("given_x", "robin"), ("given_f", "robin"), ("given_x", "luca"), ("given_m", "luca"), ("given_m", "kim"), ("given_f", "kim")]
+    got = {r.entity: r.surrogate for r in assign_surrogates(spark.createDataFrame(rows, "kind string, entity string"), KEY).collect()}
+    assert got["robin"][-1] in "aeiy" and got["luca"][-1] in "nrsl" and got["kim"][-1] == "m"
+
+
+def test_numbers_of_all_kinds_share_no_surrogate(spark):
+    entities = [("ssn", f"{i:09d}") for i in range(100000000, 100000200)] + [("phone", str(i)) for i in range(300000000, 300000200)]
+    rows = assign_surrogates(spark.createDataFrame(entities, "kind string, entity string"), KEY).collect()
+    new = {r.surrogate for r in rows}
+    assert len(new) == 400 and not new & {e for _, e in entities}
+
+
+def test_a_private_network_with_all_its_addresses(spark):
+    entities = [("ip", f"192.168.{i >> 8}.{i & 255}") for i in range(65536)] + [("ip", "10.0.0.1"), ("ip", "8.8.8.8")]
+    rows = {r.entity: r.surrogate for r in assign_surrogates(spark.createDataFrame(entities, "kind string, entity string"), KEY).collect()}
+    private = {v for k, v in rows.items() if k.startswith("192.168.")}
+    assert len(private) == 65536 and all(v.startswith("192.168.") for v in private)
+    assert sum(k == v for k, v in rows.items()) < 20
+    assert rows["10.0.0.1"].startswith("10.") and rows["10.0.0.1"] != "10.0.0.1" and not rows["8.8.8.8"].startswith("192.168.")
+
+
+def test_permutations_stay_in_their_form():
+    for kind, values in {
+        "ssn": ["000000000", "123456789"], "phone": ["5551234", "19805556268", "4930901820"],
+        "card": ["4111111111111111"], "ip": ["10.1.2.3", "192.168.0.0", "172.16.0.1", "8.8.8.8"],
+    }.items():
+        for value in values:
+            new = permuted(KEY, kind, value)
+            assert form(kind, new)[:2] == form(kind, value)[:2] and new == permuted(KEY, kind, value)
+    small = [f"555{i:04d}" for i in range(300)]
+    assert len({permuted(KEY, "phone", x) for x in small}) == 300
+
+
+def test_emails_of_one_domain_keep_one_domain(spark):
+    entities = [("email", f"{n}@{d}") for n in ("ann", "bob", "cy") for d in ("corp.example", "other.example")]
+    rows = {r.entity: r.surrogate for r in assign_surrogates(spark.createDataFrame(entities, "kind string, entity string"), KEY).collect()}
+    domains = {d: {v.partition("@")[2] for k, v in rows.items() if k.endswith("@" + d)} for d in ("corp.example", "other.example")}
+    assert all(len(x) == 1 for x in domains.values()) and domains["corp.example"] != domains["other.example"]
+    assert len(set(rows.values())) == 6 and not set(rows.values()) & rows.keys()
+
+
+def test_columns_with_any_name_stay(spark):
+    names = ["stays", "_hit", "_some", "hit", "some", "row", "key", "surrogates", "text_key", "a.b"]
+    given = spark.createDataFrame(
+        [(1, "mail ann@corp.example", *names), (2, "nothing", *names)], ", ".join(["doc_id long", "text string", *(f"`{c}` string" for c in names)])
+    )
+    got = replace_pii(given, KEY)
+    assert got.columns == [*given.columns, "n_replaced", "kinds"]
+    assert {tuple(r[2:-2]) for r in got.collect()} == {tuple(names)} and sorted(r.n_replaced for r in got.collect()) == [0, 1]

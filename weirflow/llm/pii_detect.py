@@ -38,8 +38,16 @@ TITLES = {
     "Herr": "m", "Herrn": "m", "Frau": "f", "Monsieur": "m", "Mme": "f", "Madame": "f", "Mlle": "f",
     "Señor": "m", "Señora": "f", "Señorita": "f", "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f",
 }
-_TITLE = re.compile("|".join(sorted(TITLES, key=len, reverse=True)).encode())
-_NAMED = re.compile(rf"(?<!\w)({'|'.join(sorted(TITLES, key=len, reverse=True))})\b\.?[  ]((?:(?:[^\W\d_]\.[  -]?)*[^\W\d_][\w'’-]*[  ]?){{1,3}})")
+#: Small words that stand within names. Fixed values.
+PARTICLES = ("von", "van", "vom", "zu", "zum", "der", "den", "de", "del", "della", "di", "da", "do", "dos", "das", "du", "la", "le", "los", "y")
+
+_GENDER = {title.casefold(): gender for title, gender in TITLES.items()}
+_SPELT = sorted({*TITLES, *(title.upper() for title in TITLES)}, key=len, reverse=True)
+_TITLE = re.compile("|".join(_SPELT).encode())
+_SMALL = {*PARTICLES, *(p.upper() for p in PARTICLES if len(p) > 1)}
+_TITLED = re.compile(rf"(?<!\w)({'|'.join(_SPELT)})\b\.?[ \u00a0]")
+#: A word, the full stop behind it, and what leads on to the next word.
+_NEXT = re.compile(r"([^\W\d_][\w'’-]*)(\.?)([ \u00a0-]?)")
 _WORD = re.compile(r"[^\W\d_][\w'’-]*")
 #: What stands between an initial and the name that goes on behind it.
 _AFTER_INITIAL = re.compile(r"\.[ \u00a0-]?")
@@ -86,6 +94,29 @@ def _secrets(data: bytes) -> Iterator[Mention]:
                 yield Mention(found.start(1), found.start(1) + len(value), "secret", value.decode("utf-8", "replace"))
 
 
+def _name_behind(text: str, at: int) -> list[tuple[str, bool]]:
+    """The words of the name that starts there, with whether each is an initial.
+
+    A name goes on over initials and particles, and ends before a word in small
+    letters or another title, or with a sign; it may have any number of words.
+    """
+    words: list[tuple[str, bool]] = []
+    while (found := _NEXT.match(text, at)) is not None:
+        word, stop, gap = found.groups()
+        initial = len(word) == 1 and bool(stop)
+        if word in _SMALL:
+            if not gap or stop:
+                break
+        elif not word[0].isupper() or word.casefold() in _GENDER:
+            break
+        else:
+            words.append((word, initial))
+            if not initial and (stop or not gap):
+                break
+        at = found.end()
+    return words
+
+
 def _names(data: bytes) -> Iterator[Mention]:
     """Words after a title, and the same words wherever else they stand in the text.
 
@@ -94,16 +125,12 @@ def _names(data: bytes) -> Iterator[Mention]:
     """
     text = data.decode("utf-8", "replace")
     kinds: dict[str, str] = {}
-    for found in _NAMED.finditer(text):
-        words = []
-        for part in _WORD.finditer(found[2]):
-            if not part[0][0].isupper():
-                break
-            words.append((part[0], len(part[0]) == 1 and found[2][part.end() : part.end() + 1] == "."))
+    for found in _TITLED.finditer(text):
+        words = _name_behind(text, found.end())
         for i, (word, initial) in enumerate(words):
             last = i == len(words) - 1
             if last or not initial:
-                kinds.setdefault(word, "surname" if last else f"given_{TITLES[found[1]]}")
+                kinds.setdefault(word, "surname" if last else f"given_{_GENDER[found[1].casefold()]}")
     if not kinds:
         return
     place, at = 0, 0
