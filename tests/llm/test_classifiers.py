@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from weirflow.llm.pu_quality import _risk, estimate_prior, fit, keep_quality, score_quality, train_quality
 from weirflow.llm.sampling import held_out, unlabelled_texts
-from weirflow.llm.toxicity import Landmarks, UnitMachine, score_toxicity, train_toxicity, units
+from weirflow.llm.toxicity import Landmarks, UnitMachine, clear_stems, score_toxicity, stems, train_toxicity, units
 
 SYLLABLES = "ba ke li mo nu ra se ti vo za pre sta gro".split()
 
@@ -183,3 +183,27 @@ def test_kernel_matches_its_definition():
 def test_units_join_what_is_spaced_out():
     assert units(b"You, L o s e r! (ok)") == {b"you", b"l", b"o", b"s", b"e", b"r", b"loser", b"ok"}
     assert units(None) == units(b" .. ") == set()
+
+
+def test_stems_with_changing_ends_are_found_by_their_rate(spark):
+    random.seed(31)
+    rows, labels = [], []
+    for i in range(1200):
+        words, toxic = sentence(random.randint(60, 120)).split(), random.random() < 0.15
+        for _ in range(random.randint(3, 6) if toxic else random.random() < 0.1):  # harmless texts have one now and then
+            words.insert(random.randrange(len(words)), random.choice(["wöchlk", "тупорл"]) + "".join(random.choices(SYLLABLES, k=2)))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = train_toxicity(docs, marks, learn)
+    both = score_toxicity(docs, model, ["doc_id"]).join(marks, "doc_id").where(held_out(F.col("doc_id"), 5, 0)).collect()
+    found = [r.predicted for r in both if r.toxic]
+    false = [r.predicted for r in both if not r.toxic]
+    assert sum(found) > 0.9 * len(found) > 20 and sum(false) < 0.05 * len(false)
+
+
+def test_stems_are_counted_over_all_forms(spark):
+    told = [(1, f"idio{e}".encode()) for e in ("t", "tic", "ten", "ts")] * 5 + [(0, w.encode()) for w in sentence(400).split()]
+    clear = {r.stem: r.excess for r in clear_stems(spark.createDataFrame(told, "label int, unit binary")).collect()}
+    assert "^idio" in clear and not any(x.startswith("^ba") for x in clear)
+    assert stems("ab") == {"^ab"} and stems("абвгде") == {"^абвг", "абвгд", "бвгде"}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -28,6 +30,11 @@ MARGIN = 1.0
 #: The kernel counts subsequences of three characters within SPAN, each at DECAY per
 #: character spanned; a unit longer than WIDTH is seen through windows of it.
 SPAN, DECAY, WIDTH, STRIDE = 7, 0.6, 24, 12
+#: Stems are runs of so many characters of a unit, its start being one of them. A stem is
+#: clear when toxic texts hold units with it TIMES as often as harmless ones, by their
+#: numbers of units, and the excess is beyond chance; the MOST_STEMS clearest are used.
+#: Of each the STEM_UNITS most frequent units are candidates for landmarks.
+STEM, TIMES, MOST_STEMS, STEM_UNITS = 5, 3.0, 2_000, 6
 #: Subsequences are numbered below SLOTS: those of a-z and 0-9 each by its own number,
 #: those with other characters by a hash of all three characters.
 PLAIN, SLOTS = 36, 1 << 21
@@ -166,7 +173,7 @@ class ToxicModel:
 
     table: np.ndarray
     bias: float
-    calibration: tuple[float, float, float]
+    calibration: tuple[float, float, float, float]
 
     def margins(self, strings: list[bytes], block: int = 2048) -> np.ndarray:
         """The largest margin among the windows of each unit."""
@@ -185,23 +192,20 @@ class ToxicModel:
             np.maximum.at(out, owner[at : at + block], value + self.bias)
         return out
 
-    def chance(self, best: float, toxic_units: int) -> float:
-        a, b, c = self.calibration
-        return float(1 / (1 + np.exp(-np.clip(a * best + b * np.log1p(toxic_units) + c, -30, 30))))
-
-
 #: What a text without any unit has as its best margin.
 NO_MARGIN = -3.0
+#: Units that a text is taken to have besides its own, when its share of toxic ones is told.
+MORE_UNITS = 20.0
 
 
 class Scorer:
-    """Best margin and number of toxic units of texts; margins of units are remembered."""
+    """Best margin, number of toxic units and of all units of texts; margins of units are remembered."""
 
     def __init__(self, model: ToxicModel, most: int = 200_000):
         self.model, self.most = model, most
         self.known: dict[bytes, float] = {}
 
-    def tell(self, texts: list[bytes | None]) -> list[tuple[float, int]]:
+    def tell(self, texts: list[bytes | None]) -> list[tuple[float, int, int]]:
         held = [units(x) for x in texts]
         if len(self.known) > self.most:
             self.known.clear()
@@ -210,7 +214,7 @@ class Scorer:
         rows = []
         for mine in held:
             margins = list(map(self.known.__getitem__, mine))
-            rows.append((max(NO_MARGIN, *margins, NO_MARGIN), sum(m > 0 for m in margins)))
+            rows.append((max(NO_MARGIN, *margins, NO_MARGIN), sum(m > 0 for m in margins), len(mine)))
         return rows
 
 
@@ -249,25 +253,84 @@ def _best_of(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def find_evidence(toxic: list[dict[bytes, float]], harmless: dict[bytes, float]) -> tuple[list[bytes], list[bytes]]:
+def stems(unit: str) -> set[str]:
+    """The runs of STEM characters of a unit, behind a sign for its start."""
+    marked = "^" + unit
+    return {marked[at : at + STEM] for at in range(max(1, len(marked) - STEM + 1))}
+
+
+def _stems_of(unit):
+    """The same as a column: an array of strings."""
+    marked = F.concat(F.lit("^"), unit)
+    last = F.greatest(F.char_length(marked) - (STEM - 1), F.lit(1))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda at: F.substring(marked, at, F.lit(STEM))))
+
+
+def clear_stems(told: DataFrame) -> DataFrame:
+    """(stem, excess) of stems that toxic texts hold far more often than harmless ones.
+
+    ``told`` has (label, unit) for each text and unit. Forms of one word that each
+    stand in a text or two are counted together here, before anything is ranked;
+    and they are weighed by how often they stand among the units of either side,
+    so a stem that harmless texts have now and then can still be evidence.
+    """
+    # The kernel sees nothing in a unit of fewer than three characters.
+    seen = told.where(F.char_length(F.col("unit").cast("string")) >= 3)
+    counted = seen.groupBy(F.col("unit").cast("string").alias("unit")).agg(
+        F.count_if(F.col("label") == 1).alias("toxic"), F.count_if(F.col("label") == 0).alias("harmless")
+    )
+    each = stored(
+        counted.select(F.explode(_stems_of(F.col("unit"))).alias("stem"), "toxic", "harmless")
+        .groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("harmless").alias("harmless")),
+        "stems",
+    )
+    sides = told.agg(F.count_if(F.col("label") == 1).alias("toxic"), F.count_if(F.col("label") == 0).alias("harmless")).first()
+    number = each.where("toxic > 0").count()
+    by_chance = F.col("harmless") * F.lit(sides["toxic"] / max(1, sides["harmless"]))
+    excess = (F.col("toxic") - by_chance) / F.sqrt(by_chance + 1)
+    least = MARGIN + math.sqrt(2 * math.log(max(2, number)))
+    found = each.where(F.col("toxic") >= TIMES * by_chance).select("stem", excess.alias("excess")).where(F.col("excess") >= least)
+    return found.orderBy(F.desc("excess"), "stem").limit(MOST_STEMS)
+
+
+def find_evidence(
+    toxic: list[dict[bytes, float]], harmless: dict[bytes, float], clear: dict[str, float] | None = None
+) -> tuple[list[bytes], list[bytes]]:
     """Units that toxic texts share, in their own form or a similar one, more than harmless ones do.
 
-    ``toxic`` has of each text its units, each with the excess of its own form
-    (:func:`train_toxicity`), by which candidates are chosen; ``harmless`` has the
-    share of harmless texts that hold a unit.
+    ``toxic`` has of each text its units, each with the excess of its own form or
+    of a stem it has (:func:`train_toxicity`), by which candidates are chosen;
+    ``harmless`` has the share of harmless texts that hold a unit; ``clear`` has the
+    excess of the stems of :func:`clear_stems`.
 
-    For each candidate the toxic texts that hold something alike are counted,
-    each by how alike it is, and compared with what as many harmless texts would
-    hold. The clearest excess comes first; what is almost the same as a unit
-    already taken is passed over. These are the landmarks, given first.
+    Candidates are some units of every clear stem, then those with the largest
+    excess. For each the toxic texts that hold something alike are counted, each
+    by how alike it is, and compared with what as many harmless texts would hold.
+    The clearest excess comes first; what is almost the same as a unit already
+    taken is passed over. These are the landmarks, given first.
 
     Learnt as toxic are, given second, of each toxic text the candidates with the
-    clearest excess in it: a text is toxic by one unit, so what merely looks a
-    little like a landmark is no example where the text has better evidence.
+    clearest excess in it, and all units with a stem as clear: a text is toxic by
+    such units, so what merely looks a little like a landmark is no example where
+    the text has better evidence.
     """
+    clear = clear or {}
     own = {u: excess for mine in toxic for u, excess in mine.items()}
+    often = Counter(u for mine in toxic for u in mine)
+    stem_of = {u: max((clear.get(x, 0.0) for x in stems(u.decode("utf-8", "replace"))), default=0.0) for u in own} if clear else {}
+    by_stem: dict[str, list[bytes]] = {}
+    for u, most in stem_of.items():
+        if most:
+            for x in stems(u.decode("utf-8", "replace")) & clear.keys():
+                by_stem.setdefault(x, []).append(u)
     suspects = sorted(own, key=lambda u: (-own[u], u))
-    probes = suspects[: max(200, PAIRS // (len(suspects) + len(harmless)))]
+    first = dict.fromkeys(
+        u
+        for x in sorted(by_stem, key=lambda x: (-clear[x], x))
+        for u in sorted(by_stem[x], key=lambda u: (-often[u], u))[:STEM_UNITS]
+    )
+    most_probes = max(400, PAIRS // (len(suspects) + len(harmless)))
+    probes = list(dict.fromkeys([*list(first)[: most_probes // 2], *suspects]))[:most_probes]
     kernel, rank = Landmarks(probes), {u: i for i, u in enumerate(suspects)}
     alike = _best_of(*kernel.values(suspects), len(suspects))
     alike[alike < ALIKE] = 0
@@ -278,18 +341,20 @@ def find_evidence(toxic: list[dict[bytes, float]], harmless: dict[bytes, float])
     doubt = np.array(list(harmless.values())) @ calm**2 * len(held)
     excess = ((held**2).sum(axis=0) - doubt) / np.sqrt(doubt + 1)
     least = MARGIN + np.sqrt(2 * np.log(len(probes)))
-    among = alike[: len(probes)]
+    among = alike[[rank[u] for u in probes]]
+    told = np.array([max(e, stem_of.get(u, 0.0)) for u, e in zip(probes, excess.tolist(), strict=True)])
     chosen: list[int] = []
-    for p in np.argsort(-excess, kind="stable"):
-        if len(chosen) == LANDMARKS or excess[p] < least and chosen:
+    for p in np.argsort(-told, kind="stable"):
+        if len(chosen) == LANDMARKS or told[p] < least and chosen:
             break
         if not chosen or among[chosen, p].max() < 0.75:
             chosen.append(int(p))
-    clear = dict(zip(probes, excess.tolist(), strict=True))
+    known = dict(zip(probes, told.tolist(), strict=True))
     learnt = set()
     for mine in toxic:
-        most = max((clear[u] for u in mine if u in clear), default=0.0)
-        learnt |= {u for u in mine if clear.get(u, 0.0) >= max(least, most / 2)}
+        worth = {u: max(known.get(u, 0.0), stem_of.get(u, 0.0)) for u in mine}
+        most = max(worth.values(), default=0.0)
+        learnt |= {u for u, x in worth.items() if x >= max(least, most / 2)}
     landmarks = [probes[i] for i in chosen]
     return landmarks, sorted(learnt) or landmarks
 
@@ -328,18 +393,7 @@ class UnitMachine:
         self.weights, self.bias = _svm(x, side, weight)
 
     def model(self) -> ToxicModel:
-        return ToxicModel(self.kernel.combined(self.whiten @ self.weights), self.bias, (1.0, 0.0, 0.0))
-
-
-def toxic_units(toxic: list[set[bytes]], landmarks: list[bytes]) -> list[bytes]:
-    """Of each toxic text the units alike to a landmark: what to learn as toxic."""
-    kernel, found = Landmarks(landmarks), set()
-    suspects = sorted(set().union(*toxic))
-    near = _best_of(*kernel.values(suspects), len(suspects)).max(axis=1)
-    score = dict(zip(suspects, near.tolist(), strict=True))
-    for mine in toxic:
-        found |= {u for u in mine if score[u] >= ALIKE}
-    return sorted(found)
+        return ToxicModel(self.kernel.combined(self.whiten @ self.weights), self.bias, (1.0, 0.0, 0.0, 0.0))
 
 
 def train_toxicity(
@@ -388,6 +442,16 @@ def train_toxicity(
         .select("shared.unit", ((F.col("shared.n") - by_chance) / F.sqrt(by_chance + 1)).alias("excess"))
         .where("excess > 0")
     )
+    # A rare form counts by the stem it shares with others.
+    stemmed = clear_stems(told)
+    clear = {r["stem"]: r["excess"] for r in stemmed.collect()}
+    known_stems = told.sparkSession.createDataFrame(list(clear.items()), "stem string, excess double")
+    by_stem = (
+        suspects.select("unit").distinct()
+        .select("unit", F.explode(_stems_of(F.col("unit").cast("string"))).alias("stem"))
+        .join(F.broadcast(known_stems), "stem").groupBy("unit").agg(F.max("excess").alias("excess"))
+    )
+    shared = stored(shared.unionByName(by_stem).groupBy("unit").agg(F.max("excess").alias("excess")), "suspects")
     bags = (
         suspects.join(shared, "unit")
         .groupBy("text_no")
@@ -398,7 +462,7 @@ def train_toxicity(
     toxic = [{bytes(u["unit"]): u["excess"] for u in r["held"]} for r in bags.collect()]
     if not harmless or not any(toxic):
         return None
-    landmarks, known = find_evidence(toxic, harmless)
+    landmarks, known = find_evidence(toxic, harmless, clear)
     calm_landmarks = [u for u in frequent if len(u) > 2][:CALM_LANDMARKS]
     # A text that is labelled wrong makes no string harmless that was found to be toxic.
     evidence = {*known, *landmarks}
@@ -411,8 +475,9 @@ def train_toxicity(
     machine.train(known, negatives)
     plain = machine.model()
     seen = _told(sample, ["label"], F.col("text"), plain).toPandas()
+    share = np.log((seen["toxic_units"] + 0.1) / (seen["units"] + MORE_UNITS))
     calibration = _logistic(
-        np.column_stack([seen["best"], np.log1p(seen["toxic_units"])]), (seen["label"] > 0).to_numpy(float)
+        np.column_stack([seen["best"], np.log1p(seen["toxic_units"]), share]), (seen["label"] > 0).to_numpy(float)
     )
     return ToxicModel(plain.table, plain.bias, tuple(calibration.tolist()))
 
@@ -423,7 +488,7 @@ def _scorer(key: int, table: bytes, bias: float, calibration: tuple) -> Scorer:
 
 
 def _told(docs: DataFrame, keep: list[str], text, model: ToxicModel) -> DataFrame:
-    """``keep``, best margin and number of toxic units of each text."""
+    """``keep``, best margin, number of toxic units and of all units of each text."""
     shared = docs.sparkSession.sparkContext.broadcast(
         (hash(model.table.tobytes()), model.table.tobytes(), model.bias, model.calibration)
     )
@@ -432,7 +497,7 @@ def _told(docs: DataFrame, keep: list[str], text, model: ToxicModel) -> DataFram
         scorer = _scorer(*shared.value)  # stays in the worker, with the units it has seen
         return lambda texts: [[row] for row in scorer.tell(texts)]
 
-    return flat_map_texts(docs, keep, text, "best double, toxic_units long", start)
+    return flat_map_texts(docs, keep, text, "best double, toxic_units long, units long", start)
 
 
 def score_toxicity(
@@ -451,7 +516,8 @@ def score_toxicity(
         return docs.select(
             *keep, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.lit(0).cast("long").alias("toxic_units")
         )
-    a, b, c = model.calibration
-    at = F.lit(a) * F.col("best") + F.lit(b) * F.log1p("toxic_units") + F.lit(c)
+    a, b, c, d = model.calibration
+    share = F.log((F.col("toxic_units") + 0.1) / (F.col("units") + MORE_UNITS))
+    at = F.lit(a) * F.col("best") + F.lit(b) * F.log1p("toxic_units") + F.lit(c) * share + F.lit(d)
     told = _told(docs, keep, F.col(text_column), model).withColumn("score", 1 / (1 + F.exp(-at)))
     return told.select(*keep, "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "toxic_units")
