@@ -44,3 +44,14 @@ def test_one_row_of_each_text_stays_with_all_columns(spark):
 def test_empty_table(spark):
     assert exact_groups(frame(spark, [])).count() == 0
     assert exact_dedup(frame(spark, [])).count() == 0
+
+
+def test_columns_with_any_name_stay(spark):
+    names = ["stays", "_hit", "hit", "some", "row_identity", "row", "key", "node", "label", "whole", "a.b"]
+    given = spark.createDataFrame(
+        [(i, t, *names) for i, t in [(1, "a"), (2, "a"), (3, "b"), (3, "b"), (None, None)]],
+        ", ".join(["doc_id long", "text string", *(f"`{c}` string" for c in names)]),
+    )
+    left = exact_dedup(given)
+    assert left.columns == given.columns
+    assert sorted(((r[0], *r[2:]) for r in left.collect()), key=repr) == [(2, *names), (3, *names), (None, *names)]

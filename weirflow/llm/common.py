@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from weirflow.operators.transforms import quoted
 from weirflow.scratch import scratch_dir
 
 #: What separates words, as a Java pattern: ASCII that is neither digit nor letter.
@@ -86,11 +87,36 @@ def bit_set(values: DataFrame, bits: int) -> Column:
 
 def has_bit(words: Column, hashed: Column, bits: int) -> Column:
     """Whether the bit of a hash is set; never False for a hash that was put in."""
-    at = F.pmod(hashed, F.lit(bits))
+    at = hashed.bitwiseAND(F.lit(bits - 1))
     word = F.get(words, F.shiftright(at, 6).cast("int"))
     return F.call_function("shiftright", word, (at % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
+def bits_for(n: int, per_value: int, most: int) -> int:
+    """The size of a set of ``n`` values: so many bits per value, a power of two, never more than ``most``."""
+    bits = 1 << 16
+    while bits < min(per_value * n, most):
+        bits *= 2
+    return bits
+
+
+def unused(docs: DataFrame, *wanted: str) -> list[str]:
+    """Column names like the ones wanted that ``docs`` does not have; case makes no difference to Spark."""
+    taken = {c.lower() for c in docs.columns}
+    names = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
+def own(docs: DataFrame) -> list[Column]:
+    """The columns of ``docs``, whatever signs their names have."""
+    return [F.col(quoted(c)) for c in docs.columns]
+
+
 def identity(id_column: str, text_column: str) -> Column:
     """Names a row by its id and text, wherever and however often it is read: 16 bytes."""
     named = F.coalesce(F.concat(F.lit("1"), F.col(id_column).cast("string")), F.lit("0"))
@@ -110,27 +136,23 @@ def remaining(docs: DataFrame, decided: DataFrame, id_column: str, text_column:
     one otherwise. Rows that nothing is dropped for pass straight through one
     scan; only the others are joined, so no text moves that may stay.
     """
-    name = "_identity_of_row"
+    name, stays, some, hit, whole = unused(docs, "row_identity", "stays", "some", "hit", "whole")
     gone = stored(
-        decided.groupBy("row").agg(F.bool_or("kept").alias("stays"), F.bool_and("kept").alias("all"))
-        .where("NOT all").select(F.col("row").alias(name), "stays"),
+        decided.groupBy("row").agg(F.bool_or("kept").alias(stays), F.bool_and("kept").alias("all"))
+        .where("NOT all").select(F.col("row").alias(name), stays),
         "gone",
     )
-    bits, n = 1 << 16, gone.count()
-    while bits < min(BITS_PER_ROW * n, MOST_ROW_BITS):
-        bits *= 2
-    some = bit_set(gone.select(F.xxhash64(name).alias("h")), bits)
+    bits = bits_for(gone.count(), BITS_PER_ROW, MOST_ROW_BITS)
     marked = (
         docs.withColumn(name, identity(id_column, text_column))
-        .withColumn("_some", some)
-        .withColumn("_hit", has_bit(F.col("_some"), F.xxhash64(name), bits))
-        .drop("_some")
+        .withColumn(some, bit_set(gone.select(F.xxhash64(name).alias("h")), bits))
+        .withColumn(hit, has_bit(F.col(some), F.xxhash64(name), bits))
     )
-    through = marked.where("NOT _hit").select(*docs.columns)
-    met = marked.where("_hit").drop("_hit").join(gone, name, "left")
-    free = met.where("stays IS NULL").select(*docs.columns)
-    whole = F.struct(*(F.col(c) for c in docs.columns))
-    one = met.where("stays").groupBy(name).agg(F.first(whole).alias("whole")).select("whole.*")
+    columns = own(docs)
+    through = marked.where(~F.col(hit)).select(*columns)
+    met = marked.where(hit).join(gone, name, "left")
+    free = met.where(F.col(stays).isNull()).select(*columns)
+    one = met.where(stays).groupBy(name).agg(F.first(F.struct(*columns)).alias(whole)).select(f"{whole}.*")
     return through.unionByName(free).unionByName(one)
 
 

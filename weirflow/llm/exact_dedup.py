@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_set, has_bit, identity, remaining, stored
+from .common import bit_set, bits_for, has_bit, identity, remaining, stored
 
-#: Bits of the set that stands for the values several rows share. The set is the
-#: only thing broadcast: half a megabyte at any size of input. When it fills up,
-#: more rows than needed go on to the next step; no result changes.
-SET_BITS = 1 << 22
+#: Bits, per row, of the set that stands for the values several rows share, and at
+#: most so many (16 MB). The set is the only thing broadcast. When it fills up,
+#: beyond some 30 million rows, more rows than needed go on to the next step; no
+#: result changes.
+BITS_PER_ROW, MOST_BITS = 16, 1 << 27
 PREFIX_CHARS = 256
 
 
@@ -25,7 +26,7 @@ def exact_groups(
     id_column: str = "doc_id",
     text_column: str = "text",
     prefix_chars: int = PREFIX_CHARS,
-    set_bits: int = SET_BITS,
+    set_bits: int | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: which row of its group of equal texts stays.
 
@@ -47,6 +48,8 @@ def exact_groups(
     by_size = F.xxhash64(size)
     by_prefix = F.xxhash64(size, F.substring("text", 1, prefix_chars))
 
+    if set_bits is None:
+        set_bits = bits_for(docs.count(), BITS_PER_ROW, MOST_BITS)
     sizes = _shared(base.select(by_size.alias("h")), set_bits)
     alike = base.withColumn("sizes", sizes).where(has_bit(F.col("sizes"), by_size, set_bits))
     prefixes = _shared(alike.select(by_prefix.alias("h")), set_bits)
