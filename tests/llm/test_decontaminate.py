@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 from weirflow.llm.decontaminate import contamination, decontaminate
@@ -49,8 +50,8 @@ def frames(spark, docs=DOCS, items=ITEMS):
 
 
 def test_hits_match_brute_force(spark):
-    for limit in (1_000_000, 0):
-        got = contamination(*frames(spark), broadcast_grams=limit)
+    for limit in (64_000_000, 0):
+        got = contamination(*frames(spark), broadcast_bytes=limit)
         assert sorted(((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in got.collect()), key=repr) == brute(DOCS, ITEMS)
 
 
@@ -73,3 +74,27 @@ def test_nothing_to_find(spark):
     empty, items = frames(spark, docs=[])
     assert contamination(empty, items).count() == 0
     assert decontaminate(empty, items).count() == 0
+
+
+def test_windows_of_every_size_match_brute_force(spark):
+    random.seed(8)
+    vocabulary = ["a", "B", "c", "Dd", "é"]
+    made = lambda n: " ".join(random.choices(vocabulary, k=n))
+    items = [(i, made(n)) for i, n in enumerate([1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 20])]
+    docs = [(i, made(random.choice([0, 1, 3, 8, 30, 200]))) for i in range(60)] + [(100 + i, f"x {t} y") for i, t in items]
+    for window in (3, 7, 10, 13):
+        got = contamination(*frames(spark, docs, items[window // 2 :]), window=window)
+        want = brute(docs, items[window // 2 :], window)
+        assert sorted(((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in got.collect()), key=repr) == want
+
+
+def test_columns_with_any_name_stay(spark):
+    names = ["stays", "_hit", "hit", "some", "row_identity", "row", "key", "node", "label", "a.b", "spans_hit"]
+    given = spark.createDataFrame(
+        [(i, t, *names) for i, t in DOCS], ", ".join(["doc_id long", "text string", *(f"`{c}` string" for c in names)])
+    )
+    items = frames(spark)[1]
+    for remove in ("documents", "spans"):
+        left = decontaminate(given, items, remove=remove)
+        assert left.columns == given.columns
+        assert {tuple(r[2:]) for r in left.collect()} == {tuple(names)}

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_set, has_bit, identity, remaining, stored, words_of
+from .common import bit_set, bits_for, has_bit, identity, own, remaining, stored, unused, words_of
 
 WINDOW_WORDS = 10
-#: The n-grams are broadcast up to this number (some 100 bytes each); beyond it
+#: The n-grams are broadcast up to so many bytes of text and item ids; beyond that
 #: they are joined by shuffle, which Spark splits where one n-gram is hot.
-BROADCAST_GRAMS = 1_000_000
+BROADCAST_BYTES = 64_000_000
 #: The hash set has at least so many bits per n-gram, and at most 2**26 (8 MB).
 BITS_PER_GRAM, MOST_BITS = 64, 1 << 26
 
@@ -39,16 +39,44 @@ def benchmark_grams(
     return grams.groupBy("gram", "k").agg(F.collect_set("item").alias("items"))
 
 
-def _places(words: Column, k: int, bits: Column, size: int) -> Column:
+def _with_window_hashes(rows: DataFrame, ks: list[int]) -> DataFrame:
+    """The rows with an array column ``h<k>`` for each size ``k``: at i the hash of words i to i + k - 1.
+
+    A word is hashed once. Two windows side by side make one of their lengths
+    together, so windows of 2, 4 and 8 words take a step each, and any other size
+    is put together from those. The last k - 1 values of ``h<k>`` are of no window.
+    """
+    rows = rows.withColumn("h1", F.transform("words", lambda w: F.xxhash64(w)))
+
+    def joined(left: int, right: int):
+        after = F.slice(F.col(f"h{right}"), left + 1, F.greatest(F.size("words"), F.lit(1)))
+        return F.zip_with(f"h{left}", after, lambda x, y: F.xxhash64(x, y))
+
+    done = {1}
+    for k in ks:
+        sizes = [1 << i for i in range(k.bit_length()) if k >> i & 1][::-1]
+        size = 1
+        while size < sizes[0]:
+            if 2 * size not in done:
+                rows = rows.withColumn(f"h{2 * size}", joined(size, size))
+                done.add(2 * size)
+            size *= 2
+        for part in sizes[1:]:
+            if size + part not in done:
+                rows = rows.withColumn(f"h{size + part}", joined(size, part))
+                done.add(size + part)
+            size += part
+    return rows
+
+
+def _places(k: int, bits: Column, size: int) -> Column:
     """Windows of ``k`` words whose hash is in the set, each with its text."""
-    starts = F.when(
-        F.size(words) >= k, F.sequence(F.lit(1), F.size(words) - F.lit(k - 1))
-    ).otherwise(F.array().cast("array<int>"))
-    found = F.filter(starts, lambda i: has_bit(bits, F.xxhash64(F.slice(words, i, k)), size))
+    last = F.size("words") - k
+    met = F.transform(f"h{k}", lambda h, i: F.when((i <= last) & has_bit(bits, h, size), i + 1))
     return F.transform(
-        found,
+        F.array_compact(met),
         lambda i: F.struct(
-            i.alias("start"), F.lit(k).alias("k"), F.array_join(F.slice(words, i, k), " ").alias("gram")
+            i.alias("start"), F.lit(k).alias("k"), F.array_join(F.slice("words", i, F.lit(k)), " ").alias("gram")
         ),
     )
 
@@ -60,12 +88,12 @@ def contamination(
     id_column: str = "doc_id",
     text_column: str = "text",
     item_id_column: str = "item_id",
-    broadcast_grams: int = BROADCAST_GRAMS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Per row of ``docs``: ``row``, id, ``n_words``, ``spans``, ``n_hit``, ``items``.
 
-    One scan makes the words of each text and looks every window up in a set of
-    bits; the few that are found go on with their text and are verified by a
+    One scan makes the words of each text, hashes each once, puts the hashes of
+    windows together from those, and looks every window up in a set of bits; the few that are found go on with their text and are verified by a
     join with the n-grams themselves. ``spans`` are the merged word ranges
     ``(start, stop)``, words counted from 0, that lie in any occurrence; ``n_hit``
     is their total length; ``items`` are the ids of items with occurrences, as
@@ -76,17 +104,18 @@ def contamination(
     items are one. Clashing names of other columns do no harm.
     """
     grams = stored(benchmark_grams(items, window, item_id_column), "grams")
-    kinds = {r["k"]: r["n"] for r in grams.groupBy("k").agg(F.count("*").alias("n")).collect()}
-    n_grams = sum(kinds.values())
+    width = F.octet_length("gram") + F.aggregate("items", F.lit(0), lambda n, x: n + F.octet_length(x))
+    kinds = sorted(grams.groupBy("k").agg(F.count("*").alias("n"), F.sum(width.cast("long")).alias("bytes")).collect())
+    ks = [r["k"] for r in kinds]
     base = docs.select(F.col(id_column).alias("id"), words_of(F.col(text_column)).alias("words"))
-    size = 1 << 16
-    while size < min(BITS_PER_GRAM * n_grams, MOST_BITS):
-        size *= 2
-    bits = bit_set(grams.select(F.xxhash64(F.split("gram", " ")).alias("h")), size)
-    places = [_places(F.col("words"), k, F.col("bits"), size) for k in sorted(kinds)]
+    size = bits_for(sum(r["n"] for r in kinds), BITS_PER_GRAM, MOST_BITS)
+    split = _with_window_hashes(grams.select("k", F.split("gram", " ").alias("words")), ks)
+    whole = [F.when(F.col("k") == k, F.get(f"h{k}", F.lit(0))) for k in ks]
+    bits = bit_set(split.select(F.coalesce(*whole).alias("h")), size) if ks else None
+    places = [_places(k, F.col("bits"), size) for k in ks]
     nothing = F.array().cast("array<struct<start:int,k:int,gram:string>>")
     scanned = stored(
-        base.withColumn("bits", bits).select(
+        (_with_window_hashes(base, ks).withColumn("bits", bits) if ks else base).select(
             F.monotonically_increasing_id().alias("row"),
             "id",
             F.size("words").cast("long").alias("n_words"),
@@ -96,7 +125,7 @@ def contamination(
     )
 
     known = grams.select("gram", "items")
-    if n_grams <= broadcast_grams:
+    if sum(r["bytes"] for r in kinds) <= broadcast_bytes:
         known = F.broadcast(known)
     hits = (
         scanned.select("row", F.explode("places").alias("place"))
@@ -152,13 +181,12 @@ def decontaminate(
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be 'documents' or 'spans', not {remove!r}")
-    name = "_identity_of_row"
+    name, hit = unused(docs, "row_identity", "spans_hit")
     told = docs.select(identity(id_column, text_column).alias("doc"), F.col(text_column).alias("text"))
     found = contamination(told, items, id_column="doc", **options)
     if remove == "documents":
         decided = found.select(F.col("doc").alias("row"), (F.col("n_hit") == 0).alias("kept"))
         return remaining(docs, decided, id_column, text_column)
-    hit = "_spans_of_decontaminate"
     spans = stored(found.where("n_hit > 0").groupBy(F.col("doc").alias(name)).agg(F.first("spans").alias(hit)), "spans")
     joined = docs.withColumn(name, identity(id_column, text_column)).join(spans, name, "left")
     text = F.col(text_column)
@@ -172,4 +200,4 @@ def decontaminate(
         ).otherwise(F.concat(w, F.get(between, i + 1))),
     )
     cut = F.concat(F.get(between, F.lit(0)), F.array_join(left, ""))
-    return joined.withColumn(text_column, F.when(F.col(hit).isNull(), text).otherwise(cut)).drop(name, hit)
+    return joined.withColumn(text_column, F.when(F.col(hit).isNull(), text).otherwise(cut)).select(*own(docs))
