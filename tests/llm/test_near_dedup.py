@@ -1,13 +1,15 @@
 from __future__ import annotations
 
+import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
 
 from weirflow.llm.components import components
 from weirflow.llm.near_dedup import near_dedup, near_duplicates
-from weirflow.llm.prob_minhash import jaccard, probability_jaccard, shingles, signatures, weights
+from weirflow.llm.prob_minhash import jaccard, probability_jaccard, shingles, signatures, similarity, weights
 
 SCHEMA = "doc_id long, text string, row long, label string, key string"
 
@@ -16,9 +18,16 @@ def frame(spark, docs):
     return spark.createDataFrame([(i, t, 1, "l", "k") for i, t in docs], SCHEMA)
 
 
+def weighted(text):
+    """A text's shingles as they are defined: runs of five words, each with its weight."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+    runs = Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else Counter()
+    return Counter({run: 1 + math.log(n) for run, n in runs.items()})
+
+
 def brute(docs):
-    """Classes by comparing every pair."""
-    sets = [shingles(None if t is None else t.encode())[0] for _, t in docs]
+    """Classes by comparing every pair by the definition of their similarity."""
+    sets = [weighted(t) for _, t in docs]
     parent = list(range(len(docs)))
 
     def root(x):
@@ -28,7 +37,7 @@ def brute(docs):
 
     for i in range(len(docs)):
         for j in range(i):
-            if (docs[i][1] or "") == (docs[j][1] or "") or len(sets[i]) and jaccard(sets[i], sets[j]) >= 0.8:
+            if (docs[i][1] or "") == (docs[j][1] or "") or sets[i].keys() & sets[j].keys() and probability_jaccard(sets[i], sets[j]) >= 0.8 - 1e-9:
                 parent[root(i)] = root(j)
     groups = {}
     for i, (doc, _) in enumerate(docs):
@@ -64,21 +73,34 @@ def test_classes_match_brute_force(spark):
     assert Counter(r.doc_id for r in left.collect()) == Counter(kept)
 
 
-def test_blocks_repeated_in_one_copy_only_match_brute_force(spark):
+def test_repeated_blocks_match_brute_force(spark):
     random.seed(12)
-    docs = []
-    for g in range(40):  # a vocabulary per group, so that nothing but the pair is alike
+    docs, linked = [], 0
+    for g in range(60):  # a vocabulary per group, so that nothing but the pair is alike
         words = lambda n: " ".join(f"g{g}w{random.randrange(10**6)}" for _ in range(n))
-        base, block = words(104), words(19) + " "
-        docs += [(10 * g, base), (10 * g + 1, base + " " + block * (10, 20)[g % 2])]
-        base, block = words(104), words(20) + " "
-        docs += [(10 * g + 2, base + " " + block * 2), (10 * g + 3, base + " " + block * 1000)]
+        base, block = words(160), words(6 + g % 5) + " "
+        docs += [(10 * g, base), (10 * g + 1, base + " " + block * (1, 10, 100, 1000)[g % 4])]
+        base, block = words(160), words(20) + " "
+        # Near the threshold the weights decide: a block stands more often on one side only.
+        docs += [(10 * g + 2, base + " " + block * 2), (10 * g + 3, base + " " + block * (2, 3, 5, 1000)[g % 4])]
     want = brute(docs)
-    assert all(size == 2 for _, _, size in want)
+    sizes = Counter(size for _, _, size in want)
+    assert sizes[1] > 20 and sizes[2] > 20
     got = near_duplicates(frame(spark, docs)).collect()
     assert Counter((r.doc_id, r.class_id, r.class_size) for r in got) == want
 
 
+def test_similarity_is_the_probability_jaccard_of_weighted_shingles():
+    random.seed(21)
+    for _ in range(200):
+        words = [f"w{i}" for i in range(random.randint(1, 12))]
+        texts = [" ".join(random.choices(words, k=random.choice([0, 1, 4, 5, 30, 80]))) for _ in range(2)]
+        one, two = (shingles(t.encode()) for t in texts)
+        assert abs(similarity(one, two) - probability_jaccard(weighted(texts[0]), weighted(texts[1]))) < 1e-9
+    one, two = (shingles(t.encode()) for t in ("a b c d e f g", "a b c d e f h"))
+    assert similarity(one, two) == jaccard(one[0], two[0]) == 0.5
+
+
 def test_empty_table(spark):
     assert near_duplicates(frame(spark, [])).count() == 0
     assert near_dedup(frame(spark, [])).count() == 0

@@ -12,43 +12,51 @@ from pyspark.sql import functions as F
 
 from .common import bit_set, flat_map_texts, has_bit, identity, remaining, stored
 from .components import components
-from .prob_minhash import BANDS, REGISTERS, band_keys, digest, jaccard, shingles, signatures
+from .prob_minhash import BANDS, REGISTERS, band_keys, digest, shingles, signatures, similarity
 
 SIMILARITY = 0.8
+#: Similarities are sums of fractions; four fifths may come out a rounding error short.
+ROUNDING = 1e-9
 #: A pair is verified if so many registers agree. Far below what pairs of the
 #: wanted similarity have: with 163 registers, 0.8 has a standard deviation of 0.03.
 LEAST_AGREEMENT = 0.6
 #: Texts of a bucket on either side of one piece of work.
 BLOCK = 1024
-#: Shingles of a text that are kept as its sketch; two sketches tell the similarity
-#: exactly unless one is cut off, and then to about 0.02.
+#: Shingles of a text that are kept as its sketch, with their counts: two sketches tell
+#: the similarity exactly unless one is cut off, and then to about 0.02.
 SKETCH, SKETCH_ERROR = 512, 0.08
 #: The set of texts to fetch for verification: bits per text, and at most so many (16 MB).
 BITS_PER_TEXT, MOST_BITS = 32, 1 << 27
 
 
 def _signed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Every row's id and text key, with size, bands and digest of its signature."""
+    """Every row's id and text key, with bands and digest of its signature."""
 
     def start():
         def sign(texts: list[bytes | None]) -> list[list[tuple]]:
-            sets = [shingles(x)[0] for x in texts]
-            # Every shingle has weight 1, as in the similarity that makes a link.
-            matrix = signatures([(s, np.ones(len(s), np.int64)) for s in sets])
+            sets = [shingles(x) for x in texts]
+            matrix = signatures(sets)
             keys, digests = band_keys(matrix), digest(matrix)
-            return [[(len(s), keys[i].tolist() if len(s) else [], digests[i].tobytes())] for i, s in enumerate(sets)]
+            return [[(keys[i].tolist() if len(s) else [], digests[i].tobytes())] for i, (s, _) in enumerate(sets)]
 
         return sign
 
     keyed = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return flat_map_texts(
-        keyed.withColumn("key", _key()), ["id", "key"], F.col("text"), "size int, bands array<long>, digest binary", start
-    )
+    return flat_map_texts(keyed.withColumn("key", _key()), ["id", "key"], F.col("text"), "bands array<long>, digest binary", start)
+
 
+def sketch(hashes: np.ndarray, counts: np.ndarray) -> bytes:
+    """The SKETCH smallest shingles of a text by the upper halves of their hashes, and their counts.
 
-def sketch(hashes: np.ndarray) -> bytes:
-    """The smallest SKETCH hashes of a set, by their upper halves, in order."""
-    return np.sort((hashes >> np.uint64(32)).astype("<u4"))[:SKETCH].tobytes()
+    Chosen by hash, they are a fair sample of the shingles of any two texts that
+    are compared, up to the smaller of their last hashes; the similarity of the
+    samples is then that of the texts, for its sums grow alike on both sides.
+    """
+    upper, first = np.unique((hashes >> np.uint64(32)).astype("<u4"), return_index=True)
+    if not len(upper):
+        return b""
+    summed = np.add.reduceat(counts, first)
+    return upper[:SKETCH].tobytes() + np.minimum(summed[:SKETCH], 0xFFFFFFFF).astype("<u4").tobytes()
 
 
 def _key():
@@ -83,9 +91,11 @@ def _rest(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFra
     """(a, b): pairs that share a bucket, lie in different components, and look alike.
 
     In most buckets all members are linked by then. In each other one, all
-    members outside its largest component are compared with all members, block
-    by block, first by their digests and then by their sketches; only pairs that
-    are similar leave the task, and of those that join the same two components
+    members outside its largest component are compared with all members, block by
+    block, in two steps. First by the digests of their signatures, each pair in
+    the first bucket it shares; only the members that take part in a like pair are
+    handed on. Those then meet in the same blocks again with their sketches, and
+    only similar pairs leave the task, of those that join the same two components
     one. A component of any size costs one row per member and block of strangers.
     """
     members = stored(
@@ -107,28 +117,34 @@ def _rest(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFra
         ),
         "mixed",
     )
-    # Ids only until it is known who takes part; then each gets its digest and sketch.
+    # Ids only until it is known who takes part; then each gets its digest, and at last its sketch.
     taking_part = stored(members.join(mixed, "bucket"), "taking-part")
-    told = stored(
-        nodes.join(taking_part.select("node").distinct(), "node", "left_semi").select("node", "key", "size", "digest", "bands"),
-        "told",
-    )
+    marks = F.transform("bands", lambda b: b.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    digests = nodes.select("node", "digest", marks.alias("marks"))
+    met = _worked(taking_part.join(digests, "node"), ["digest", "marks"], _alike_in_blocks, "bucket long, node long")
+    met = stored(met.distinct(), "met")
 
     def start():
-        return lambda texts: [[(sketch(shingles(x)[0]),)] for x in texts]
+        return lambda texts: [[(sketch(*shingles(x)),)] for x in texts]
 
-    texts = _texts_of(told.select("key"), docs, text_column)
-    sketches = stored(flat_map_texts(texts, ["key"], F.col("text"), "sketch binary", start), "sketches")
-    told = stored(told.join(sketches, "key").drop("key"), "told")
+    wanted = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", "key", "digest")
+    texts = _texts_of(wanted.select("key"), docs, text_column)
+    sketches = flat_map_texts(texts, ["key"], F.col("text"), "sketch binary", start)
+    told = wanted.join(sketches, "key").drop("key")
+    again = taking_part.join(met, ["bucket", "node"], "left_semi").join(told, "node")
+    return _worked(again, ["digest", "sketch"], _linked_in_blocks, "a long, b long").distinct()
+
+
+def _worked(members: DataFrame, columns: list[str], work, schema: str) -> DataFrame:
+    """What ``work`` finds in each piece of work that members of mixed buckets take part in."""
     keys = ["bucket", "block", "of", "against"]
-    work = (
-        taking_part.join(told, "node")
-        .select("bucket", F.explode(_seats()).alias("seat"), "node", "label", "size", "digest", "sketch", "bands")
-        .select("bucket", "seat.*", "node", "label", "size", "digest", "sketch", "bands")
+    rows = (
+        members.select("bucket", F.explode(_seats()).alias("seat"), "node", "label", *columns)
+        .select("bucket", "seat.*", "node", "label", *columns)
         .repartition(*keys)
         .sortWithinPartitions(*keys)
     )
-    return work.mapInArrow(_compared, "a long, b long").distinct()
+    return rows.mapInArrow(work, schema)
 
 
 def _seats():
@@ -156,106 +172,109 @@ def _seats():
     return F.when(stranger, F.concat(with_majors, before, after)).otherwise(majors)
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Similar pairs of each piece of work; its rows follow each other, over one or more batches."""
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Each piece of work with its rows, which follow each other over one or more batches."""
     held: list[pa.RecordBatch] = []
     current = None
     for batch in batches:
         keys = np.array([batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "block", "of", "against")], np.int64)
         starts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-        pairs: list[tuple[int, int]] = []
         for start, stop in zip(starts[:-1], starts[1:], strict=True):
             if start == stop:
                 continue
             key = tuple(keys[:, start].tolist())
             if held and key != current:
-                pairs += _work(current, held)
+                yield current, pa.Table.from_batches(held).combine_chunks()
                 held = []
             held.append(batch.slice(start, stop - start))
             current = key
-        yield _pairs(pairs)
     if held:
-        yield _pairs(_work(current, held))
-
+        yield current, pa.Table.from_batches(held).combine_chunks()
 
-def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    ids = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
-    return pa.RecordBatch.from_arrays([pa.array(ids[:, 0]), pa.array(ids[:, 1])], ["a", "b"])
 
-
-def _work(key: tuple[int, int, int, int], parts: list[pa.RecordBatch]) -> list[tuple[int, int]]:
-    """One piece of work: strangers against others, with block 0 also among themselves."""
-    bucket, _, of, against = key
-    rows = pa.Table.from_batches(parts).combine_chunks()
-    probe = rows.column("probe").to_numpy()
-    if not probe.any():
-        return []
-    some = rows.filter(pa.array(probe))
-    everyone = rows if of and against == 0 else rows.filter(pa.array(~probe))
-    return list(_linked(bucket, Members(everyone), Members(some))) if len(everyone) else []
+def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Members, Members]]:
+    """Of each piece of work the bucket, the strangers, and whom they meet: with block 0 also each other."""
+    for (bucket, _, of, against), rows in _pieces(batches):
+        probe = rows.column("probe").to_numpy()
+        everyone = rows if of and against == 0 else rows.filter(pa.array(~probe))
+        if probe.any() and len(everyone):
+            yield bucket, Members(rows.filter(pa.array(probe))), Members(everyone)
 
 
 class Members:
     """Members of a bucket as arrays."""
 
     def __init__(self, rows: pa.Table):
-        column = {c: rows.column(c).combine_chunks() for c in rows.column_names}
-        self.node, self.label, self.size = (
-            column[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("node", "label", "size")
-        )
-        self.digest = np.frombuffer(b"".join(column["digest"].to_pylist()), "<u2").reshape(len(rows), REGISTERS)
-        self.bands = column["bands"].flatten().to_numpy().reshape(len(rows), BANDS)
-        kept = [np.frombuffer(x, "<u4") for x in column["sketch"].to_pylist()]
-        self.length = np.fromiter(map(len, kept), np.int64, len(kept))
-        self.sketch = np.full((len(rows), SKETCH), 0xFFFFFFFF, np.uint32)
-        self.sketch[np.arange(SKETCH) < self.length[:, None]] = np.concatenate(kept)
-        # What a sketch says holds up to its last hash if it was cut off.
-        self.whole = self.length >= self.size
-        self.reach = np.where(self.whole, 0xFFFFFFFF, self.sketch[:, -1]).astype(np.uint32)
-
-
-def _linked(bucket: int, everyone: Members, some: Members) -> Iterator[tuple[int, int]]:
-    """Pairs of different components that are similar, each looked at in one bucket only."""
-    own_label = everyone.label.copy()
-    band = int(np.flatnonzero(some.bands[0] == bucket)[0])
+        self.rows = rows
+        self.node, self.label = (rows.column(c).to_numpy().astype(np.int64) for c in ("node", "label"))
+        self.digest = np.frombuffer(b"".join(rows.column("digest").to_pylist()), "<u2").reshape(len(rows), REGISTERS)
+
+    def like(self, near: np.ndarray, one: np.ndarray) -> np.ndarray:
+        """Those of the members at ``near`` whose digests are like the one given."""
+        return near[(self.digest[near] == one).mean(axis=1) >= LEAST_AGREEMENT]
+
+
+def _batch(found: list[tuple[int, int]], names: list[str], in_order: bool) -> pa.RecordBatch:
+    ids = np.array(found, np.int64).reshape(-1, 2)
+    ids = np.sort(ids, axis=1) if in_order else ids
+    return pa.RecordBatch.from_arrays([pa.array(ids[:, 0]), pa.array(ids[:, 1])], names)
+
+
+def _alike_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, node) of members with a like digest in another component, in the first bucket that both share."""
+    for bucket, some, everyone in _sides(batches):
+        mine, theirs = (m.rows.column("marks").combine_chunks().flatten().to_numpy().reshape(-1, BANDS) for m in (some, everyone))
+        band = int(np.flatnonzero(mine[0] == bucket & 0x7FFFFFFF)[0])
+        found: set[int] = set()
+        for i in range(len(some.node)):
+            near = np.flatnonzero((everyone.label != some.label[i]) & ~(theirs[:, :band] == mine[i, :band]).any(axis=1))
+            like = everyone.node[everyone.like(near, some.digest[i])]
+            if len(like):
+                found |= {int(some.node[i]), *like.tolist()}
+        if found:
+            yield _batch([(bucket, node) for node in found], ["bucket", "node"], False)
+
+
+def _linked_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b): pairs of different components with like digests whose sketches are similar."""
+    for _, some, everyone in _sides(batches):
+        found = list(_linked(some, everyone))
+        if found:
+            yield _batch(found, ["a", "b"], True)
+
+
+def _linked(some: Members, everyone: Members) -> Iterator[tuple[int, int]]:
+    mine, theirs = ([_read(x) for x in m.rows.column("sketch").to_pylist()] for m in (some, everyone))
+    place = {node: n for n, node in enumerate(everyone.node.tolist())}
+    label = everyone.label.copy()
     for i in range(len(some.node)):
-        label = own_label[everyone.node == some.node[i]]
-        label = label[0] if len(label) else some.label[i]
-        size = some.size[i]
-        near = np.flatnonzero(
-            (own_label != label)
-            & (np.minimum(everyone.size, size) >= SIMILARITY * np.maximum(everyone.size, size))
-            & ~(everyone.bands[:, :band] == some.bands[i, :band]).any(axis=1)
-        )
-        near = near[(everyone.digest[near] == some.digest[i]).mean(axis=1) >= LEAST_AGREEMENT]
-        if not len(near):
-            continue
-        reach = np.minimum(everyone.reach[near], some.reach[i])
-        mine = some.sketch[i, : some.length[i]]
-        width = int(everyone.length[near].max())
-        theirs = everyone.sketch[near, :width]
-        valid = (np.arange(width) < everyone.length[near, None]) & (theirs <= reach[:, None])
-        place = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
-        both = ((mine[place] == theirs) & valid).sum(axis=1)
-        total = valid.sum(axis=1) + np.searchsorted(mine, reach, "right") - both
-        similarity = both / np.maximum(total, 1)
-        exact = everyone.whole[near] & some.whole[i]
-        for n in near[similarity >= np.where(exact, SIMILARITY, SIMILARITY - SKETCH_ERROR)]:
-            if own_label[n] == label and n in near[exact]:
+        at = place.get(int(some.node[i]))
+        own = some.label[i] if at is None else label[at]
+        for n in everyone.like(np.flatnonzero(label != own), some.digest[i]):
+            if label[n] == own:
                 continue
-            yield int(everyone.node[n]), int(some.node[i])
-            if everyone.whole[n] and some.whole[i]:
-                own_label[own_label == own_label[n]] = label
+            one, two = mine[i], theirs[n]
+            whole = len(one[0]) < SKETCH and len(two[0]) < SKETCH
+            if not whole:
+                reach = min(x[0][-1] for x in (one, two) if len(x[0]) == SKETCH)
+                one, two = (tuple(part[: np.searchsorted(x[0], reach, "right")] for part in x) for x in (one, two))
+            if similarity(one, two) >= (SIMILARITY - ROUNDING if whole else SIMILARITY - SKETCH_ERROR):
+                yield int(everyone.node[n]), int(some.node[i])
+                if whole:  # one link between two components is enough, if it is sure to hold
+                    label[label == label[n]] = own
+
+
+def _read(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(data, "<u4")
+    return both[: len(both) // 2], both[len(both) // 2 :]
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs with their text keys, without those whose sizes or digests tell them apart."""
-    told = nodes.select("node", "key", "size", "digest")
+    """Pairs with their text keys, without those whose digests tell them apart."""
+    told = nodes.select("node", "key", "digest")
     one = told.select(*(F.col(c).alias(f"{c}_a") for c in told.columns)).withColumnRenamed("node_a", "a")
     two = told.select(*(F.col(c).alias(f"{c}_b") for c in told.columns)).withColumnRenamed("node_b", "b")
-    joined = pairs.join(one, "a").join(two, "b").where(
-        F.least("size_a", "size_b") >= SIMILARITY * F.greatest("size_a", "size_b")
-    )
+    joined = pairs.join(one, "a").join(two, "b")
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,6 +288,12 @@ def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return narrow.mapInArrow(agree, "a long, b long, key_a binary, key_b binary")
 
 
+def _keyed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs with the keys of their texts."""
+    keys = nodes.select("node", "key")
+    return pairs.join(keys.toDF("a", "key_a"), "a").join(keys.toDF("b", "key_b"), "b").select("a", "b", "key_a", "key_b")
+
+
 def _texts_of(keys: DataFrame, docs: DataFrame, text_column: str) -> DataFrame:
     """(key, text) of the texts that ``keys`` names, by one scan that lets hardly any other pass."""
     keys = stored(keys, "keys")
@@ -301,35 +326,39 @@ def _verified(pairs: DataFrame, docs: DataFrame, text_column: str) -> DataFrame:
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Pairs of one first text often follow each other.
-        known = lru_cache(maxsize=16)(lambda text: shingles(text)[0])
+        known = lru_cache(maxsize=16)(shingles)
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("text_a", "text_b"))
-            found = [jaccard(known(x), known(y)) for x, y in zip(*columns, strict=True)]
+            found = [similarity(known(x), known(y)) for x, y in zip(*columns, strict=True)]
             arrays = [batch.column("a"), batch.column("b"), pa.array(found, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "similarity"])
 
     plain = both.select("a", "b", F.col("text_a").cast("binary").alias("text_a"), F.col("text_b").cast("binary").alias("text_b"))
-    return plain.mapInArrow(verify, "a long, b long, similarity double").where(F.col("similarity") >= SIMILARITY)
+    return plain.mapInArrow(verify, "a long, b long, similarity double").where(F.col("similarity") >= SIMILARITY - ROUNDING)
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of ``docs``: the class of near duplicates it belongs to.
 
-    Returns the id, ``class_id``, ``class_size`` and ``kept``. Texts are linked
-    when their sets of five-word shingles (words in lower case) have a Jaccard
-    similarity of 0.8 or more; classes are the connected components of links;
-    ``class_id`` is the smallest id in the class, and one row with it stays.
+    Returns the id, ``class_id``, ``class_size`` and ``kept``. A text is the set of
+    its five-word shingles (words in lower case), of which each weighs 1 + ln(how
+    often it stands). Texts are linked when the probability Jaccard similarity of
+    these sets is 0.8 or more: the Jaccard similarity where shingles stand equally
+    often on both sides, while passages repeated on one side only count against
+    it. Classes are the connected components of links; ``class_id`` is the smallest
+    id in the class, and one row with it stays.
 
     Equal texts are one node from the start. Candidates are nodes with an equal
-    band of their signatures. All shingles of a set have the same weight there,
-    however often they stand, so registers agree with the Jaccard similarity
-    itself: with 40 bands of 4 registers a pair of similarity 0.8 has no band in
-    common with a chance below 1e-9, and agrees in less than LEAST_AGREEMENT of
-    its registers with a chance below 2e-9. In each bucket members are first compared with one of them, which
-    links a group of any size with a row per member; what then is still in
-    different components is compared exhaustively, in blocks (:func:`_rest`). No
-    bucket is cut, and no group is gathered in one task. Signature digests sort
-    out candidates far below the threshold; all others are verified on whole texts.
+    band of their ProbMinHash signatures, whose registers agree with just that
+    similarity: with 40 bands of 4 registers a pair of 0.8 has no band in common
+    with a chance below 1e-9, and agrees in less than LEAST_AGREEMENT of its
+    registers with a chance below 2e-9. In each bucket members are first compared
+    with one of them, which links a group of any size with a row per member; what
+    then is still in different components is compared exhaustively, in blocks, by
+    digests and then by sketches (:func:`_rest`), so a piece of work has at most
+    2 * BLOCK rows. No bucket is cut, and no group is gathered in one task. Links are
+    told by whole texts alone. Sketches are of texts of more than SKETCH shingles a
+    sample, which rules out a pair of 0.8 with a chance of about 1e-5.
 
     A text of fewer than five words is one shingle; texts without words (null
     and empty ones too, null counting as empty) are alike only if they are equal.
@@ -341,7 +370,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     nodes = stored(
         signed.groupBy("key")
-        .agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("digest").alias("digest"))
+        .agg(F.first("bands").alias("bands"), F.first("digest").alias("digest"))
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
@@ -349,7 +378,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     stars = stored(_alike(_stars(buckets), nodes), "stars")
     links = stored(_verified(stars, docs, text_column), "links")
     rest = _rest(buckets, nodes, components(links), docs, text_column).join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    rest = stored(_alike(rest, nodes), "rest")
+    rest = stored(_keyed(rest, nodes), "rest")
     more = stored(_verified(rest, docs, text_column), "links")
     labels = components(links.unionByName(more))
 
