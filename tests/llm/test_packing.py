@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from weirflow.llm.common import ARROW_ROWS, stored
 from weirflow.llm.packing import fillings, pack, pieces_of, plan_bins, Stock
 from weirflow.llm.tokens import WordCache
 
@@ -129,3 +130,33 @@ def test_pieces_can_carry_their_ids(spark):
     given = spark.createDataFrame([(1, "some words here")], "doc_id long, text string")
     (row,) = pieces_of(given, PATH, with_ids=True).collect()
     assert row.ids == [*ids_of("some words here"), 1]
+
+
+def test_word_cache_is_bounded_and_keeps_words_met_again():
+    cache = WordCache(PATH, most=3000, part_bytes=4000)
+    letters = "abcdefghijklmnop"
+    rare = ["".join(letters[(n >> 4 * k) & 15] for k in range(4)) for n in range(20_000)]
+    texts = [" ".join(["often", "again,", *rare[at : at + 20]]) for at in range(0, len(rare), 20)]
+    largest = 0
+    for at in range(0, len(texts), 100):
+        some = texts[at : at + 100]
+        got = cache.ids([t.encode() for t in some])
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [ids_of(t) for t in some]
+        largest = max(largest, len(cache.known))
+        assert at == 0 or {b"often", b"again,", b"again", b","} <= cache.known.keys()
+    assert largest <= 3000 + 2 * 4000 // 5  # one part more than ``most`` at the most
+
+
+def test_batches_are_small_only_while_a_step_is_stored(spark):
+    before = spark.conf.get(ARROW_ROWS)
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.from_pydict({"n": [batch.num_rows]})
+
+    def largest(batch_rows):
+        counted = spark.range(0, 3000, 1, 1).mapInArrow(sizes, "n long")
+        return max(r.n for r in stored(counted, "sizes", batch_rows).collect())
+
+    assert (largest(100), spark.conf.get(ARROW_ROWS)) == (100, before)
+    assert largest(None) == min(3000, int(before))

@@ -24,20 +24,29 @@ WORD_BYTES = bytes(
     for c in range(256)
 )
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read again.
 
     This cuts the lineage: what is read later is the same whatever executor is
-    lost in between, so row numbers given before it stay as they are.
+    lost in between, so row numbers given before it stay as they are. With
+    ``batch_rows``, no Arrow batch holds more rows while it is written.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(ARROW_ROWS)
+    if batch_rows and not 0 < int(before) <= batch_rows:
+        spark.conf.set(ARROW_ROWS, batch_rows)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -21,6 +21,8 @@ FILLING_NODES, SEARCH_NODES = 2_000, 20_000
 LAST_BINS = 64
 #: Pieces of one length are numbered in groups of about so many, up to MOST_GROUPS groups.
 GROUP_ROWS, MOST_GROUPS = 500, 4096
+#: Whole texts come to Python in batches of at most so many: executors hold whole batches.
+BATCH_ROWS = 2_000
 
 #: A way to fill a sequence: (length, copies), largest first.
 Filling = tuple[tuple[int, int], ...]
@@ -299,7 +301,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_colu
     An empty table gives no rows.
     """
     spark = docs.sparkSession
-    pieces = stored(pieces_of(docs, tokenizer_path, capacity, id_column=id_column, **options), "pieces")
+    pieces = stored(pieces_of(docs, tokenizer_path, capacity, id_column=id_column, **options), "pieces", BATCH_ROWS)
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     runs = layout(plan_bins(counts, capacity))
     groups = min(MOST_GROUPS, -(-max(counts.values(), default=1) // GROUP_ROWS))
