@@ -133,7 +133,7 @@ def test_pieces_can_carry_their_ids(spark):
 
 
 def test_word_cache_is_bounded_and_keeps_words_met_again():
-    cache = WordCache(PATH, most=3000, part_bytes=4000)
+    cache, tokenizer = WordCache(PATH, most=3000, part_bytes=4000), Tokenizer.from_file(PATH)
     letters = "abcdefghijklmnop"
     rare = ["".join(letters[(n >> 4 * k) & 15] for k in range(4)) for n in range(20_000)]
     texts = [" ".join(["often", "again,", *rare[at : at + 20]]) for at in range(0, len(rare), 20)]
@@ -141,9 +141,9 @@ def test_word_cache_is_bounded_and_keeps_words_met_again():
     for at in range(0, len(texts), 100):
         some = texts[at : at + 100]
         got = cache.ids([t.encode() for t in some])
-        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [ids_of(t) for t in some]
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
         largest = max(largest, len(cache.known))
-        assert at == 0 or {b"often", b"again,", b"again", b","} <= cache.known.keys()
+        assert at == 0 or {b"often", b"again,"} <= cache.known.keys()
     assert largest <= 3000 + 2 * 4000 // 5  # one part more than ``most`` at the most
 
 
